@@ -10,10 +10,16 @@ from sheetmill.rules import RuleSet
 LABELS = ("DATE", "INT64", "FLOAT", "STRING")
 
 
-def label_cell(c: Column, rules: RuleSet) -> Column:
-    """Kind of a cell: first matching pattern, else STRING; NULL and ``""`` have none."""
-    value = strip(c)
-    label = F.when(c.isNull() | (c == ""), F.lit(None).cast("string"))
+def label_cell(c: Column, rules: RuleSet, stripped: Column | None = None) -> Column:
+    """Kind of a cell: first matching pattern, else STRING; NULL and ``""`` have none.
+
+    Every pattern starts with a digit, so a cell that does not is STRING without a regular
+    expression being tried. ``stripped`` may name a column that holds the stripped cell.
+    """
+    value = strip(c) if stripped is None else stripped
+    label = F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).when(
+        ~F.ascii(value).between(ord("0"), ord("9")), "STRING"
+    )
     for name, pattern in rules.labels:
         label = label.when(value.rlike(pattern), name)
     return label.otherwise("STRING")
@@ -21,7 +27,7 @@ def label_cell(c: Column, rules: RuleSet) -> Column:
 
 def matches(c: Column, pattern: str) -> Column:
     """Format test that a missing value passes."""
-    return c.isNull() | c.rlike(pattern)
+    return F.coalesce(c.rlike(pattern), F.lit(True))
 
 
 def to_date(c: Column, rules: RuleSet) -> Column:

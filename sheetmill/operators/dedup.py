@@ -25,46 +25,66 @@ def dedup_rank(
     return rank_rows(run_slice(stg, ctx), keys, ROW_ID, hot_rows=hot_rows)
 
 
-def stg_to_dw(
-    stg: DataFrame, schema: SchemaInfo, keys: Sequence[str], ctx: RunContext
-) -> DataFrame:
-    """First row of every business key.
+def repeated_keys(stg: DataFrame, keys: Sequence[str], ctx: RunContext) -> DataFrame:
+    """Keys held by several rows of the run, with the first of these rows.
 
-    The ``rownum = 1`` filter lets Spark drop all but one row per key and task before the
-    shuffle, so a hot key costs a row per task, not its whole group.
+    Only key columns are read, and copies are combined before the shuffle.
     """
-    schema.require_keys(keys)
-    first = Window.partitionBy(*map(quoted, keys)).orderBy(ROW_ID)
     return (
         run_slice(stg, ctx)
-        .withColumn("rownum", F.row_number().over(first))
-        .filter("rownum = 1")
-        .select(*map(quoted, schema.definition), *AUDIT_COLUMNS)
-    )
-
-
-def repeated_keys(stg: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys held by several rows, with the first of these rows; combined before the shuffle."""
-    return (
-        stg.groupBy(*[quoted(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+        .groupBy(*[quoted(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
         .agg(F.min(ROW_ID).alias("_first"), F.count("*").alias("_copies"))
         .filter("_copies > 1")
         .drop("_copies")
     )
 
 
-def duplicate_rows(stg: DataFrame, keys: Sequence[str], ctx: RunContext) -> DataFrame:
+def _same_key(keys: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & quoted(k).eqNullSafe(F.col(f"_key_{i}"))
+    return same
+
+
+def stg_to_dw(
+    stg: DataFrame,
+    schema: SchemaInfo,
+    keys: Sequence[str],
+    ctx: RunContext,
+    repeated: DataFrame | None = None,
+) -> DataFrame:
+    """First row of every business key.
+
+    Ranking shuffles whole rows, but its ``rownum = 1`` filter lets Spark drop all but one
+    row per key and task before the shuffle, so a hot key costs a row per task and not its
+    whole group. When ``repeated`` holds the few keys that occur more than once, rows are
+    looked up in it instead and, with that side broadcast, stay where they are.
+    """
+    schema.require_keys(keys)
+    rows = run_slice(stg, ctx)
+    if repeated is None:
+        first = Window.partitionBy(*map(quoted, keys)).orderBy(ROW_ID)
+        kept = rows.withColumn("rownum", F.row_number().over(first)).filter("rownum = 1")
+    else:
+        kept = rows.join(repeated, _same_key(keys), "left").filter(
+            F.col("_first").isNull() | (F.col(ROW_ID) == F.col("_first"))
+        )
+    return kept.select(*map(quoted, schema.definition), *AUDIT_COLUMNS)
+
+
+def duplicate_rows(
+    stg: DataFrame, keys: Sequence[str], ctx: RunContext, repeated: DataFrame | None = None
+) -> DataFrame:
     """Every row of the run but the first of its key.
 
-    The other side has one row per repeated key: Spark broadcasts it when its measured size
-    allows, otherwise it is a sort-merge join whose hot keys are split at run time.
+    The other side has one row per repeated key. It is broadcast when Spark finds it small
+    enough; otherwise both sides are sorted and merged, and hot keys are split at run time.
     """
+    if repeated is None:
+        repeated = repeated_keys(stg, keys, ctx)
     rows = run_slice(stg, ctx)
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & quoted(k).eqNullSafe(F.col(f"_key_{i}"))
-    repeated = repeated_keys(rows, keys)
-    return rows.join(repeated, same & (F.col(ROW_ID) > F.col("_first"))).select(*rows.columns)
+    later = _same_key(keys) & (F.col(ROW_ID) > F.col("_first"))
+    return rows.join(repeated, later).select(*rows.columns)
 
 
 def duplicate_detail(df: DataFrame, keys: Sequence[str], delimiter: str) -> Column:
@@ -79,11 +99,15 @@ def duplicate_detail(df: DataFrame, keys: Sequence[str], delimiter: str) -> Colu
 
 
 def rej_duplicate(
-    stg: DataFrame, keys: Sequence[str], ctx: RunContext, delimiter: str = "|"
+    stg: DataFrame,
+    keys: Sequence[str],
+    ctx: RunContext,
+    delimiter: str = "|",
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Duplicate rows in the layout of the reject table."""
     return (
-        duplicate_rows(stg, keys, ctx)
+        duplicate_rows(stg, keys, ctx, repeated)
         .select(
             "row",
             F.lit(DUPLICATE_RECORD).alias("rej_reason"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetmill.functions.formats import LABELS, label_cell
-from sheetmill.functions.text import clean_cell, quoted
+from sheetmill.functions.text import clean_cell, quoted, strip
 from sheetmill.model import ROW_ID, SchemaInfo
 from sheetmill.rules import RuleSet
 
@@ -34,20 +34,26 @@ def cells_of(tmp: DataFrame, columns: Sequence[str], order: str = ROW_ID) -> Dat
     )
 
 
-def vote(cells: DataFrame, keys: Sequence[str], rules: RuleSet, order: str = ROW_ID) -> DataFrame:
-    """Label counts and the winning label per group of cells.
+def labelled(cells: DataFrame, rules: RuleSet) -> DataFrame:
+    """Add ``label`` to ``value`` cells."""
+    # A column of its own, so that a cell is stripped once and not for every pattern.
+    stripped = cells.withColumn("stripped", strip(F.col("value")))
+    return stripped.withColumn("label", label_cell(F.col("value"), rules, F.col("stripped")))
+
+
+def vote(cells: DataFrame, keys: Sequence[str], order: str = ROW_ID) -> DataFrame:
+    """Label counts and the winning label per group of labelled cells.
 
     The most frequent label wins, a tie goes to the label met first, and a group without
     values is STRING. Every label is a fixed-width buffer of one aggregation, so cells are
     combined before the only shuffle, which moves a row per group and task.
     """
-    labelled = cells.withColumn("label", label_cell(F.col("value"), rules))
     aggregates = []
     for label in LABELS:
         is_label = F.col("label") == label
         aggregates.append(F.count_if(is_label).alias(f"n_{label.lower()}"))
         aggregates.append(F.min(F.when(is_label, quoted(order))).alias(f"first_{label.lower()}"))
-    votes = labelled.groupBy(*keys).agg(*aggregates)
+    votes = cells.groupBy(*keys).agg(*aggregates)
     best = F.array_max(
         F.array(
             *[
@@ -76,7 +82,7 @@ def infer_types(
     tmp: DataFrame, columns: Sequence[str], rules: RuleSet, order: str = ROW_ID
 ) -> DataFrame:
     """``(col, pos, inferred, n_...)`` for the columns of one table."""
-    votes = vote(cells_of(tmp, columns, order), ["pos"], rules, order)
+    votes = vote(labelled(cells_of(tmp, columns, order), rules), ["pos"], order)
     names = F.array(*[F.lit(c) for c in columns])
     return votes.select(F.get(names, F.col("pos")).alias("col"), *votes.columns)
 
@@ -86,7 +92,10 @@ def infer_feed_types(rows: DataFrame, rules: RuleSet) -> DataFrame:
     cells = rows.filter(F.col(ROW_ID) > 0).select(
         "feed", ROW_ID, F.posexplode("cells").alias("pos", "value")
     )
-    return vote(cells.withColumn("value", clean_cell(F.col("value"))), ["feed", "pos"], rules)
+    # Cleaning strips the cell already.
+    cleaned = cells.withColumn("value", clean_cell(F.col("value")))
+    label = label_cell(F.col("value"), rules, F.col("value"))
+    return vote(cleaned.withColumn("label", label), ["feed", "pos"])
 
 
 def schema_groups(types: DataFrame) -> DataFrame:

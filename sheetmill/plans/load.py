@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sheetmill.model import ROW_ID, FeedConfig, RunContext, SchemaInfo
 from sheetmill.operators.cast import src_to_stg
-from sheetmill.operators.dedup import rej_duplicate, stg_to_dw
+from sheetmill.operators.dedup import rej_duplicate, repeated_keys, stg_to_dw
 from sheetmill.operators.ingest import assemble, collect_headers, count_long_rows, require_data
 from sheetmill.operators.profile import infer_feed_schemas, infer_schema
 from sheetmill.operators.validate import ext_to_src, rej_datatype
@@ -19,6 +19,9 @@ from sheetmill.session import scratch_path
 from sheetmill.sources.sheets import read_sheets
 from sheetmill.sources.tables import Warehouse
 
+#: Up to this many repeated keys, survivors are looked up instead of ranked.
+FEW_REPEATED_KEYS = 100_000
+
 _STAGED = T.StructType(
     [
         T.StructField(ROW_ID, T.LongType()),
@@ -38,6 +41,13 @@ class FeedResult:
     error: Exception | None = None
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: the plan ends here, its size is known."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage_rows(rows: DataFrame, path: str) -> DataFrame:
     """Write sheet rows by feed, so headers and single feeds are read without the rest."""
     rows.select(*_STAGED.names).write.mode("overwrite").partitionBy("feed").parquet(path)
@@ -55,17 +65,22 @@ def load_table(
 ) -> None:
     """Carry a TMP table through to SRC, STG, DW and REJ.
 
-    Every layer is written before the next reads it. The three validating and typing steps
-    are filters and projections over one scan each; only deduplication shuffles.
+    Every layer is written before the next reads it. Validating and typing are filters and
+    projections over one scan each. The keys that occur more than once are the only thing
+    shuffled: they are written down, and both rejects and survivors are looked up in them.
     """
     schema.require_keys(config.primary_key)
     tables, keys, delimiter = config.tables, config.primary_key, config.delimiter
     src = warehouse.replace(ext_to_src(tmp, schema, ctx, rules, delimiter), tables["src"])
     stg = warehouse.replace(src_to_stg(src, schema, ctx, rules), tables["stg"])
+    repeated = _written(repeated_keys(stg, keys, ctx), "repeated")
+    few = repeated.count() <= FEW_REPEATED_KEYS
     mismatched = rej_datatype(tmp, schema, ctx, rules, delimiter)
-    repeated = rej_duplicate(stg, keys, ctx, delimiter)
-    warehouse.append_rejects(mismatched.unionByName(repeated), tables["rej"], idempotent)
-    warehouse.replace(stg_to_dw(stg, schema, keys, ctx), tables["dw"])
+    duplicates = rej_duplicate(stg, keys, ctx, delimiter, repeated)
+    rejects = mismatched.unionByName(duplicates)
+    warehouse.append_rejects(rejects, tables["rej"], ctx if idempotent else None)
+    dw = stg_to_dw(stg, schema, keys, ctx, repeated if few else None)
+    warehouse.replace(dw, tables["dw"])
 
 
 def load_feeds(

@@ -409,6 +409,7 @@ def statements() -> dict[str, str]:
         "rej_duplicate_rows": _with([_PURCHASES, *_FORCED.layers()], "SELECT * FROM rej_duplicate"),
         "rej_duplicate_null_keys": _with([null_keys, *_FORCED.layers()], "SELECT * FROM rej_duplicate"),
         "stg_to_dw_rows": _with([_PURCHASES, *_FORCED.layers()], "SELECT * FROM dw"),
+        "stg_to_dw_lookup": _with([_PURCHASES, *_FORCED.layers()], "SELECT * FROM dw"),
         "sink_overwrite": _with([_PURCHASES, _INFERRED.src(), _INFERRED.stg()], "SELECT * FROM stg"),
         "rej_all": _with([_PURCHASES, *_FORCED.layers()], rejects),
         "rej_all_retried": _with([_PURCHASES, *_FORCED.layers()], rejects),

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sheetmill.functions.formats import label_cell, matches, to_date, to_number, to_text
+from sheetmill.functions.formats import matches, to_date, to_number, to_text
 from sheetmill.functions.text import (
     blank_to_null,
     clean_cell,
@@ -21,12 +21,19 @@ from sheetmill.functions.text import (
 from sheetmill.model import REJECT_SCHEMA, ROW_ID, SchemaInfo
 from sheetmill.operators.cast import run_slice, src_to_stg
 from sheetmill.operators.control import approved_configs, blocked_feeds, gate_feeds
-from sheetmill.operators.dedup import dedup_rank, duplicate_detail, rej_duplicate, stg_to_dw
+from sheetmill.operators.dedup import (
+    dedup_rank,
+    duplicate_detail,
+    rej_duplicate,
+    repeated_keys,
+    stg_to_dw,
+)
 from sheetmill.operators.ingest import assemble, collect_headers, dedup_headers
 from sheetmill.operators.profile import (
     SAMPLE_LIMIT,
     infer_schema,
     infer_types,
+    labelled,
     profile_sample,
     schema_groups,
     vote,
@@ -148,7 +155,7 @@ def profile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def classify_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = fx.purchases(spark, sf_dir).unpivot([ROW_ID], list(fx.COLUMNS), "col", "value")
-    return cells.withColumn("label", label_cell(F.col("value"), RULES))
+    return labelled(cells, RULES).drop("stripped")
 
 
 @_query
@@ -165,7 +172,7 @@ def infer_schema_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def infer_types_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.derive(fx.table(spark, sf_dir, "events"), fx.FEEDS)
     cells = rows.select("feed", ROW_ID, F.posexplode("cells").alias("pos", "value"))
-    return vote(cells, ["feed", "pos"], RULES)
+    return vote(labelled(cells, RULES), ["feed", "pos"])
 
 
 # Validate
@@ -322,6 +329,14 @@ def stg_to_dw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg_to_dw(_stg(spark, sf_dir), fx.FORCED, fx.KEYS, fx.CTX)
 
 
+@_query
+def stg_to_dw_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same survivors, looked up in the repeated keys."""
+    stg = _stg(spark, sf_dir)
+    repeated = repeated_keys(stg, fx.KEYS, fx.CTX)
+    return stg_to_dw(stg, fx.FORCED, fx.KEYS, fx.CTX, repeated)
+
+
 # Sinks
 
 
@@ -341,7 +356,7 @@ def _append_all(spark: SparkSession, sf_dir: str, idempotent: bool) -> DataFrame
     repeated = rej_duplicate_rows(spark, sf_dir)
     if idempotent:
         for _ in range(2):
-            warehouse.append_rejects(mismatched.unionByName(repeated), "rej.purchases", True)
+            warehouse.append_rejects(mismatched.unionByName(repeated), "rej.purchases", fx.CTX)
     else:
         warehouse.append_rejects(mismatched, "rej.purchases")
         warehouse.append_rejects(repeated, "rej.purchases")

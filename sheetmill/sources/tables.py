@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetmill.model import REJECT_SCHEMA, FeedError
+from sheetmill.model import REJECT_SCHEMA, FeedError, RunContext
 
 REJECT_PARTITIONS = ("job_date", "job_id")
 
+# The characters Hive-style partition folders write as %XX.
+_ESCAPED = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""")
+
+
+def _run_folder(ctx: RunContext) -> str:
+    job_id = _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", ctx.job_id)
+    return f"job_date={ctx.job_date}/job_id={job_id}"
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -43,31 +52,36 @@ class Warehouse:
             writer.option("overwriteSchema", "true").saveAsTable(table)
         return self.read(table)
 
-    def append_rejects(self, df: DataFrame, table: str, idempotent: bool = False) -> DataFrame:
+    def append_rejects(self, df: DataFrame, table: str, replace_run: RunContext | None = None) -> DataFrame:
         """Add reject rows, laid out by run.
 
         Rejects are few next to the rows they were filtered from, so they are rebalanced
-        into reasonably sized files first. With ``idempotent`` the run's own partition is
-        replaced, so ``df`` must hold all rejects of the run and a retry does not add them
-        twice.
+        into reasonably sized files first. With ``replace_run`` the partition of that run is
+        overwritten, even by nothing, so ``df`` must hold all its rejects and a retry does
+        not add them twice.
         """
         rows = df.select(*REJECT_SCHEMA.names).hint("rebalance")
         if self.base:
-            writer = rows.write.format("parquet").partitionBy(*REJECT_PARTITIONS)
-            if idempotent:
-                writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            if replace_run:
+                run = rows.drop(*REJECT_PARTITIONS)
+                run.write.mode("overwrite").parquet(f"{self.path(table)}/{_run_folder(replace_run)}")
             else:
-                writer = writer.mode("append")
-            writer.save(self.path(table))
+                writer = rows.write.mode("append").partitionBy(*REJECT_PARTITIONS)
+                writer.parquet(self.path(table))
+            return self.read_rejects(table)
+        self._create_dataset(table)
+        if not self.spark.catalog.tableExists(table):
+            rows.write.format("parquet").partitionBy(*REJECT_PARTITIONS).saveAsTable(table)
+        elif replace_run:
+            job_id = replace_run.job_id.replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {table} PARTITION "
+                f"(job_date = DATE '{replace_run.job_date}', job_id = '{job_id}') "
+                "SELECT * FROM {run}",
+                run=rows.drop(*REJECT_PARTITIONS),
+            )
         else:
-            self._create_dataset(table)
-            if self.spark.catalog.tableExists(table):
-                overwrite = "dynamic" if idempotent else "static"
-                rows.write.option("partitionOverwriteMode", overwrite).insertInto(
-                    table, overwrite=idempotent
-                )
-            else:
-                rows.write.format("parquet").partitionBy(*REJECT_PARTITIONS).saveAsTable(table)
+            rows.write.insertInto(table)
         return self.read_rejects(table)
 
     def read_rejects(self, table: str) -> DataFrame:

@@ -1,0 +1,378 @@
+"""Operators on small tables, their invariants and their plans."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sheetmill.model import REJECT_SCHEMA, ROW_ID, FeedError, SchemaInfo
+from sheetmill.operators.control import approved_configs, blocked_feeds, gate_feeds
+from sheetmill.operators.dedup import (
+    dedup_rank,
+    duplicate_rows,
+    rej_duplicate,
+    repeated_keys,
+    stg_to_dw,
+)
+from sheetmill.operators.ingest import (
+    assemble,
+    collect_headers,
+    count_long_rows,
+    dedup_headers,
+    require_data,
+)
+from sheetmill.operators.profile import infer_schema, infer_types, profile_sample
+from sheetmill.operators.quality import reconcile, reject_summary, typed_rows
+from sheetmill.operators.ranking import rank_rows
+from sheetmill.operators.validate import ext_to_src, rej_datatype
+from sheetmill.rules import RuleSet
+
+RULES = RuleSet.reference()
+ALIGNED = RuleSet.aligned()
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().toString()
+
+
+def executed_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def sheet(spark, rows, feed="f"):
+    data = [(feed, i, cells) for i, cells in enumerate(rows)]
+    return spark.createDataFrame(data, f"feed string, {ROW_ID} long, cells array<string>")
+
+
+def tmp_table(spark, rows, columns):
+    fields = ", ".join(f"`{c}` string" for c in columns)
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"{ROW_ID} long, {fields}")
+
+
+# Ingest
+
+
+def test_headers(spark):
+    rows = sheet(spark, [["PO Number", " po-number ", "Total (IDR)", "", None, "", "po number"]])
+    assert collect_headers(rows) == {
+        "f": ["po_number", "po_number_1", "total_idr", "col", "none", "col_1", "po_number_2"]
+    }
+
+
+def test_header_collision_is_an_error(spark):
+    rows = sheet(spark, [["a", "a", "a_1"], ["1", "2", "3"]])
+    names = collect_headers(rows)["f"]
+    assert names == ["a", "a_1", "a_1"]
+    with pytest.raises(FeedError, match="repeat"):
+        assemble(rows, names)
+
+
+@pytest.mark.parametrize("name", ["row", "job_id", "job_date", "load_datetime"])
+def test_reserved_header_is_an_error(name):
+    with pytest.raises(FeedError, match="collide"):
+        SchemaInfo(("a", name))
+
+
+def test_assemble(spark):
+    rows = sheet(spark, [["A", "B"], [" x\ny ", ""], ["1"], ["1", "2", "3"], [], [None, "\xa0"]])
+    got = [tuple(r) for r in assemble(rows, ["a", "b"]).orderBy(ROW_ID).collect()]
+    assert got == [(1, "x y", None), (2, "1", None), (3, "1", "2"), (4, None, None), (5, None, None)]
+    assert count_long_rows(rows, {"f": ["a", "b"]}) == {"f": 1}
+
+
+def test_empty_source_is_an_error():
+    with pytest.raises(FeedError, match="No data found.*b"):
+        require_data(["a", "b"], {"a": ["x"]})
+
+
+# Profile
+
+
+def test_most_frequent_label_wins_and_ties_go_to_the_first(spark):
+    rows = [
+        ("1", "x", None, "1.5", "2024-01-01"),
+        ("2", "1", "", "1", "5"),
+        ("x", "2", None, "2", "2024-01-02"),
+        ("y", "y", None, "2.5", ""),
+    ]
+    columns = ["int_first", "text_first", "empty", "float_first", "dates"]
+    types = infer_types(tmp_table(spark, rows, columns), columns, RULES)
+    assert {r.col: r.inferred for r in types.collect()} == {
+        "int_first": "INT64",
+        "text_first": "STRING",
+        "empty": "STRING",
+        "float_first": "FLOAT",
+        "dates": "DATE",
+    }
+
+
+def test_integers_and_decimals_vote_apart(spark):
+    rows = [(v,) for v in ["1"] * 4 + ["1.5"] * 3 + ["x"] * 5]
+    schema = infer_schema(tmp_table(spark, rows, ["c"]), ["c"], RULES)
+    assert schema == SchemaInfo(("c",))
+
+
+def test_empty_table_has_no_typed_columns(spark):
+    assert infer_schema(tmp_table(spark, [], ["a", "b"]), ["a", "b"], RULES).typed == ()
+
+
+def test_sampled_profile(spark):
+    tmp = tmp_table(spark, [(str(i), f"x{i}") for i in range(3000)], ["n", "t"])
+    assert profile_sample(tmp, seed=1).count() == 1000
+    schema = infer_schema(tmp, ["n", "t"], RULES, sample_limit=200, seed=1)
+    assert schema == SchemaInfo(("n", "t"), (), ("n",))
+
+
+# Validate and route
+
+COLUMNS = ("k", "d", "n")
+SCHEMA = SchemaInfo(COLUMNS, ("d",), ("n",))
+ROWS = [
+    ("a", "1/2/2024", "5"),
+    (" a|b ", None, "7.5%"),
+    ("b", "2024-01-05", "-1"),
+    ("c", "1/2/2024", "1,234"),
+    ("d", "x", None),
+    (None, "5-Jan-2024", "1.0"),
+]
+
+
+def test_routing(spark, ctx):
+    tmp = tmp_table(spark, ROWS, COLUMNS)
+    src = ext_to_src(tmp, SCHEMA, ctx, RULES)
+    assert src.columns == [*COLUMNS, "load_datetime", "job_date", "job_id", "row", ROW_ID]
+    got = {r[ROW_ID]: (r.k, r.d, r.n, r.row) for r in src.collect()}
+    assert got == {
+        0: ("a", "1/2/2024", "5", "a|1/2/2024|5"),
+        1: ("a|b", None, "7.5%", " a|b ||7.5%"),
+        5: (None, "5-Jan-2024", "1.0", "|5-Jan-2024|1.0"),
+    }
+    rejects = rej_datatype(tmp, SCHEMA, ctx, RULES)
+    assert rejects.schema.names == REJECT_SCHEMA.names
+    assert [f.dataType for f in rejects.schema] == [f.dataType for f in REJECT_SCHEMA]
+    assert sorted((r.row, r.rej_reason, r.rej_detail) for r in rejects.collect()) == [
+        ("b|2024-01-05|-1", "DATATYPE MISMATCH", "d: 2024-01-05|n: -1"),
+        ("d|x|", "DATATYPE MISMATCH", "d: x"),
+    ]
+
+
+def test_untyped_feed_rejects_nothing(spark, ctx):
+    tmp = tmp_table(spark, ROWS, COLUMNS)
+    rejects = rej_datatype(tmp, SchemaInfo(COLUMNS), ctx, RULES)
+    assert rejects.columns == REJECT_SCHEMA.names
+    assert rejects.count() == 0
+    assert ext_to_src(tmp, SchemaInfo(COLUMNS), ctx, RULES).count() == len(ROWS)
+
+
+@pytest.mark.parametrize(("rules", "leaked"), [(RULES, 1), (ALIGNED, 0)])
+def test_reconcile(spark, ctx, rules, leaked):
+    tmp = tmp_table(spark, ROWS, COLUMNS)
+    stg = typed_rows(tmp, SCHEMA, ctx, rules)
+    n = {r.layer: r.n_rows for r in reconcile(tmp, stg, SCHEMA, ["k"], ctx, rules).collect()}
+    assert n["leaked"] == leaked
+    assert n["tmp"] == len(ROWS) == n["src"] + n["rej_datatype"] + n["leaked"]
+    assert n["src"] == n["dw"] + n["rej_duplicate"]
+
+
+def test_reject_summary(spark, ctx):
+    tmp = tmp_table(spark, [*ROWS, ("a", "1/2/2024", "6")], COLUMNS)
+    stg = typed_rows(tmp, SCHEMA, ctx, RULES)
+    summary = reject_summary(tmp, stg, SCHEMA, ["k"], ctx, RULES)
+    assert {(r.rej_reason, r.column_name): r.n_rows for r in summary.collect()} == {
+        ("DATATYPE MISMATCH", None): 2,
+        ("DATATYPE MISMATCH", "d"): 2,
+        ("DATATYPE MISMATCH", "n"): 1,
+        ("DUPLICATE RECORD", None): 1,
+    }
+
+
+# Deduplicate
+
+
+def keyed(spark, ctx, keys):
+    """STG rows whose business key repeats as given."""
+    tmp = tmp_table(spark, [(k, None, "5") for k in keys], COLUMNS)
+    return typed_rows(tmp, SCHEMA, ctx, RULES)
+
+
+def random_keys(n=400, seed=3):
+    rng = random.Random(seed)
+    return [rng.choice([None, "hot", "hot", "hot", *map(str, range(60))]) for _ in range(n)]
+
+
+def expected_rank(keys):
+    seen = Counter()
+    ranks = {}
+    for i, k in enumerate(keys):
+        seen[k] += 1
+        ranks[i] = seen[k]
+    return ranks
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1000, 40, 7, 1])
+def test_rank_is_the_same_however_keys_are_cut(spark, ctx, hot_rows):
+    keys = random_keys()
+    stg = keyed(spark, ctx, keys)
+    ranked = rank_rows(stg, ["k", "n"], ROW_ID, hot_rows=hot_rows, probe=1.0)
+    assert ranked.columns == [*stg.columns, "rownum"]
+    assert {r[ROW_ID]: r.rownum for r in ranked.collect()} == expected_rank(keys)
+
+
+def test_rank_of_sparse_positions(spark):
+    positions = [0, 1, 5, 10**12, 10**12 + 1, 7, 3]
+    rows = spark.createDataFrame([("k", p) for p in positions], "k string, p long")
+    ranked = rank_rows(rows, ["k"], "p", hot_rows=2, probe=1.0)
+    assert {r.p: r.rownum for r in ranked.collect()} == {
+        p: i + 1 for i, p in enumerate(sorted(positions))
+    }
+
+
+def test_hot_key_is_not_ranked_in_one_group(spark):
+    rows = spark.range(4000).selectExpr("'k' AS k", "id AS p")
+    ranked = rank_rows(rows, ["k"], "p", hot_rows=100, probe=1.0)
+    assert "_block" in plan_of(ranked)
+    assert ranked.filter("rownum <> p + 1").count() == 0
+    assert ranked.count() == 4000
+    plain = rank_rows(rows, ["k"], "p", hot_rows=10_000, probe=1.0)
+    assert "_block" not in plan_of(plain)
+
+
+def test_dedup_headers_in_blocks(spark):
+    headers = spark.range(200).selectExpr("'f' AS feed", "id AS pos", "'a' AS clean")
+    names = dedup_headers(headers, hot_rows=20)
+    assert {r.pos: r.name for r in names.collect()} == {
+        i: "a" if i == 0 else f"a_{i}" for i in range(200)
+    }
+
+
+@pytest.mark.parametrize("lookup", [False, True])
+def test_survivors_and_duplicates_split_the_rows(spark, ctx, lookup):
+    keys = random_keys()
+    stg = keyed(spark, ctx, keys)
+    ranks = expected_rank(keys)
+    repeated = repeated_keys(stg, ["k"], ctx) if lookup else None
+    schema = SchemaInfo(COLUMNS, ("d",), ("n",))
+    dw = stg_to_dw(stg, schema, ["k"], ctx, repeated)
+    assert dw.columns == [*COLUMNS, "load_datetime", "job_date", "job_id"]
+    assert Counter(r.k for r in dw.collect()) == Counter(set(keys))
+    later = duplicate_rows(stg, ["k"], ctx, repeated)
+    assert {r[ROW_ID] for r in later.collect()} == {i for i, rank in ranks.items() if rank > 1}
+
+
+def test_duplicate_detail(spark, ctx):
+    rows = [("a", "1/2/2024", "101"), (None, None, "12345678.5"), (None, None, None)]
+    tmp = tmp_table(spark, rows * 2, COLUMNS)
+    stg = typed_rows(tmp, SCHEMA, ctx, RULES)
+    rejects = rej_duplicate(stg, COLUMNS, ctx, ";")
+    assert {(r.row, r.rej_detail) for r in rejects.collect()} == {
+        ("a|1/2/2024|101", "k: a;d: 2024-01-02;n: 101"),
+        ("||12345678.5", "k: NULL;d: NULL;n: 12345678.5"),
+        ("||", "k: NULL;d: NULL;n: NULL"),
+    }
+
+
+def test_only_the_run_is_ranked(spark, ctx):
+    stg = keyed(spark, ctx, ["a", "a", "b"])
+    other = stg.withColumn("job_id", F.lit("run_0"))
+    assert dedup_rank(stg.unionByName(other), ["k"], ctx).count() == 3
+
+
+@pytest.mark.parametrize(("keys", "message"), [((), "no primary key"), (("gone",), "missing.*gone")])
+def test_unusable_keys_are_an_error(spark, ctx, keys, message):
+    with pytest.raises(FeedError, match=message):
+        stg_to_dw(keyed(spark, ctx, ["a"]), SCHEMA, keys, ctx)
+
+
+# Plans
+
+
+def test_survivors_are_cut_before_the_shuffle(spark, ctx):
+    plan = plan_of(stg_to_dw(keyed(spark, ctx, ["a"]), SCHEMA, ["k"], ctx))
+    physical = plan[plan.index("== Physical Plan ==") :]
+    assert "WindowGroupLimit" in physical and "Partial" in physical
+    assert physical.count("Exchange hashpartitioning") == 1
+
+
+def test_few_repeated_keys_leave_rows_in_place(spark, ctx, tmp_path):
+    stg = keyed(spark, ctx, random_keys())
+    repeated_keys(stg, ["k"], ctx).write.parquet(str(tmp_path / "repeated"))
+    repeated = spark.read.parquet(str(tmp_path / "repeated"))
+    for df in (
+        stg_to_dw(stg, SCHEMA, ["k"], ctx, repeated),
+        rej_duplicate(stg, ["k"], ctx, "|", repeated),
+    ):
+        plan = executed_plan(df)
+        assert "BroadcastHashJoin" in plan
+        assert "Exchange hashpartitioning" not in plan
+
+
+def test_hot_key_join_is_split(spark, ctx, conf, tmp_path):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions="8",
+    )
+    keys = ["hot" if i % 3 == 0 else f"k{i % 7000}" for i in range(20000)]
+    keyed(spark, ctx, keys).repartition(8).write.parquet(str(tmp_path / "stg"))
+    rejects = rej_duplicate(spark.read.parquet(str(tmp_path / "stg")), ["k"], ctx)
+    assert "skew=true" in executed_plan(rejects)
+    assert rejects.count() == len(keys) - len(set(keys))
+
+
+def test_inference_shuffles_votes_only(spark):
+    tmp = tmp_table(spark, [("1", "x")] * 1000, ["n", "t"])
+    plan = plan_of(infer_types(tmp, ["n", "t"], RULES))
+    physical = plan[plan.index("== Physical Plan ==") :]
+    assert physical.count("Exchange hashpartitioning") == 1
+    assert "partial_count" in physical and "SortAggregate" not in physical
+    assert "Python" not in physical
+
+
+# Control
+
+CONTROL = "pos int, job_name string, status string, primary_keys string"
+
+
+def control(spark):
+    rows = [
+        (0, "a", "ok", "x, y"),
+        (1, "b", "DISABLED", "x"),
+        (2, "b", "OK", "x"),
+        (3, "c", None, "x"),
+        (4, "d", "OK", ""),
+        (5, "a", "DISABLED", "z"),
+    ]
+    table = spark.createDataFrame(rows, CONTROL)
+    extra = ["schedule", "field_delimiter", "gsheet_id", "range"]
+    extra += [f"{layer}_table" for layer in ("tmp", "src", "stg", "dw", "rej")]
+    return table.select("*", *[F.concat(F.lit(f"{c}."), "job_name").alias(c) for c in extra])
+
+
+def test_gate_feeds(spark):
+    rows = spark.createDataFrame([(f,) for f in "aabbcde"], "feed string")
+    allowed = gate_feeds(rows, control(spark)).collect()
+    assert sorted(r.feed for r in allowed) == ["a", "a", "d"]
+    blocked = blocked_feeds(rows, control(spark)).collect()
+    assert {r.feed: r.status for r in blocked} == {"b": "DISABLED", "c": "", "e": None}
+
+
+def test_approved_configs(spark):
+    configs = {c.job_name: c for c in approved_configs(control(spark))}
+    assert sorted(configs) == ["a", "d"]
+    assert configs["a"].primary_key == ("x", "y")
+    assert configs["a"].tables["dw"] == "dw_table.a"
+    assert configs["d"].primary_key == ()
+    assert [c.job_name for c in approved_configs(control(spark), ["a"])] == ["a"]
+
+
+@pytest.mark.parametrize(("job", "message"), [("b", "DISABLED"), ("zz", "not in the control")])
+def test_other_jobs_are_an_error(spark, job, message):
+    with pytest.raises(FeedError, match=message):
+        approved_configs(control(spark), [job])
