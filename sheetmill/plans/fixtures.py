@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from sheetmill.model import ROW_ID, RunContext, SchemaInfo
 
@@ -152,8 +152,6 @@ SHEET_KEYS = {
     "suppliers": "supplier",
 }
 SHEET_STATUS = {"purchases": "OK", "catalogue": "ok", "visits": "Ok", "suppliers": "DISABLED"}
-#: Rows in one exported document.
-SHEET_CHUNK = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -169,35 +167,22 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(table(spark, sf_dir, "orders"), PURCHASES)
 
 
-def sheet_rows(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    """``(feed, chunk, key, cells)`` of a sheet's body."""
-    name, key, _, cells = SHEETS[feed]
-    array = ", ".join(cells)
-    return table(spark, sf_dir, name).selectExpr(
-        f"'{feed}' AS feed", f"{key} DIV {SHEET_CHUNK} AS chunk", f"{key} AS key", f"array({array}) AS cells"
-    )
-
-
 def export_sheets(spark: SparkSession, sf_dir: str, feeds: list[str], path: str) -> None:
-    """Write feeds as value documents of a bounded number of rows, one document per line."""
-    headers = spark.createDataFrame(
+    """Write feeds as value documents, one sheet row each and one document per line."""
+    documents = spark.createDataFrame(
         [(feed, f"{feed}!A1:Z1", [list(SHEETS[feed][2])]) for feed in feeds],
         "feed string, range string, values array<array<string>>",
     )
     for feed in feeds:
-        first = F.col("chunk") * SHEET_CHUNK + 2
-        documents = (
-            sheet_rows(spark, sf_dir, feed)
-            .groupBy("feed", "chunk")
-            .agg(F.sort_array(F.collect_list(F.struct("key", "cells"))).alias("rows"))
-            .select(
-                "feed",
-                F.format_string("%s!A%d:Z%d", "feed", first, first + SHEET_CHUNK - 1).alias("range"),
-                F.col("rows.cells").alias("values"),
+        name, key, _, cells = SHEETS[feed]
+        documents = documents.unionByName(
+            table(spark, sf_dir, name).selectExpr(
+                f"'{feed}' AS feed",
+                f"concat('{feed}!A', {key} + 2, ':Z', {key} + 2) AS range",
+                f"array(array({', '.join(cells)})) AS values",
             )
         )
-        documents.write.mode("append").partitionBy("feed").json(path)
-    headers.write.mode("append").partitionBy("feed").json(path)
+    documents.write.partitionBy("feed").json(path)
 
 
 def control_sheet(spark: SparkSession) -> DataFrame:

@@ -8,15 +8,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from sheetmill.model import ROW_ID, FeedConfig, RunContext, SchemaInfo
+from sheetmill.model import ROW_ID, FeedConfig, FeedError, RunContext, SchemaInfo
 from sheetmill.operators.cast import src_to_stg
 from sheetmill.operators.dedup import rej_duplicate, repeated_keys, stg_to_dw
 from sheetmill.operators.ingest import assemble, collect_headers, count_long_rows, require_data
 from sheetmill.operators.profile import infer_feed_schemas, infer_schema
 from sheetmill.operators.validate import ext_to_src, rej_datatype
 from sheetmill.rules import RuleSet
-from sheetmill.session import scratch_path
-from sheetmill.sources.sheets import read_sheets
+from sheetmill.session import scratch
+from sheetmill.sources.sheets import DAMAGED_ROW, read_sheets
 from sheetmill.sources.tables import Warehouse
 
 #: Up to this many repeated keys, survivors are looked up instead of ranked.
@@ -41,13 +41,6 @@ class FeedResult:
     error: Exception | None = None
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: the plan ends here, its size is known."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def stage_rows(rows: DataFrame, path: str) -> DataFrame:
     """Write sheet rows by feed, so headers and single feeds are read without the rest."""
     rows.select(*_STAGED.names).write.mode("overwrite").partitionBy("feed").parquet(path)
@@ -70,17 +63,22 @@ def load_table(
     shuffled: they are written down, and both rejects and survivors are looked up in them.
     """
     schema.require_keys(config.primary_key)
+    spark = warehouse.spark
     tables, keys, delimiter = config.tables, config.primary_key, config.delimiter
     src = warehouse.replace(ext_to_src(tmp, schema, ctx, rules, delimiter), tables["src"])
     stg = warehouse.replace(src_to_stg(src, schema, ctx, rules), tables["stg"])
-    repeated = _written(repeated_keys(stg, keys, ctx), "repeated")
-    few = repeated.count() <= FEW_REPEATED_KEYS
-    mismatched = rej_datatype(tmp, schema, ctx, rules, delimiter)
-    duplicates = rej_duplicate(stg, keys, ctx, delimiter, repeated)
-    rejects = mismatched.unionByName(duplicates)
-    warehouse.append_rejects(rejects, tables["rej"], ctx if idempotent else None)
-    dw = stg_to_dw(stg, schema, keys, ctx, repeated if few else None)
-    warehouse.replace(dw, tables["dw"])
+    with scratch(spark, "repeated") as path:
+        # Written, so that the plan ends here and the planner knows the size of the table.
+        found = repeated_keys(stg, keys, ctx)
+        found.write.parquet(path)
+        repeated = spark.read.schema(found.schema).parquet(path)
+        few = repeated.count() <= FEW_REPEATED_KEYS
+        mismatched = rej_datatype(tmp, schema, ctx, rules, delimiter)
+        duplicates = rej_duplicate(stg, keys, ctx, delimiter, repeated)
+        rejects = mismatched.unionByName(duplicates)
+        warehouse.append_rejects(rejects, tables["rej"], ctx if idempotent else None)
+        dw = stg_to_dw(stg, schema, keys, ctx, repeated if few else None)
+        warehouse.replace(dw, tables["dw"])
 
 
 def load_feeds(
@@ -103,27 +101,34 @@ def load_feeds(
     """
     rules = rules or RuleSet.reference()
     by_job = {c.job_name: c for c in configs}
-    rows = read_sheets(spark, sheets, multi_line).filter(F.col("feed").isin(list(by_job)))
-    staged = stage_rows(rows, scratch_path(spark, "staged"))
-    headers = collect_headers(staged)
-    long_rows = count_long_rows(staged, headers)
-    schemas = infer_feed_schemas(staged, headers, rules) if sample_limit is None else {}
-
-    def load(job: str) -> FeedResult:
-        config = by_job[job]
-        schema = None
-        try:
-            require_data([job], headers)
-            wide = assemble(staged.filter(F.col("feed") == job), headers[job])
-            inferred = schemas.get(job)
-            if isinstance(inferred, Exception):
-                raise inferred
-            tmp = warehouse.replace(wide, config.tables["tmp"])
-            schema = inferred or infer_schema(tmp, headers[job], rules, sample_limit=sample_limit)
-            load_table(tmp, schema, config, ctx, warehouse, rules, idempotent)
-            return FeedResult(job, schema, long_rows.get(job, 0))
-        except Exception as error:  # one feed must not stop the others
-            return FeedResult(job, schema, long_rows.get(job, 0), error)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        return dict(zip(by_job, pool.map(load, by_job), strict=True))
+    rows = read_sheets(spark, sheets, multi_line, mark_damaged=True)
+    with scratch(spark, "staged") as path:
+        staged = stage_rows(rows.filter(F.col("feed").isin(list(by_job))), path)
+        marked = staged.filter(F.col(ROW_ID) == DAMAGED_ROW).select("feed").distinct()
+        damaged = {r.feed for r in marked.collect()}
+        headers = collect_headers(staged)
+        long_rows = count_long_rows(staged, headers)
+        schemas = infer_feed_schemas(staged, headers, rules) if sample_limit is None else {}
+
+        def load(job: str) -> FeedResult:
+            tables = by_job[job].tables
+            schema = None
+            try:
+                if job in damaged:
+                    raise FeedError(f"a document of {job!r} cannot be parsed")
+                require_data([job], headers)
+                inferred = schemas.get(job)
+                if isinstance(inferred, Exception):
+                    raise inferred
+                wide = assemble(staged.filter(F.col("feed") == job), headers[job])
+                tmp = warehouse.replace(wide, tables["tmp"])
+                schema = inferred or infer_schema(
+                    tmp, headers[job], rules, sample_limit=sample_limit
+                )
+                load_table(tmp, schema, by_job[job], ctx, warehouse, rules, idempotent)
+                return FeedResult(job, schema, long_rows.get(job, 0))
+            except Exception as error:  # one feed must not stop the others
+                return FeedResult(job, schema, long_rows.get(job, 0), error)
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            return dict(zip(by_job, pool.map(load, by_job), strict=True))

@@ -223,14 +223,10 @@ def _types(columns, labels=_LABELS) -> list[str]:
 
 
 def _sheet_body(feed: str) -> str:
-    """Sheet rows at the positions the exported documents give them."""
+    """Sheet rows below the header, which is row 0."""
     table, key, _, cells = fx.SHEETS[feed]
-    size = fx.SHEET_CHUNK
     columns = ", ".join(f"{c} AS c{i}" for i, c in enumerate(cells))
-    return (
-        f"SELECT ({key} // {size}) * {size} + row_number() OVER (PARTITION BY {key} // {size} ORDER BY {key}) "
-        f"AS _src_row, {columns} FROM {table}"
-    )
+    return f"SELECT {key} + 1 AS _src_row, {columns} FROM {table}"
 
 
 def _sheet_text(feed: str) -> str:
@@ -328,10 +324,10 @@ def statements() -> dict[str, str]:
             "SELECT " + ", ".join(f"nullif({_clean(c)}, '') AS {c}" for c in fx.LANDING) + " FROM landing",
         ),
         "load_tmp": _sheet_tmp("catalogue", catalogue),
-        "blank_cells_to_null": _with([_PURCHASES], f"SELECT _src_row, {columns} FROM tmp"),
+        "blank_to_null": _with([_PURCHASES], f"SELECT _src_row, {columns} FROM tmp"),
         "classify_cells": _with([_PURCHASES, *_types(fx.COLUMNS)], "SELECT _src_row, col, value, label FROM labelled"),
-        "infer_column_types": _with([_PURCHASES, *_types(fx.COLUMNS)], "SELECT * FROM types"),
-        "infer_schema_groups": _with(
+        "infer_types": _with([_PURCHASES, *_types(fx.COLUMNS)], "SELECT * FROM types"),
+        "schema_groups": _with(
             [_PURCHASES, *_types(fx.COLUMNS)],
             "SELECT col, pos, inferred, CASE inferred WHEN 'DATE' THEN 'date' WHEN 'INT64' THEN 'numeric' "
             "WHEN 'FLOAT' THEN 'numeric' END AS grp FROM types",
@@ -354,8 +350,8 @@ def statements() -> dict[str, str]:
         "src_project": _with(
             [landing], "SELECT " + ", ".join(f"{_strip(c)} AS {c}" for c in fx.LANDING) + " FROM landing"
         ),
-        "audit_stamp": f"SELECT event_id, ts + INTERVAL 7 HOUR AS local_time, {_AUDIT} FROM events",
-        "raw_row_text": _with([_PURCHASES], f"SELECT _src_row, {_row(fx.COLUMNS)} AS row FROM tmp"),
+        "audit_columns": f"SELECT event_id, ts + INTERVAL 7 HOUR AS local_time, {_AUDIT} FROM events",
+        "row_text": _with([_PURCHASES], f"SELECT _src_row, {_row(fx.COLUMNS)} AS row FROM tmp"),
         "valid_date": _with(
             [_PURCHASES], f"SELECT _src_row, transaction_date, {_is_date('transaction_date')} AS ok FROM tmp"
         ),
@@ -371,13 +367,13 @@ def statements() -> dict[str, str]:
             [_PURCHASES],
             f"SELECT _src_row, {_INFERRED.accepted} AS accepted, {_INFERRED.rejected} AS rejected FROM tmp",
         ),
-        "ext_to_src_rows": _with([_PURCHASES, _INFERRED.src()], "SELECT * FROM src"),
-        "reject_details": _with([_PURCHASES], f"SELECT _src_row, {_INFERRED.detail} AS rej_detail FROM tmp"),
-        "rej_datatype_rows": _with([_PURCHASES, _INFERRED.rej_datatype()], "SELECT * FROM rej_datatype"),
-        "rej_datatype_untyped": _with(
+        "ext_to_src": _with([_PURCHASES, _INFERRED.src()], "SELECT * FROM src"),
+        "reject_detail": _with([_PURCHASES], f"SELECT _src_row, {_INFERRED.detail} AS rej_detail FROM tmp"),
+        "rej_datatype": _with([_PURCHASES, _INFERRED.rej_datatype()], "SELECT * FROM rej_datatype"),
+        "rej_datatype_empty": _with(
             [_PURCHASES, _Feed(fx.COLUMNS, (), (), fx.KEYS).rej_datatype()], "SELECT * FROM rej_datatype"
         ),
-        "run_slice_rows": _with(
+        "run_slice": _with(
             [_fixture("runs", fx.RUN_ROWS, "orders")],
             f"SELECT _src_row, {columns}, job_date, job_id FROM runs "
             "WHERE job_id = 'run_f' AND job_date = DATE '2024-01-05'",
@@ -393,8 +389,8 @@ def statements() -> dict[str, str]:
         "blank_string": _with(
             [headers], "SELECT feed, pos, CASE WHEN header <> '' THEN header END AS value FROM headers"
         ),
-        "src_to_stg_rows": _with([_PURCHASES, _INFERRED.src(), _INFERRED.stg()], "SELECT * FROM stg"),
-        "dedup_rank_rows": _with(
+        "src_to_stg": _with([_PURCHASES, _INFERRED.src(), _INFERRED.stg()], "SELECT * FROM stg"),
+        "dedup_rank": _with(
             [_PURCHASES, _FORCED.src(), _FORCED.stg(), _FORCED.ranked()],
             f"SELECT _src_row, {keys}, rownum FROM ranked",
         ),
@@ -402,24 +398,24 @@ def statements() -> dict[str, str]:
             [null_keys, _FORCED.src(), _FORCED.stg(), _FORCED.ranked()],
             f"SELECT _src_row, {keys}, rownum FROM ranked",
         ),
-        "duplicate_details": _with(
+        "duplicate_detail": _with(
             [_PURCHASES, _FORCED.src(), _FORCED.stg()],
             f"SELECT _src_row, {_FORCED.key_detail} AS rej_detail FROM stg",
         ),
-        "rej_duplicate_rows": _with([_PURCHASES, *_FORCED.layers()], "SELECT * FROM rej_duplicate"),
+        "rej_duplicate": _with([_PURCHASES, *_FORCED.layers()], "SELECT * FROM rej_duplicate"),
         "rej_duplicate_null_keys": _with([null_keys, *_FORCED.layers()], "SELECT * FROM rej_duplicate"),
-        "stg_to_dw_rows": _with([_PURCHASES, *_FORCED.layers()], "SELECT * FROM dw"),
+        "stg_to_dw": _with([_PURCHASES, *_FORCED.layers()], "SELECT * FROM dw"),
         "stg_to_dw_lookup": _with([_PURCHASES, *_FORCED.layers()], "SELECT * FROM dw"),
         "sink_overwrite": _with([_PURCHASES, _INFERRED.src(), _INFERRED.stg()], "SELECT * FROM stg"),
         "rej_all": _with([_PURCHASES, *_FORCED.layers()], rejects),
         "rej_all_retried": _with([_PURCHASES, *_FORCED.layers()], rejects),
-        "gate_feed_rows": _with(
+        "gate_feeds": _with(
             [control],
             "SELECT event_id, event_type AS feed FROM events "
             "WHERE event_type IN (SELECT job_name FROM control WHERE status = 'OK')",
         ),
-        "blocked_feed_list": _with([control], "SELECT job_name AS feed, status FROM control WHERE status <> 'OK'"),
-        "parse_key_lists": _with(
+        "blocked_feeds": _with([control], "SELECT job_name AS feed, status FROM control WHERE status <> 'OK'"),
+        "parse_key_list": _with(
             [_fixture("control", fx.KEY_LISTS, "customer")],
             "SELECT job_name, CAST(CASE WHEN coalesce(primary_keys, '') = '' THEN 0 "
             f"ELSE len({key_list}) END AS INTEGER) AS n_keys, "
@@ -435,7 +431,7 @@ def statements() -> dict[str, str]:
         ),
         "purchases_dw": _with([_PURCHASES, *_INFERRED.layers()], "SELECT * FROM dw"),
         "purchases_rejects": _with([_PURCHASES, *_INFERRED.layers()], rejects),
-        "reject_counts": _with(
+        "reject_summary": _with(
             [
                 _PURCHASES,
                 *_INFERRED.layers(),
@@ -444,7 +440,7 @@ def statements() -> dict[str, str]:
             ],
             "SELECT job_id, job_date, rej_reason, column_name, count(*) AS n_rows FROM causes GROUP BY ALL",
         ),
-        "reconcile_counts": _reconcile(_INFERRED),
+        "reconcile": _reconcile(_INFERRED),
         "reconcile_forced": _reconcile(_FORCED),
         "aligned_types": _with([_PURCHASES, *_types(fx.COLUMNS, _ALIGNED_LABELS)], "SELECT * FROM types"),
         "aligned_dw": _with([_PURCHASES, *_ALIGNED.layers()], "SELECT * FROM dw"),

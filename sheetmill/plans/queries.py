@@ -62,9 +62,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
-def _query(function: Query) -> Query:
-    _QUERIES[function.__name__] = function
-    return function
+def _query(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        _QUERIES[name] = function
+        return function
+
+    return register
 
 
 def registered() -> dict[str, Query]:
@@ -82,7 +85,7 @@ def _joined(cells: Column) -> Column:
 # Ingest
 
 
-@_query
+@_query("ingest_sheet")
 def ingest_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "sheets")
     fx.export_sheets(spark, sf_dir, ["purchases", "suppliers"], path)
@@ -91,18 +94,18 @@ def ingest_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_query
+@_query("header_sanitize")
 def header_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = fx.derive(fx.table(spark, sf_dir, "part"), fx.HEADERS)
     return headers.withColumn("clean", sanitize_header(F.col("header")))
 
 
-@_query
+@_query("header_dedup")
 def header_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_headers(header_sanitize(spark, sf_dir)).select("feed", "pos", "clean", "name")
 
 
-@_query
+@_query("row_pad")
 def row_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.derive(fx.table(spark, sf_dir, "orders"), fx.RAGGED)
     return rows.select(
@@ -112,13 +115,13 @@ def row_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_query
+@_query("cell_clean")
 def cell_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = fx.derive(fx.table(spark, sf_dir, "documents"), fx.CELLS)
     return cells.select("doc_id", clean_cell(F.col("cell")).alias("cell"))
 
 
-@_query
+@_query("landing_roundtrip")
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fx.derive(fx.table(spark, sf_dir, "documents"), fx.LANDING)
     cleaned = raw.select(*[clean_cell(quoted(c)).alias(c) for c in raw.columns])
@@ -127,7 +130,7 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, path, raw.columns, fx.DELIMITER)
 
 
-@_query
+@_query("load_tmp")
 def load_tmp(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "sheets")
     fx.export_sheets(spark, sf_dir, ["catalogue"], path)
@@ -137,7 +140,7 @@ def load_tmp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.replace(assemble(rows, names), "tmp.catalogue")
 
 
-@_query
+@_query("blank_to_null")
 def blank_cells_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.purchases(spark, sf_dir)
     blank = tmp.select(ROW_ID, *[F.coalesce(c, F.lit("")).alias(c) for c in fx.COLUMNS])
@@ -147,28 +150,28 @@ def blank_cells_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Profile
 
 
-@_query
+@_query("profile_sample")
 def profile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_sample(fx.purchases(spark, sf_dir), limit=SAMPLE_LIMIT, seed=42)
 
 
-@_query
+@_query("classify_cells")
 def classify_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = fx.purchases(spark, sf_dir).unpivot([ROW_ID], list(fx.COLUMNS), "col", "value")
     return labelled(cells, RULES).drop("stripped")
 
 
-@_query
+@_query("infer_types")
 def infer_column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer_types(fx.purchases(spark, sf_dir), fx.COLUMNS, RULES)
 
 
-@_query
+@_query("schema_groups")
 def infer_schema_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_groups(infer_column_types(spark, sf_dir))
 
 
-@_query
+@_query("infer_types_multi")
 def infer_types_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.derive(fx.table(spark, sf_dir, "events"), fx.FEEDS)
     cells = rows.select("feed", ROW_ID, F.posexplode("cells").alias("pos", "value"))
@@ -178,13 +181,13 @@ def infer_types_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Validate
 
 
-@_query
+@_query("src_project")
 def src_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = fx.derive(fx.table(spark, sf_dir, "documents"), fx.LANDING)
     return cells.select(*[strip(quoted(c).cast("string")).alias(c) for c in cells.columns])
 
 
-@_query
+@_query("audit_columns")
 def audit_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit columns of a run, and the load clock applied to every event's time."""
     local = F.convert_timezone(F.lit("UTC"), F.lit(LOAD_ZONE), F.col("ts").cast("timestamp_ntz"))
@@ -193,13 +196,13 @@ def audit_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_query
+@_query("row_text")
 def raw_row_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.purchases(spark, sf_dir)
     return tmp.select(ROW_ID, row_text(fx.COLUMNS, fx.DELIMITER).alias("row"))
 
 
-@_query
+@_query("valid_date")
 def valid_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.col("transaction_date")
     return fx.purchases(spark, sf_dir).select(
@@ -207,21 +210,21 @@ def valid_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_query
+@_query("valid_numeric")
 def valid_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.purchases(spark, sf_dir).select(
         ROW_ID, *[matches(quoted(c), RULES.accept_numeric).alias(c) for c in fx.INFERRED.numeric]
     )
 
 
-@_query
+@_query("reject_numeric")
 def reject_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.purchases(spark, sf_dir).select(
         ROW_ID, *[(~matches(quoted(c), RULES.reject_numeric)).alias(c) for c in fx.INFERRED.numeric]
     )
 
 
-@_query
+@_query("route_rows")
 def route_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.purchases(spark, sf_dir).select(
         ROW_ID,
@@ -230,24 +233,24 @@ def route_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_query
+@_query("ext_to_src")
 def ext_to_src_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ext_to_src(fx.purchases(spark, sf_dir), fx.INFERRED, fx.CTX, RULES, fx.DELIMITER)
 
 
-@_query
+@_query("reject_detail")
 def reject_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.purchases(spark, sf_dir).select(
         ROW_ID, reject_detail(fx.INFERRED, RULES, fx.DELIMITER).alias("rej_detail")
     )
 
 
-@_query
+@_query("rej_datatype")
 def rej_datatype_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rej_datatype(fx.purchases(spark, sf_dir), fx.INFERRED, fx.CTX, RULES, fx.DELIMITER)
 
 
-@_query
+@_query("rej_datatype_empty")
 def rej_datatype_untyped(spark: SparkSession, sf_dir: str) -> DataFrame:
     untyped = SchemaInfo(fx.COLUMNS)
     return rej_datatype(fx.purchases(spark, sf_dir), untyped, fx.CTX, RULES, fx.DELIMITER)
@@ -256,37 +259,37 @@ def rej_datatype_untyped(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Type
 
 
-@_query
+@_query("run_slice")
 def run_slice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = fx.derive(fx.table(spark, sf_dir, "orders"), fx.RUN_ROWS)
     return run_slice(runs, fx.RUN_CTX).select(ROW_ID, *fx.COLUMNS, "job_date", "job_id")
 
 
-@_query
+@_query("cast_date")
 def cast_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.col("transaction_date")
     return fx.purchases(spark, sf_dir).select(ROW_ID, value, to_date(value, RULES).alias("value"))
 
 
-@_query
+@_query("cast_numeric")
 def cast_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.purchases(spark, sf_dir)
     return tmp.select(ROW_ID, "amount", to_number(F.col("amount")).alias("value"))
 
 
-@_query
+@_query("cast_percent")
 def cast_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.purchases(spark, sf_dir)
     return tmp.select(ROW_ID, "discount", to_number(F.col("discount")).alias("value"))
 
 
-@_query
+@_query("blank_string")
 def blank_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = fx.derive(fx.table(spark, sf_dir, "part"), fx.HEADERS)
     return headers.select("feed", "pos", to_text(F.col("header")).alias("value"))
 
 
-@_query
+@_query("src_to_stg")
 def src_to_stg_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src_to_stg(ext_to_src_rows(spark, sf_dir), fx.INFERRED, fx.CTX, RULES)
 
@@ -294,42 +297,42 @@ def src_to_stg_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Deduplicate
 
 
-@_query
+@_query("dedup_rank")
 def dedup_rank_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_rank(_stg(spark, sf_dir), fx.KEYS, fx.CTX).select(ROW_ID, *fx.KEYS, "rownum")
 
 
-@_query
+@_query("dedup_null_keys")
 def dedup_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.derive(fx.table(spark, sf_dir, "orders"), fx.NULL_KEYS)
     stg = typed_rows(tmp, fx.FORCED, fx.CTX, RULES, fx.DELIMITER)
     return dedup_rank(stg, fx.KEYS, fx.CTX).select(ROW_ID, *fx.KEYS, "rownum")
 
 
-@_query
+@_query("duplicate_detail")
 def duplicate_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = _stg(spark, sf_dir)
     return stg.select(ROW_ID, duplicate_detail(stg, fx.KEYS, fx.DELIMITER).alias("rej_detail"))
 
 
-@_query
+@_query("rej_duplicate")
 def rej_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rej_duplicate(_stg(spark, sf_dir), fx.KEYS, fx.CTX, fx.DELIMITER)
 
 
-@_query
+@_query("rej_duplicate_null_keys")
 def rej_duplicate_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.derive(fx.table(spark, sf_dir, "orders"), fx.NULL_KEYS)
     stg = typed_rows(tmp, fx.FORCED, fx.CTX, RULES, fx.DELIMITER)
     return rej_duplicate(stg, fx.KEYS, fx.CTX, fx.DELIMITER)
 
 
-@_query
+@_query("stg_to_dw")
 def stg_to_dw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg_to_dw(_stg(spark, sf_dir), fx.FORCED, fx.KEYS, fx.CTX)
 
 
-@_query
+@_query("stg_to_dw_lookup")
 def stg_to_dw_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same survivors, looked up in the repeated keys."""
     stg = _stg(spark, sf_dir)
@@ -340,7 +343,7 @@ def stg_to_dw_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sinks
 
 
-@_query
+@_query("sink_overwrite")
 def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replaced by one of another shape."""
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
@@ -363,13 +366,13 @@ def _append_all(spark: SparkSession, sf_dir: str, idempotent: bool) -> DataFrame
     return warehouse.read_rejects("rej.purchases")
 
 
-@_query
+@_query("rej_all")
 def rej_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both kinds of reject appended to one table."""
     return _append_all(spark, sf_dir, idempotent=False)
 
 
-@_query
+@_query("rej_all_retried")
 def rej_all_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same run stored twice in idempotent mode."""
     return _append_all(spark, sf_dir, idempotent=True)
@@ -391,17 +394,17 @@ def _event_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return rows, control
 
 
-@_query
+@_query("gate_feeds")
 def gate_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate_feeds(*_event_feeds(spark, sf_dir))
 
 
-@_query
+@_query("blocked_feeds")
 def blocked_feed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocked_feeds(*_event_feeds(spark, sf_dir))
 
 
-@_query
+@_query("parse_key_list")
 def parse_key_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = fx.derive(fx.table(spark, sf_dir, "customer"), fx.KEY_LISTS)
     keys = parse_key_list(F.col("primary_keys"))
@@ -415,7 +418,7 @@ def _rendered(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.concat_ws("|", *values)
 
 
-@_query
+@_query("multi_feed_dw")
 def multi_feed_dw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every approved feed loaded from its exported sheet; the DW rows as text."""
     sheets = scratch_path(spark, "sheets")
@@ -442,7 +445,7 @@ def multi_feed_dw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged
 
 
-@_query
+@_query("purchases_dw")
 def purchases_dw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: infer the columns, validate, type and deduplicate the purchases."""
     tmp = fx.purchases(spark, sf_dir)
@@ -450,7 +453,7 @@ def purchases_dw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg_to_dw(typed_rows(tmp, schema, fx.CTX, RULES), schema, fx.KEYS, fx.CTX)
 
 
-@_query
+@_query("purchases_rejects")
 def purchases_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rejects of the flagship run."""
     tmp = fx.purchases(spark, sf_dir)
@@ -463,21 +466,21 @@ def purchases_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Audit
 
 
-@_query
+@_query("reject_summary")
 def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.purchases(spark, sf_dir)
     stg = typed_rows(tmp, fx.INFERRED, fx.CTX, RULES)
     return reject_summary(tmp, stg, fx.INFERRED, fx.KEYS, fx.CTX, RULES)
 
 
-@_query
+@_query("reconcile")
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.purchases(spark, sf_dir)
     stg = typed_rows(tmp, fx.INFERRED, fx.CTX, RULES)
     return reconcile(tmp, stg, fx.INFERRED, fx.KEYS, fx.CTX, RULES)
 
 
-@_query
+@_query("reconcile_forced")
 def reconcile_forced(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.purchases(spark, sf_dir)
     return reconcile(tmp, _stg(spark, sf_dir), fx.FORCED, fx.KEYS, fx.CTX, RULES)
@@ -486,24 +489,24 @@ def reconcile_forced(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Aligned rules
 
 
-@_query
+@_query("aligned_types")
 def aligned_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer_types(fx.purchases(spark, sf_dir), fx.COLUMNS, ALIGNED)
 
 
-@_query
+@_query("aligned_dw")
 def aligned_dw(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.purchases(spark, sf_dir)
     schema = infer_schema(tmp, fx.COLUMNS, ALIGNED)
     return stg_to_dw(typed_rows(tmp, schema, fx.CTX, ALIGNED), schema, fx.KEYS, fx.CTX)
 
 
-@_query
+@_query("aligned_rejects")
 def aligned_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rej_datatype(fx.purchases(spark, sf_dir), fx.INFERRED, fx.CTX, ALIGNED, fx.DELIMITER)
 
 
-@_query
+@_query("aligned_reconcile")
 def aligned_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.purchases(spark, sf_dir)
     stg = typed_rows(tmp, fx.INFERRED, fx.CTX, ALIGNED)

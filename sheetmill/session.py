@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -27,3 +29,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder all executors can reach")
         base = _local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A scratch path whose content is deleted when the block ends."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(location, True)

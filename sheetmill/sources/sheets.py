@@ -10,31 +10,43 @@ _VALUES = T.StructType(
     [
         T.StructField("range", T.StringType()),
         T.StructField("values", T.ArrayType(T.ArrayType(T.StringType()))),
+        T.StructField("_damaged", T.StringType()),
     ]
 )
+#: Row position that marks a document that could not be parsed.
+DAMAGED_ROW = -1
 
 
-def read_sheets(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_sheets(
+    spark: SparkSession, path: str, multi_line: bool = True, mark_damaged: bool = False
+) -> DataFrame:
     """Read ``<path>/<feed>/*.json`` value documents as ``(feed, _src_row, cells)``.
 
     A document holds ``values`` (a list of rows) and optionally the ``range`` it covers, such
     as ``Sheet!A50001:Z100000``. A large feed is exported as many ranges, which are read in
     parallel; ``_src_row`` is the row's position in the whole sheet, 0 being the header.
-    With ``multi_line=False`` every line of a file is a document. A damaged document fails
-    the read rather than losing its rows.
+    With ``multi_line=False`` every line of a file is a document. A filter on ``feed`` keeps
+    the files of other feeds from being opened.
+
+    A damaged document fails the read, or with ``mark_damaged`` becomes a single row at
+    position ``DAMAGED_ROW``; its rows are never left out in silence.
     """
     documents = (
         spark.read.schema(_VALUES)
         .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE" if mark_damaged else "FAILFAST")
+        .option("columnNameOfCorruptRecord", "_damaged")
         .option("recursiveFileLookup", True)
         .json(path)
     )
     folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
     first_row = F.regexp_extract("range", r"!\$?[A-Za-z]+\$?([0-9]+)", 1)
+    offset = F.coalesce(F.nullif(first_row, F.lit("")).cast("long") - 1, F.lit(0))
+    whole = F.col("_damaged").isNull()
+    damaged = F.array(F.lit(None).cast("array<string>"))
     rows = documents.select(
         F.regexp_replace(folder, "^feed=", "").alias("feed"),
-        F.coalesce(F.nullif(first_row, F.lit("")).cast("long") - 1, F.lit(0)).alias("offset"),
-        F.posexplode("values").alias("pos", "cells"),
+        F.when(whole, offset).otherwise(DAMAGED_ROW).alias("offset"),
+        F.posexplode(F.when(whole, F.col("values")).otherwise(damaged)).alias("pos", "cells"),
     )
     return rows.select("feed", (F.col("offset") + F.col("pos")).alias(ROW_ID), "cells")

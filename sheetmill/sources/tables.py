@@ -45,12 +45,12 @@ class Warehouse:
     def replace(self, df: DataFrame, table: str) -> DataFrame:
         """Overwrite the table, columns included, and read it back."""
         writer = df.write.mode("overwrite").format("parquet")
-        if self.base:
-            writer.save(self.path(table))
-        else:
+        if not self.base:
             self._create_dataset(table)
-            writer.option("overwriteSchema", "true").saveAsTable(table)
-        return self.read(table)
+            writer.saveAsTable(table)
+            return self.read(table)
+        writer.save(self.path(table))
+        return self.spark.read.schema(df.schema).parquet(self.path(table))
 
     def append_rejects(self, df: DataFrame, table: str, replace_run: RunContext | None = None) -> DataFrame:
         """Add reject rows, laid out by run.

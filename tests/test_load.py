@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 
@@ -225,8 +226,11 @@ def test_one_bad_feed_does_not_stop_the_others(spark, tmp_path, ctx):
     write_sheet(sheets, "clash", [["a", "a", "a_1"], ["1", "2", "3"]])
     write_sheet(sheets, "audit", [["po_number", "row"], ["1", "2"]])
     write_sheet(sheets, "keyless", [["a"], ["1"]])
+    write_sheet(sheets, "torn", PURCHASES, "1.json")
+    (sheets / "torn" / "2.json").write_text('{"range": "S!A9:Z9", "values": [["PO-9"], ["PO-')
     write_sheet(sheets, "unasked", [["a"], ["1"]])
-    configs = [config(j) for j in ("good", "clash", "audit", "keyless", "absent")]
+    (sheets / "unasked" / "x.json").write_text("{")
+    configs = [config(j) for j in ("good", "clash", "audit", "keyless", "absent", "torn")]
     results = load_feeds(spark, str(sheets), configs, ctx, warehouse)
     assert {job: str(r.error) if r.error else None for job, r in results.items()} == {
         "good": None,
@@ -234,6 +238,7 @@ def test_one_bad_feed_does_not_stop_the_others(spark, tmp_path, ctx):
         "audit": "column names collide with audit columns: ['row']",
         "keyless": "primary key columns are missing from the feed: ['po_number']",
         "absent": "No data found for: ['absent']",
+        "torn": "a document of 'torn' cannot be parsed",
     }
     assert warehouse.read("dw.good").count() == 2
     assert not (tmp_path / "wh" / "dw" / "unasked").exists()
@@ -280,3 +285,12 @@ def test_drift(spark, tmp_path, ctx, change):
         assert warehouse.read(f"{layer}.p").count() == 1
     assert tuple(warehouse.read("dw.p").columns[: len(definition)]) == definition
     assert warehouse.read_rejects("rej.p").count() == 1
+
+
+def test_intermediate_tables_are_discarded(spark, tmp_path, ctx):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("*"))
+    write_sheet(tmp_path / "sheets", "p", PURCHASES)
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    load_feeds(spark, str(tmp_path / "sheets"), [config("p")], ctx, warehouse)
+    assert set(shared.glob("*")) == before

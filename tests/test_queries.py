@@ -29,7 +29,7 @@ def duck():
 
 
 def test_only_the_random_sample_lacks_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"profile_rows"}
+    assert set(contract.queries()) - set(contract.oracle_sql()) == {"profile_sample"}
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
@@ -46,7 +46,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_sample_is_bounded(spark):
-    sample = contract.queries()["profile_rows"](spark, MEDIUM)
+    sample = contract.queries()["profile_sample"](spark, MEDIUM)
     assert sample.count() == 1000
     assert sample.subtract(fx.purchases(spark, MEDIUM)).count() == 0
 
