@@ -17,8 +17,9 @@ def label_cell(c: Column, rules: RuleSet, stripped: Column | None = None) -> Col
     expression being tried. ``stripped`` may name a column that holds the stripped cell.
     """
     value = strip(c) if stripped is None else stripped
+    starts_with_digit = (value >= "0") & (value < ":")
     label = F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).when(
-        ~F.ascii(value).between(ord("0"), ord("9")), "STRING"
+        ~starts_with_digit, "STRING"
     )
     for name, pattern in rules.labels:
         label = label.when(value.rlike(pattern), name)

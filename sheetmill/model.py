@@ -97,6 +97,8 @@ class FeedConfig:
         missing = [layer for layer in self.LAYERS if not self.tables.get(layer)]
         if missing:
             raise FeedError(f"job {self.job_name!r} names no table for: {missing}")
+        if not self.delimiter:
+            raise FeedError(f"job {self.job_name!r} has no field delimiter")
 
     @classmethod
     def from_dict(cls, config: Mapping[str, Any]) -> FeedConfig:

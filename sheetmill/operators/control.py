@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetmill.functions.text import parse_key_list
-from sheetmill.model import FeedConfig, FeedError
+from sheetmill.model import ROW_ID, FeedConfig, FeedError
+from sheetmill.operators.ingest import assemble, collect_headers, require_data
+from sheetmill.sources.sheets import read_sheets
+
+#: Fixed value: the worksheet that lists the jobs.
+CONTROL_SHEET = "pipeline_control"
+
+
+def read_control(spark: SparkSession, sheets: str, multi_line: bool = True) -> DataFrame:
+    """The exported control sheet, one row per job, in sheet order ``pos``."""
+    rows = read_sheets(spark, sheets, multi_line).filter(F.col("feed") == CONTROL_SHEET)
+    headers = collect_headers(rows)
+    require_data([CONTROL_SHEET], headers)
+    return assemble(rows, headers[CONTROL_SHEET]).withColumnRenamed(ROW_ID, "pos")
 
 
 def first_entries(control: DataFrame, order: str = "pos") -> DataFrame:

@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pytest
 
+from sheetmill.__main__ import main
 from sheetmill.model import REJECT_SCHEMA, ROW_ID, FeedConfig, FeedError, RunContext, load_configs
 from sheetmill.operators.validate import audit_columns
 from sheetmill.plans import load
@@ -294,3 +295,41 @@ def test_intermediate_tables_are_discarded(spark, tmp_path, ctx):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     load_feeds(spark, str(tmp_path / "sheets"), [config("p")], ctx, warehouse)
     assert set(shared.glob("*")) == before
+
+
+CONTROL = [
+    ["job_name", "Status", "schedule", "field_delimiter", "gsheet_id", "range"]
+    + ["gcs_bucket", "gcs_folder", "tmp_table", "src_table", "stg_table", "dw_table", "rej_table"]
+    + ["primary_keys"],
+    ["p", "ok", "@daily", "|", "id", "S!A1:Z", "b", "f", "t.p", "s.p", "g.p", "d.p", "r.p", "po_number"],
+    ["q", "DISABLED", "", "|", "id", "S!A1:Z", "b", "f", "t.q", "s.q", "g.q", "d.q", "r.q", "a, b"],
+]
+
+
+def test_command_line_with_control_sheet(spark, tmp_path, capsys):
+    write_sheet(tmp_path / "sheets", "p", PURCHASES)
+    write_sheet(tmp_path / "sheets", "q", PURCHASES)
+    write_sheet(tmp_path / "control", "pipeline_control", CONTROL)
+    common = ["--sheets", str(tmp_path / "sheets"), "--job-id", "r1", "--date", "20240105"]
+    common += ["--warehouse", str(tmp_path / "wh"), "--control", str(tmp_path / "control")]
+    assert main(common, spark) == 0
+    assert "p: loaded" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "wh" / "d" / "p")).count() == 2
+    assert not (tmp_path / "wh" / "d" / "q").exists()
+    with pytest.raises(FeedError, match="DISABLED"):
+        main([*common, "--job", "q"], spark)
+
+
+def test_command_line_with_yaml(spark, tmp_path, capsys):
+    write_sheet(tmp_path / "sheets", "a", [["x", "y"], ["1", "2"]])
+    for job in "ab":
+        (tmp_path / f"{job}.yaml").write_text(
+            f"job_name: {job}\ndag_params: {{field_delimiter: '|'}}\n"
+            f"bq_tables: {{tmp: t.{job}, src: s.{job}, stg: g.{job}, dw: d.{job}, rej: r.{job}}}\n"
+            "bq_schema: {primary_key: [x]}\n"
+        )
+    common = ["--sheets", str(tmp_path / "sheets"), "--job-id", "r1", "--date", "20240105"]
+    common += ["--warehouse", str(tmp_path / "wh"), "--configs", str(tmp_path)]
+    assert main([*common, "--job", "a"], spark) == 0
+    assert main(common, spark) == 1
+    assert "b: failed: No data found" in capsys.readouterr().err
