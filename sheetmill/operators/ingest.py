@@ -44,20 +44,25 @@ def require_data(expected: Iterable[str], headers: Mapping[str, Sequence[str]])
         raise FeedError(f"No data found for: {empty}")
 
 
-def count_long_rows(rows: DataFrame, headers: Mapping[str, Sequence[str]]) -> dict[str, int]:
-    """Per feed, how many rows have more cells than the header."""
-    widths = rows.filter(F.col(ROW_ID) > 0).groupBy("feed", F.size("cells").alias("width")).count()
-    long_rows = dict.fromkeys(headers, 0)
-    for r in widths.collect():
-        if r.feed in headers and r.width > len(headers[r.feed]):
-            long_rows[r.feed] += r["count"]
-    return long_rows
+def row_widths(rows: DataFrame) -> dict[str, dict[int | None, int]]:
+    """Per feed, how many body rows have how many cells; None counts damaged documents."""
+    width = F.when(F.col(ROW_ID) > 0, F.size("cells"))
+    counts = rows.filter(F.col(ROW_ID) != 0).groupBy("feed", width.alias("width")).count()
+    widths: dict[str, dict[int | None, int]] = {}
+    for r in counts.collect():
+        widths.setdefault(r.feed, {})[r.width] = r["count"]
+    return widths
+
+
+def count_long_rows(widths: Mapping[int | None, int], header_width: int) -> int:
+    """How many rows have more cells than the header."""
+    return sum(n for width, n in widths.items() if width is not None and width > header_width)
 
 
 def assemble(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """Wide all-text table of one feed: cells cleaned, missing or blank cells NULL.
 
-    Cells beyond the header are left out; ``count_long_rows`` counts such rows.
+    Cells beyond the header are left out; ``count_long_rows`` tells of such rows.
     """
     SchemaInfo(tuple(names))
     cells = [

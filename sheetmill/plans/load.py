@@ -11,12 +11,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from sheetmill.model import ROW_ID, FeedConfig, FeedError, RunContext, SchemaInfo
 from sheetmill.operators.cast import src_to_stg
 from sheetmill.operators.dedup import rej_duplicate, repeated_keys, stg_to_dw
-from sheetmill.operators.ingest import assemble, collect_headers, count_long_rows, require_data
+from sheetmill.operators.ingest import (
+    assemble,
+    collect_headers,
+    count_long_rows,
+    require_data,
+    row_widths,
+)
 from sheetmill.operators.profile import infer_feed_schemas, infer_schema
 from sheetmill.operators.validate import ext_to_src, rej_datatype
 from sheetmill.rules import RuleSet
 from sheetmill.session import scratch
-from sheetmill.sources.sheets import DAMAGED_ROW, read_sheets
+from sheetmill.sources.sheets import read_sheets
 from sheetmill.sources.tables import Warehouse
 
 #: Up to this many repeated keys, survivors are looked up instead of ranked.
@@ -95,7 +101,7 @@ def load_feeds(
 ) -> dict[str, FeedResult]:
     """Load every configured feed found below ``sheets`` (one folder per job name).
 
-    Exports are parsed once. Headers, long rows and column types of all feeds come from
+    Exports are parsed once. Headers, row widths and column types of all feeds come from
     three jobs, however many feeds there are; then feeds are loaded independently, a few at
     a time, and one that fails does not stop the others.
     """
@@ -104,17 +110,17 @@ def load_feeds(
     rows = read_sheets(spark, sheets, multi_line, mark_damaged=True)
     with scratch(spark, "staged") as path:
         staged = stage_rows(rows.filter(F.col("feed").isin(list(by_job))), path)
-        marked = staged.filter(F.col(ROW_ID) == DAMAGED_ROW).select("feed").distinct()
-        damaged = {r.feed for r in marked.collect()}
         headers = collect_headers(staged)
-        long_rows = count_long_rows(staged, headers)
+        widths = row_widths(staged)
         schemas = infer_feed_schemas(staged, headers, rules) if sample_limit is None else {}
 
         def load(job: str) -> FeedResult:
             tables = by_job[job].tables
             schema = None
+            seen = widths.get(job, {})
+            long_rows = count_long_rows(seen, len(headers.get(job, ())))
             try:
-                if job in damaged:
+                if None in seen:
                     raise FeedError(f"a document of {job!r} cannot be parsed")
                 require_data([job], headers)
                 inferred = schemas.get(job)
@@ -126,9 +132,9 @@ def load_feeds(
                     tmp, headers[job], rules, sample_limit=sample_limit
                 )
                 load_table(tmp, schema, by_job[job], ctx, warehouse, rules, idempotent)
-                return FeedResult(job, schema, long_rows.get(job, 0))
+                return FeedResult(job, schema, long_rows)
             except Exception as error:  # one feed must not stop the others
-                return FeedResult(job, schema, long_rows.get(job, 0), error)
+                return FeedResult(job, schema, long_rows, error)
 
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             return dict(zip(by_job, pool.map(load, by_job), strict=True))

@@ -23,6 +23,7 @@ from sheetmill.operators.ingest import (
     count_long_rows,
     dedup_headers,
     require_data,
+    row_widths,
 )
 from sheetmill.operators.profile import infer_schema, infer_types, profile_sample
 from sheetmill.operators.quality import reconcile, reject_summary, typed_rows
@@ -81,7 +82,9 @@ def test_assemble(spark):
     rows = sheet(spark, [["A", "B"], [" x\ny ", ""], ["1"], ["1", "2", "3"], [], [None, "\xa0"]])
     got = [tuple(r) for r in assemble(rows, ["a", "b"]).orderBy(ROW_ID).collect()]
     assert got == [(1, "x y", None), (2, "1", None), (3, "1", "2"), (4, None, None), (5, None, None)]
-    assert count_long_rows(rows, {"f": ["a", "b"]}) == {"f": 1}
+    widths = row_widths(rows)
+    assert widths == {"f": {0: 1, 1: 1, 2: 2, 3: 1}}
+    assert count_long_rows(widths["f"], 2) == 1
 
 
 def test_empty_source_is_an_error():
