@@ -11,19 +11,21 @@ LABELS = ("DATE", "INT64", "FLOAT", "STRING")
 
 
 def label_cell(c: Column, rules: RuleSet, stripped: Column | None = None) -> Column:
-    """Kind of a cell: first matching pattern, else STRING; NULL and ``""`` have none.
+    """Kind of a cell: DATE, INT64, FLOAT or STRING; NULL and ``""`` have none.
 
-    Every pattern starts with a digit, so a cell that does not is STRING without a regular
-    expression being tried. ``stripped`` may name a column that holds the stripped cell.
+    Dates and numbers start with a digit, so other cells meet no regular expression.
+    ``stripped`` may name a column that holds the stripped cell.
     """
     value = strip(c) if stripped is None else stripped
     starts_with_digit = (value >= "0") & (value < ":")
-    label = F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).when(
-        ~starts_with_digit, "STRING"
+    fraction = value.contains(".") | value.contains("%")
+    return (
+        F.when(c.isNull() | (c == ""), F.lit(None).cast("string"))
+        .when(~starts_with_digit, "STRING")
+        .when(value.rlike(rules.label_numeric), F.when(fraction, "FLOAT").otherwise("INT64"))
+        .when(value.rlike(rules.label_date), "DATE")
+        .otherwise("STRING")
     )
-    for name, pattern in rules.labels:
-        label = label.when(value.rlike(pattern), name)
-    return label.otherwise("STRING")
 
 
 def matches(c: Column, pattern: str) -> Column:
@@ -36,23 +38,22 @@ def to_date(c: Column, rules: RuleSet) -> Column:
 
     Two-digit years 69-99 belong to the 1900s, 00-68 to the 2000s.
     """
-    result = None
+    century = F.when(F.right(c, F.lit(2)) >= "69", "19").otherwise("20")
+    long_year = F.concat(F.substring_index(c, "/", 2), F.lit("/"), century, F.right(c, F.lit(2)))
+    texts: dict[str, Column] = {}
     for reader in rules.date_readers:
-        text = c
-        if reader.short_year:
-            century = F.when(F.right(c, F.lit(2)) >= "69", "19").otherwise("20")
-            text = F.concat(F.substring_index(c, "/", 2), F.lit("/"), century, F.right(c, F.lit(2)))
-        value = F.try_to_date(text, reader.pattern)
-        test = c.rlike(reader.shape)
-        result = F.when(test, value) if result is None else result.when(test, value)
-    return result
+        test, text = c.rlike(reader.shape), long_year if reader.short_year else c
+        earlier = texts.get(reader.pattern)
+        texts[reader.pattern] = F.when(test, text) if earlier is None else earlier.when(test, text)
+    return F.coalesce(*[F.try_to_date(text, pattern) for pattern, text in texts.items()])
 
 
 def to_number(c: Column) -> Column:
     """Double without commas; a trailing ``%`` divides by 100; blank or unreadable is NULL."""
-    plain = F.replace(c, F.lit(","), F.lit("")).try_cast("double")
-    percent = F.translate(c, "%,", "").try_cast("double") / 100
-    return F.when(c == "", None).when(c.endswith("%"), percent).otherwise(plain)
+    percent = c.endswith("%")
+    digits = F.when(percent, F.replace(c, F.lit("%"), F.lit(""))).otherwise(c)
+    number = F.replace(digits, F.lit(","), F.lit("")).try_cast("double")
+    return number / F.when(percent, F.lit(100.0)).otherwise(F.lit(1.0))
 
 
 def to_text(c: Column) -> Column:

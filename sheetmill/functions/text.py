@@ -26,7 +26,7 @@ def strip(c: Column) -> Column:
 
 def clean_cell(c: Column) -> Column:
     """Line feeds become spaces, then both ends are stripped. NULL stays NULL."""
-    return strip(F.translate(c, "\n", " "))
+    return strip(F.replace(c, F.lit("\n"), F.lit(" ")))
 
 
 def blank_to_null(c: Column) -> Column:

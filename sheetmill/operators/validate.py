@@ -69,10 +69,15 @@ def ext_to_src(
     rules: RuleSet,
     delimiter: str = "|",
     order: str = ROW_ID,
+    stripped: bool = False,
 ) -> DataFrame:
-    """Accepted rows: trimmed text columns, audit columns and the raw row."""
+    """Accepted rows: trimmed text columns, audit columns and the raw row.
+
+    ``stripped`` tells that the cells are clean text already, as ``assemble`` leaves them.
+    """
+    cells = {c: quoted(c) if stripped else strip(quoted(c).cast("string")) for c in schema.definition}
     return tmp.filter(accepted(schema, rules)).select(
-        *[strip(quoted(c).cast("string")).alias(c) for c in schema.definition],
+        *[cell.alias(c) for c, cell in cells.items()],
         *audit_columns(ctx),
         row_text(schema.definition, delimiter).alias("row"),
         quoted(order).alias(ROW_ID),

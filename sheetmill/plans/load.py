@@ -61,6 +61,7 @@ def load_table(
     warehouse: Warehouse,
     rules: RuleSet,
     idempotent: bool = False,
+    stripped: bool = False,
 ) -> None:
     """Carry a TMP table through to SRC, STG, DW and REJ.
 
@@ -71,7 +72,8 @@ def load_table(
     schema.require_keys(config.primary_key)
     spark = warehouse.spark
     tables, keys, delimiter = config.tables, config.primary_key, config.delimiter
-    src = warehouse.replace(ext_to_src(tmp, schema, ctx, rules, delimiter), tables["src"])
+    accepted = ext_to_src(tmp, schema, ctx, rules, delimiter, stripped=stripped)
+    src = warehouse.replace(accepted, tables["src"])
     stg = warehouse.replace(src_to_stg(src, schema, ctx, rules), tables["stg"])
     with scratch(spark, "repeated") as path:
         # Written, so that the plan ends here and the planner knows the size of the table.
@@ -131,7 +133,7 @@ def load_feeds(
                 schema = inferred or infer_schema(
                     tmp, headers[job], rules, sample_limit=sample_limit
                 )
-                load_table(tmp, schema, by_job[job], ctx, warehouse, rules, idempotent)
+                load_table(tmp, schema, by_job[job], ctx, warehouse, rules, idempotent, stripped=True)
                 return FeedResult(job, schema, long_rows)
             except Exception as error:  # one feed must not stop the others
                 return FeedResult(job, schema, long_rows, error)

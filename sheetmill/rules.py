@@ -7,13 +7,10 @@ from dataclasses import dataclass
 # Java regular expressions, always used with ``rlike``. ``[0-9]`` and ``\z`` keep out
 # non-ASCII digits and a trailing newline.
 
-# The label patterns, in the order they are tried (first match wins).
-LABEL_PATTERNS = (
-    ("DATE", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"),
-    ("FLOAT", r"^[0-9]+(\.[0-9]+)?%\z"),
-    ("INT64", r"^[0-9]+\z"),
-    ("FLOAT", r"^[0-9]+(\.[0-9]+)?\z"),
-)
+# What makes a cell a date or a number when types are inferred. A number with
+# a decimal point or a percent sign is FLOAT, any other INT64.
+DATE_LABEL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+NUMERIC_LABEL = r"^[0-9]+(\.[0-9]+)?%?\z"
 # What a typed column accepts, and the looser numeric test of the reject side.
 DATE_FORMAT = r"^([0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/([0-9]{2}|[0-9]{4}))\z"
 NUMERIC_FORMAT = r"^[0-9]+(\.[0-9]+)?%?\z"
@@ -28,9 +25,6 @@ ALIGNED_DATE = (
     r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}"
     r"|[0-9]{1,2}/[0-9]{1,2}/([0-9]{2}|[0-9]{4}))\z"
 )
-ALIGNED_INTEGER = r"^([0-9]+|[0-9]{1,3}(,[0-9]{3})+)\z"
-ALIGNED_DECIMAL = r"^([0-9]+|[0-9]{1,3}(,[0-9]{3})+)(\.[0-9]+)?\z"
-ALIGNED_PERCENT = r"^([0-9]+|[0-9]{1,3}(,[0-9]{3})+)(\.[0-9]+)?%\z"
 ALIGNED_NUMERIC = r"^([0-9]+|[0-9]{1,3}(,[0-9]{3})+)(\.[0-9]+)?%?\z"
 
 
@@ -53,7 +47,8 @@ ISO = DateReader(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z", "yyyy-MM-dd")
 class RuleSet:
     """Patterns used to infer, accept, reject and read cells."""
 
-    labels: tuple[tuple[str, str], ...]
+    label_date: str
+    label_numeric: str
     accept_date: str
     accept_numeric: str
     reject_date: str
@@ -69,7 +64,8 @@ class RuleSet:
         nor rejected.
         """
         return cls(
-            labels=LABEL_PATTERNS,
+            label_date=DATE_LABEL,
+            label_numeric=NUMERIC_LABEL,
             accept_date=DATE_FORMAT,
             accept_numeric=NUMERIC_FORMAT,
             reject_date=DATE_FORMAT,
@@ -82,12 +78,8 @@ class RuleSet:
         """One shared pattern per group, so every row is accepted or rejected and every
         accepted shape can be read."""
         return cls(
-            labels=(
-                ("DATE", ALIGNED_DATE),
-                ("FLOAT", ALIGNED_PERCENT),
-                ("INT64", ALIGNED_INTEGER),
-                ("FLOAT", ALIGNED_DECIMAL),
-            ),
+            label_date=ALIGNED_DATE,
+            label_numeric=ALIGNED_NUMERIC,
             accept_date=ALIGNED_DATE,
             accept_numeric=ALIGNED_NUMERIC,
             reject_date=ALIGNED_DATE,

@@ -66,7 +66,14 @@ class Model:
     def group(cells):
         votes = Counter()
         for cell in filter(None, cells):
-            votes[next((label for label, p in RULES.labels if matches(p, cell)), "STRING")] += 1
+            if matches(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z", cell):
+                votes["DATE"] += 1
+            elif matches(r"^[0-9]+\z", cell):
+                votes["INT64"] += 1
+            elif matches(r"^[0-9]+(\.[0-9]+)?%?\z", cell):
+                votes["FLOAT"] += 1
+            else:
+                votes["STRING"] += 1
         return max(votes, key=votes.get) if votes else "STRING"
 
     def run(self):
