@@ -15,6 +15,7 @@ from sheetmill.model import RunContext, load_configs
 from sheetmill.operators.control import approved_configs, read_control
 from sheetmill.plans.load import load_feeds
 from sheetmill.rules import RuleSet
+from sheetmill.session import SETTINGS
 from sheetmill.sources.tables import Warehouse
 
 
@@ -37,7 +38,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parse_args(argv)
-    spark = spark or SparkSession.builder.appName("sheetmill").getOrCreate()
+    spark = spark or SparkSession.builder.appName("sheetmill").config(map=SETTINGS).getOrCreate()
     if args.control:
         configs = approved_configs(read_control(spark, args.control), args.jobs)
     else:

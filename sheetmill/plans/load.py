@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -53,6 +54,16 @@ def stage_rows(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(_STAGED).parquet(path)
 
 
+def require_own_tables(configs: Sequence[FeedConfig], idempotent: bool) -> None:
+    """Stop when one feed's load would replace what another feed wrote."""
+    replaced = [c.tables[layer] for c in configs for layer in ("tmp", "src", "stg", "dw")]
+    if idempotent:
+        replaced += [c.tables["rej"] for c in configs]
+    shared = sorted(table for table, n in Counter(replaced).items() if n > 1)
+    if shared:
+        raise FeedError(f"tables are replaced by more than one load: {shared}")
+
+
 def load_table(
     tmp: DataFrame,
     schema: SchemaInfo,
@@ -107,6 +118,7 @@ def load_feeds(
     three jobs, however many feeds there are; then feeds are loaded independently, a few at
     a time, and one that fails does not stop the others.
     """
+    require_own_tables(configs, idempotent)
     rules = rules or RuleSet.reference()
     by_job = {c.job_name: c for c in configs}
     rows = read_sheets(spark, sheets, multi_line, mark_damaged=True)

@@ -10,6 +10,10 @@ from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
+#: The JVM does not compile methods of more bytecode than this, which generated code for a
+#: wide sheet can exceed. With the limit Spark runs such a step in smaller pieces instead.
+SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,8 @@ class Warehouse:
 
     spark: SparkSession
     base: str | None = None
+    # Feeds loaded side by side may share a reject table, and a commit tidies its folder.
+    _appending: Lock = field(default_factory=Lock, repr=False, compare=False)
 
     def _split(self, table: str) -> tuple[str, str]:
         dataset, _, name = table.partition(".")
@@ -52,7 +55,9 @@ class Warehouse:
         writer.save(self.path(table))
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
-    def append_rejects(self, df: DataFrame, table: str, replace_run: RunContext | None = None) -> DataFrame:
+    def append_rejects(
+        self, df: DataFrame, table: str, replace_run: RunContext | None = None
+    ) -> DataFrame:
         """Add reject rows, laid out by run.
 
         Rejects are few next to the rows they were filtered from, so they are rebalanced
@@ -61,6 +66,11 @@ class Warehouse:
         not add them twice.
         """
         rows = df.select(*REJECT_SCHEMA.names).hint("rebalance")
+        with self._appending:
+            self._append(rows, table, replace_run)
+        return self.read_rejects(table)
+
+    def _append(self, rows: DataFrame, table: str, replace_run: RunContext | None) -> None:
         if self.base:
             if replace_run:
                 run = rows.drop(*REJECT_PARTITIONS)
@@ -68,7 +78,7 @@ class Warehouse:
             else:
                 writer = rows.write.mode("append").partitionBy(*REJECT_PARTITIONS)
                 writer.parquet(self.path(table))
-            return self.read_rejects(table)
+            return
         self._create_dataset(table)
         if not self.spark.catalog.tableExists(table):
             rows.write.format("parquet").partitionBy(*REJECT_PARTITIONS).saveAsTable(table)
@@ -82,7 +92,6 @@ class Warehouse:
             )
         else:
             rows.write.insertInto(table)
-        return self.read_rejects(table)
 
     def read_rejects(self, table: str) -> DataFrame:
         if self.base:

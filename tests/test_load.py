@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from datetime import date, datetime
 from pathlib import Path
 
@@ -333,3 +334,19 @@ def test_command_line_with_yaml(spark, tmp_path, capsys):
     assert main([*common, "--job", "a"], spark) == 0
     assert main(common, spark) == 1
     assert "b: failed: No data found" in capsys.readouterr().err
+
+
+def test_feeds_may_share_rejects_only(spark, tmp_path, ctx):
+    for job in "ab":
+        write_sheet(tmp_path / "sheets", job, PURCHASES)
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    one, two = config("a"), config("b")
+    shared = [replace(c, tables={**c.tables, "rej": "rej.all"}) for c in (one, two)]
+    results = load_feeds(spark, str(tmp_path / "sheets"), shared, ctx, warehouse)
+    assert [r.error for r in results.values()] == [None, None]
+    assert warehouse.read_rejects("rej.all").count() == 4
+    with pytest.raises(FeedError, match=r"more than one.*rej\.all"):
+        load_feeds(spark, str(tmp_path / "sheets"), shared, ctx, warehouse, idempotent=True)
+    clash = replace(two, tables={**two.tables, "dw": one.tables["dw"]})
+    with pytest.raises(FeedError, match=r"more than one.*dw\.a"):
+        load_feeds(spark, str(tmp_path / "sheets"), [one, clash], ctx, warehouse)
