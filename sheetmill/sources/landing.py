@@ -30,7 +30,9 @@ def landing_path(folder: str, job_name: str, ctx: RunContext) -> str:
 
 
 def write_landing(df: DataFrame, path: str, delimiter: str = "|") -> None:
-    df.write.mode("overwrite").options(**_format(delimiter)).csv(path)
+    """Write text columns. Missing cells are blank, since a line without any text is dropped."""
+    cells = df.select(*[F.coalesce(quoted(c), F.lit("")).alias(c) for c in df.columns])
+    cells.write.mode("overwrite").options(**_format(delimiter)).csv(path)
 
 
 def read_landing(

@@ -82,6 +82,13 @@ def test_landing_blank_and_short_rows(spark, tmp_path):
     assert got == [("1", None, None), ("2", None, None), ("3", "x", "y")]
 
 
+def test_landing_keeps_rows_without_text(spark, tmp_path):
+    rows = spark.createDataFrame([("a",), ("",), (None,), ("b",)], "c string")
+    write_landing(rows, str(tmp_path / "x"))
+    got = rows_of(read_landing(spark, str(tmp_path / "x"), ["c"]), "c")
+    assert got == [("a",), ("b",), (None,), (None,)]
+
+
 def test_landing_path_differs_by_run(ctx):
     other = RunContext.of("run_2", "20240105", ctx.load_datetime)
     assert landing_path("f", "a", ctx) == "f/a/20240105/run_1"
