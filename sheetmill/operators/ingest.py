@@ -46,7 +46,8 @@ def require_data(expected: Iterable[str], headers: Mapping[str, Sequence[str]])
 
 def row_widths(rows: DataFrame) -> dict[str, dict[int | None, int]]:
     """Per feed, how many body rows have how many cells; None counts damaged documents."""
-    width = F.when(F.col(ROW_ID) > 0, F.size("cells"))
+    cells = F.coalesce("cells", F.array().cast("array<string>"))
+    width = F.when(F.col(ROW_ID) > 0, F.size(cells))
     counts = rows.filter(F.col(ROW_ID) != 0).groupBy("feed", width.alias("width")).count()
     widths: dict[str, dict[int | None, int]] = {}
     for r in counts.collect():

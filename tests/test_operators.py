@@ -79,11 +79,13 @@ def test_reserved_header_is_an_error(name):
 
 
 def test_assemble(spark):
-    rows = sheet(spark, [["A", "B"], [" x\ny ", ""], ["1"], ["1", "2", "3"], [], [None, "\xa0"]])
+    rows = sheet(spark, [["A", "B"], [" x\ny ", ""], ["1"], ["1", "2", "3"], [], [None, "\xa0"], None])
     got = [tuple(r) for r in assemble(rows, ["a", "b"]).orderBy(ROW_ID).collect()]
-    assert got == [(1, "x y", None), (2, "1", None), (3, "1", "2"), (4, None, None), (5, None, None)]
+    assert got == [(1, "x y", None), (2, "1", None), (3, "1", "2")] + [
+        (i, None, None) for i in (4, 5, 6)
+    ]
     widths = row_widths(rows)
-    assert widths == {"f": {0: 1, 1: 1, 2: 2, 3: 1}}
+    assert widths == {"f": {0: 2, 1: 1, 2: 2, 3: 1}}
     assert count_long_rows(widths["f"], 2) == 1
 
 
