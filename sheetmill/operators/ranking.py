@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sheetmill.functions.text import quoted
 
@@ -40,7 +40,7 @@ def rank_rows(
     spark = df.sparkSession
     ranges = F.broadcast(spark.createDataFrame(hot, "_key long, _low long, _width long"))
     blocked = (
-        df.withColumn("_key", F.xxhash64(*map(quoted, keys)))
+        df.withColumn("_key", _hash(df, keys))
         .join(ranges, "_key", "left")
         .withColumn("_block", F.floor((quoted(order) - F.col("_low")) / F.col("_width")))
         .drop("_key", "_low", "_width")
@@ -68,11 +68,22 @@ def rank_rows(
     )
 
 
+def _hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys have equal hashes; adding zero turns -0.0, which groups with 0.0, into it."""
+    fractional = (T.DoubleType, T.FloatType)
+    return F.xxhash64(
+        *[
+            quoted(k) + F.lit(0.0) if isinstance(df.schema[k].dataType, fractional) else quoted(k)
+            for k in keys
+        ]
+    )
+
+
 def _hot_keys(
     df: DataFrame, keys: Sequence[str], order: str, hot_rows: int, probe: float
 ) -> list[tuple[int, int, int]]:
     """``(key hash, lowest order value, range width)`` of the largest keys in a sample."""
-    sample = df.select(F.xxhash64(*map(quoted, keys)).alias("key"), quoted(order).alias("pos"))
+    sample = df.select(_hash(df, keys).alias("key"), quoted(order).alias("pos"))
     if probe < 1:
         sample = sample.sample(probe, seed=7)
     found = (

@@ -236,6 +236,12 @@ def test_rank_of_sparse_positions(spark):
     }
 
 
+def test_negative_zero_ranks_with_zero(spark):
+    rows = spark.createDataFrame([(0.0, 0), (-0.0, 1), (0.0, 2), (0.0, 3)], "k double, p long")
+    ranked = rank_rows(rows, ["k"], "p", hot_rows=2, probe=1.0)
+    assert {r.p: r.rownum for r in ranked.collect()} == {0: 1, 1: 2, 2: 3, 3: 4}
+
+
 def test_hot_key_is_not_ranked_in_one_group(spark):
     rows = spark.range(4000).selectExpr("'k' AS k", "id AS p")
     ranked = rank_rows(rows, ["k"], "p", hot_rows=100, probe=1.0)
