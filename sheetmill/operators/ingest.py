@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -44,26 +45,54 @@ def require_data(expected: Iterable[str], headers: Mapping[str, Sequence[str]])
         raise FeedError(f"No data found for: {empty}")
 
 
-def row_widths(rows: DataFrame) -> dict[str, dict[int | None, int]]:
-    """Per feed, how many body rows have how many cells; None counts damaged documents."""
-    cells = F.coalesce("cells", F.array().cast("array<string>"))
-    width = F.when(F.col(ROW_ID) > 0, F.size(cells))
-    counts = rows.filter(F.col(ROW_ID) != 0).groupBy("feed", width.alias("width")).count()
-    widths: dict[str, dict[int | None, int]] = {}
-    for r in counts.collect():
-        widths.setdefault(r.feed, {})[r.width] = r["count"]
-    return widths
+@dataclass(frozen=True)
+class FeedShape:
+    """What a feed's rows look like: rows per width (None if damaged), headers, last position."""
+
+    widths: Mapping[int | None, int]
+    headers: int
+    last: int
+
+    def require_whole(self) -> None:
+        """Stop when a document is damaged or rows claim the same position.
+
+        More rows than positions, or a second header, mean that exported ranges overlap.
+        """
+        if None in self.widths:
+            raise FeedError("a document cannot be parsed")
+        if self.headers > 1 or sum(self.widths.values()) > self.last + 1:
+            raise FeedError("documents cover the same rows")
 
+    def long_rows(self, header_width: int) -> int:
+        """How many rows have more cells than the header."""
+        return sum(n for width, n in self.widths.items() if width is not None and width > header_width)
 
-def count_long_rows(widths: Mapping[int | None, int], header_width: int) -> int:
-    """How many rows have more cells than the header."""
-    return sum(n for width, n in widths.items() if width is not None and width > header_width)
+
+def feed_shapes(rows: DataFrame) -> dict[str, FeedShape]:
+    """Shape of every feed from one small aggregation."""
+    cells = F.coalesce("cells", F.array().cast("array<string>"))
+    counts = rows.groupBy("feed", F.when(F.col(ROW_ID) >= 0, F.size(cells)).alias("width")).agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col(ROW_ID) == 0).alias("headers"),
+        F.max(ROW_ID).alias("last"),
+    )
+    found: dict[str, list] = {}
+    for r in counts.collect():
+        found.setdefault(r.feed, []).append(r)
+    return {
+        feed: FeedShape(
+            {r.width: r.n for r in group},
+            sum(r.headers for r in group),
+            max(r.last for r in group),
+        )
+        for feed, group in found.items()
+    }
 
 
 def assemble(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """Wide all-text table of one feed: cells cleaned, missing or blank cells NULL.
 
-    Cells beyond the header are left out; ``count_long_rows`` tells of such rows.
+    Cells beyond the header are left out; ``FeedShape.long_rows`` counts such rows.
     """
     SchemaInfo(tuple(names))
     cells = [

@@ -12,13 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from sheetmill.model import ROW_ID, FeedConfig, FeedError, RunContext, SchemaInfo
 from sheetmill.operators.cast import src_to_stg
 from sheetmill.operators.dedup import rej_duplicate, repeated_keys, stg_to_dw
-from sheetmill.operators.ingest import (
-    assemble,
-    collect_headers,
-    count_long_rows,
-    require_data,
-    row_widths,
-)
+from sheetmill.operators.ingest import assemble, collect_headers, feed_shapes, require_data
 from sheetmill.operators.profile import infer_feed_schemas, infer_schema
 from sheetmill.operators.validate import ext_to_src, rej_datatype
 from sheetmill.rules import RuleSet
@@ -114,7 +108,7 @@ def load_feeds(
 ) -> dict[str, FeedResult]:
     """Load every configured feed found below ``sheets`` (one folder per job name).
 
-    Exports are parsed once. Headers, row widths and column types of all feeds come from
+    Exports are parsed once. Headers, row shapes and column types of all feeds come from
     three jobs, however many feeds there are; then feeds are loaded independently, a few at
     a time, and one that fails does not stop the others.
     """
@@ -125,18 +119,18 @@ def load_feeds(
     with scratch(spark, "staged") as path:
         staged = stage_rows(rows.filter(F.col("feed").isin(list(by_job))), path)
         headers = collect_headers(staged)
-        widths = row_widths(staged)
+        shapes = feed_shapes(staged)
         schemas = infer_feed_schemas(staged, headers, rules) if sample_limit is None else {}
 
         def load(job: str) -> FeedResult:
             tables = by_job[job].tables
             schema = None
-            seen = widths.get(job, {})
-            long_rows = count_long_rows(seen, len(headers.get(job, ())))
+            long_rows = 0
             try:
-                if None in seen:
-                    raise FeedError(f"a document of {job!r} cannot be parsed")
+                if job in shapes:
+                    shapes[job].require_whole()
                 require_data([job], headers)
+                long_rows = shapes[job].long_rows(len(headers[job]))
                 inferred = schemas.get(job)
                 if isinstance(inferred, Exception):
                     raise inferred

@@ -18,8 +18,9 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 @lru_cache(maxsize=1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="sheetmill-")
+def _local_folder() -> tempfile.TemporaryDirectory:
+    # Deleted when the process ends.
+    return tempfile.TemporaryDirectory(prefix="sheetmill-", ignore_cleanup_errors=True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -31,7 +32,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder all executors can reach")
-        base = _local_folder()
+        base = _local_folder().name
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

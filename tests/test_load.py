@@ -237,9 +237,12 @@ def test_one_bad_feed_does_not_stop_the_others(spark, tmp_path, ctx):
     write_sheet(sheets, "keyless", [["a"], ["1"]])
     write_sheet(sheets, "torn", PURCHASES, "1.json")
     (sheets / "torn" / "2.json").write_text('{"range": "S!A9:Z9", "values": [["PO-9"], ["PO-')
+    for name in ("1.json", "2.json"):
+        write_sheet(sheets, "twice", PURCHASES, name)
     write_sheet(sheets, "unasked", [["a"], ["1"]])
     (sheets / "unasked" / "x.json").write_text("{")
-    configs = [config(j) for j in ("good", "clash", "audit", "keyless", "absent", "torn")]
+    jobs = ("good", "clash", "audit", "keyless", "absent", "torn", "twice")
+    configs = [config(j) for j in jobs]
     results = load_feeds(spark, str(sheets), configs, ctx, warehouse)
     assert {job: str(r.error) if r.error else None for job, r in results.items()} == {
         "good": None,
@@ -247,7 +250,8 @@ def test_one_bad_feed_does_not_stop_the_others(spark, tmp_path, ctx):
         "audit": "column names collide with audit columns: ['row']",
         "keyless": "primary key columns are missing from the feed: ['po_number']",
         "absent": "No data found for: ['absent']",
-        "torn": "a document of 'torn' cannot be parsed",
+        "torn": "a document cannot be parsed",
+        "twice": "documents cover the same rows",
     }
     assert warehouse.read("dw.good").count() == 2
     assert not (tmp_path / "wh" / "dw" / "unasked").exists()

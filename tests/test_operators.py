@@ -20,10 +20,9 @@ from sheetmill.operators.dedup import (
 from sheetmill.operators.ingest import (
     assemble,
     collect_headers,
-    count_long_rows,
     dedup_headers,
+    feed_shapes,
     require_data,
-    row_widths,
 )
 from sheetmill.operators.profile import infer_schema, infer_types, profile_sample
 from sheetmill.operators.quality import reconcile, reject_summary, typed_rows
@@ -84,9 +83,21 @@ def test_assemble(spark):
     assert got == [(1, "x y", None), (2, "1", None), (3, "1", "2")] + [
         (i, None, None) for i in (4, 5, 6)
     ]
-    widths = row_widths(rows)
-    assert widths == {"f": {0: 2, 1: 1, 2: 2, 3: 1}}
-    assert count_long_rows(widths["f"], 2) == 1
+    shape = feed_shapes(rows)["f"]
+    assert (shape.widths, shape.headers, shape.last) == ({0: 2, 1: 1, 2: 3, 3: 1}, 1, 6)
+    assert shape.long_rows(2) == 1
+    shape.require_whole()
+
+
+@pytest.mark.parametrize(
+    ("positions", "message"),
+    [((0, 1, 2, 2), "same rows"), ((0, 0, 5), "same rows"), ((0, 1, -1), "cannot be parsed")],
+)
+def test_unreliable_positions_are_an_error(spark, positions, message):
+    data = [("f", p, None if p < 0 else ["x"]) for p in positions]
+    rows = spark.createDataFrame(data, f"feed string, {ROW_ID} long, cells array<string>")
+    with pytest.raises(FeedError, match=message):
+        feed_shapes(rows)["f"].require_whole()
 
 
 def test_empty_source_is_an_error():
