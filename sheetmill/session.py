@@ -23,17 +23,42 @@ def _local_folder() -> tempfile.TemporaryDirectory:
     return tempfile.TemporaryDirectory(prefix="sheetmill-", ignore_cleanup_errors=True)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder.
+    A local session without that setting, as in tests, gets one of its own; a cluster must
+    name a folder that all executors reach.
     """
     base = spark.conf.get(_CHECKPOINT_DIR, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder all executors can reach")
         base = _local_folder().name
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        spark.conf.set(_CHECKPOINT_DIR, base)
+    return base.rstrip("/")
+
+
+def _files(spark: SparkSession, path: str):
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+_folders: set[str] = set()
+
+
+def _session_folder(spark: SparkSession) -> str:
+    path = f"{shared_folder(spark)}/sheetmill-{spark.sparkContext.applicationId}"
+    if path not in _folders:
+        files, location = _files(spark, path)
+        files.mkdirs(location)
+        files.deleteOnExit(location)
+        _folders.add(path)
+    return path
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder, deleted when the driver ends at the latest."""
+    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager
@@ -43,6 +68,5 @@ def scratch(spark: SparkSession, name: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files, location = _files(spark, path)
         files.delete(location, True)

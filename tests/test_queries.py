@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__ as contract
 from sheetmill.operators.profile import infer_schema
 from sheetmill.operators.quality import reconcile, typed_rows
-from sheetmill.plans import fixtures as fx
+from sheetmill.plans import fixtures as fx, oracle
+from sheetmill.plans.queries import registered
 from sheetmill.rules import RuleSet
 
 DATA = Path("/root/testdata")
@@ -29,16 +30,16 @@ def duck():
 
 
 def test_only_the_random_sample_lacks_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"profile_sample"}
-    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(registered()) - set(oracle.statements()) == {"profile_sample"}
+    assert set(oracle.statements()) <= set(registered()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.statements()))
 def test_query_equals_sql(spark, duck, name):
     """Same rows in both engines, by built-in operators and without a cross join."""
-    df = contract.queries()[name](spark, SMALL)
+    df = registered()[name](spark, SMALL)
     columns = sorted(df.columns)
-    expected = duck.sql(contract.oracle_sql()[name])
+    expected = duck.sql(oracle.statements()[name])
     assert sorted(expected.columns) == columns
     order = [expected.columns.index(c) for c in columns]
     want = sorted(repr(tuple(row[i] for i in order)) for row in expected.fetchall())
@@ -49,7 +50,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_sample_is_bounded(spark):
-    sample = contract.queries()["profile_sample"](spark, MEDIUM)
+    sample = registered()["profile_sample"](spark, MEDIUM)
     assert sample.count() == 1000
     assert sample.subtract(fx.purchases(spark, MEDIUM)).count() == 0
 
