@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetmill.llm.bpe import bpe_digests
+from sheetmill.llm.embeddings import near_embeddings
 from sheetmill.llm.exact_dedup import exact_dedup
+from sheetmill.llm.language import identify
 from sheetmill.llm.mixing import mix_sources
+from sheetmill.llm.ngram_join import ngram_join
 from sheetmill.llm.sharding import byte_shards
 from sheetmill.llm.token_codes import token_codes
 
@@ -27,6 +30,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(documents(spark, sf_dir), 8)
 
@@ -36,18 +43,30 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = ngram_join(documents(spark, sf_dir), words=4, least=(85, 100))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(documents(spark, sf_dir), weights=(3, 1, 2), share=1.5, most=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.93)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     names = (
         op1_token_codes,
         op2_exact_dedup,
+        op3_language_id,
         op4_sharding,
         op5_byte_bpe,
+        op6_ngram_join,
         op7_mixing,
+        op10_embeddings,
     )
     return {query.__name__: query for query in names}
 
