@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheetmill.llm.bpe import bpe_digests
 from sheetmill.llm.embeddings import near_embeddings
@@ -13,6 +13,7 @@ from sheetmill.llm.exact_dedup import exact_dedup
 from sheetmill.llm.language import identify
 from sheetmill.llm.mixing import mix_sources
 from sheetmill.llm.ngram_join import ngram_join
+from sheetmill.llm.secret_scan import KINDS, find_secrets, span_text
 from sheetmill.llm.sharding import byte_shards
 from sheetmill.llm.token_codes import token_codes
 
@@ -53,6 +54,24 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(documents(spark, sf_dir))
+    spans = F.col("found")
+
+    def count(kind: str) -> Column:
+        number = KINDS.index(kind)
+        return F.size(F.filter(spans, lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(span_text(spans, base_only=True), 256).alias("base_sha256"),
+        span_text(spans).alias("spans"),
+    )
+
+
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.93)
 
@@ -66,6 +85,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_byte_bpe,
         op6_ngram_join,
         op7_mixing,
+        op9_secret_scan,
         op10_embeddings,
     )
     return {query.__name__: query for query in names}
