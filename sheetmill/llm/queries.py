@@ -15,6 +15,7 @@ from sheetmill.llm.mixing import mix_sources
 from sheetmill.llm.ngram_join import ngram_join
 from sheetmill.llm.secret_scan import KINDS, find_secrets, span_text
 from sheetmill.llm.sharding import byte_shards
+from sheetmill.llm.suffixes import remove_repeats
 from sheetmill.llm.token_codes import token_codes
 
 
@@ -54,6 +55,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(documents(spark, sf_dir), 50)
+    return left.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(documents(spark, sf_dir))
     spans = F.col("found")
@@ -85,6 +93,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_byte_bpe,
         op6_ngram_join,
         op7_mixing,
+        op8_suffix_dedup,
         op9_secret_scan,
         op10_embeddings,
     )
