@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -11,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import tiktoken
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetmill.llm.common import small_batches
 
@@ -19,11 +18,6 @@ from sheetmill.llm.common import small_batches
 #: no match holds white space after anything else.
 _SAFE = re.compile(r"(?<=[!-~])(?= )")
 
-_RESULT = T.StructType(
-    [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]
-)
-
-
 @lru_cache(maxsize=4)
 def encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
     with open(rank_file, "rb") as lines:
@@ -53,25 +47,32 @@ def encode(enc: tiktoken.Encoding, text: str, piece: int = 1 << 16) -> list[int]
     return ids
 
 
-def bpe_columns(text: Column, rank_file: str, pattern: str, *, piece: int = 1 << 16) -> Column:
-    """Struct (ids, decoded) of a text column: its token ids, and the bytes these decode to.
+def bpe_column(text: Column, rank_file: str, pattern: str, *, piece: int = 1 << 16) -> Column:
+    """Struct (n_tokens, ids, decoded) of a text column: its ids as little-endian unsigned 32-bit
+    integers, and the bytes that these decode to.
 
     Null counts as empty: no ids and no bytes. Ids are those of the library for the whole text;
-    texts above ``piece`` characters are encoded in parts, so memory does not grow with them
-    beyond the text and its ids. The rank file must exist on every executor.
+    texts above ``piece`` characters are encoded in parts. The rank file must exist on every
+    executor. A task holds one batch of texts and their ids.
     """
 
-    @F.pandas_udf(_RESULT)
+    @F.pandas_udf("n_tokens long, ids binary, decoded binary")
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = encoding(rank_file, pattern)
         for texts in batches:
-            ids = [encode(enc, t or "", piece) for t in texts]
-            yield pd.DataFrame({"ids": ids, "decoded": [enc.decode_bytes(i) for i in ids]})
+            ids = [encode(enc, t, piece) for t in texts]
+            yield pd.DataFrame(
+                {
+                    "n_tokens": [len(i) for i in ids],
+                    "ids": [np.asarray(i, "<u4").tobytes() for i in ids],
+                    "decoded": [enc.decode_bytes(i) for i in ids],
+                }
+            )
 
     return coded(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def bpe_digests(
+def bpe_tokens(
     docs: DataFrame,
     rank_file: str,
     pattern: str,
@@ -80,30 +81,12 @@ def bpe_digests(
     text_col: str = "text",
     piece: int = 1 << 16,
 ) -> DataFrame:
-    """Encode and decode every text, and return digests instead of ids.
+    """Encode every text, and decode the ids.
 
-    Returns one row per input row: doc_id, n_tokens, ids_sha256 (ids as little-endian unsigned
-    32-bit integers), decoded_sha256. Null texts count as empty; null ids and repeated rows are
-    kept; an empty table gives no rows; further columns are not read. Nothing is shuffled.
+    Returns one row per input row: doc_id, n_tokens, ids (little-endian unsigned 32-bit integers),
+    decoded (bytes). Null texts count as empty; null ids and repeated rows are kept; an empty
+    table gives no rows; further columns are not read. Nothing is shuffled.
     """
     small_batches(docs.sparkSession)
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-
-    @F.pandas_udf(schema)
-    def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        enc = encoding(rank_file, pattern)
-        for texts in batches:
-            rows = []
-            for text in texts:
-                ids = encode(enc, text or "", piece)
-                packed = np.asarray(ids, "<u4").tobytes()
-                decoded = enc.decode_bytes(ids)
-                rows.append(
-                    (len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest())
-                )
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc_id"), digests(text).alias("r")).select(
-        "doc_id", "r.n_tokens", "r.ids_sha256", "r.decoded_sha256"
-    )
+    coded = bpe_column(F.col(text_col), rank_file, pattern, piece=piece)
+    return docs.select(F.col(id_col).alias("doc_id"), coded.alias("r")).select("doc_id", "r.*")

@@ -26,7 +26,7 @@ def normalised(text: Column) -> Column:
 
 
 def _mixed(keys: np.ndarray, seed: int) -> np.ndarray:
-    x = keys + np.uint64(seed) * _SEED
+    x = keys + _SEED * np.array([seed], np.uint64)
     x ^= x >> np.uint64(33)
     x *= np.uint64(0xFF51AFD7ED558CCD)
     x ^= x >> np.uint64(33)

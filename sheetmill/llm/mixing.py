@@ -54,38 +54,31 @@ def _digit(level: int) -> Column:
     return F.shiftrightunsigned(F.col("h"), shift).bitwiseAND((1 << _BITS) - 1)
 
 
-def mix_sources(
+def _hash(id_col: str, text_col: str, seed: int) -> Column:
+    return F.xxhash64(F.col(id_col).cast("long"), text_or_empty(F.col(text_col)), F.lit(seed))
+
+
+def source_cuts(
     docs: DataFrame,
-    weights: Sequence[float] = (3, 1, 2),
-    share: float = 1.5,
-    most: float = 2.0,
+    weights: Sequence[float],
+    share: float,
+    most: float,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
     seed: int = 0,
-) -> DataFrame:
-    """Decide how often each document enters the mix.
-
-    A document's size is its number of words. Every document is taken ``floor(target / source
-    size)`` times, and once more if its hash is below the source's threshold.
-
-    Returns doc_id, source, size, source_size, target, copies, taken.
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, source, size, h), and per source (source, source_size, target, times, prefix).
 
-    Null and empty texts have size 0 and follow their source's threshold. Null sources form one
-    source. The hash is that of id and text, so reruns agree and repeated rows share a decision.
-    An empty table gives no rows; further columns of ``docs`` are not read.
-
-    Sums are made before each shuffle, so a hot source is one row per task and bucket. The
-    histogram holds at most 4096 buckets per source and level, whatever the number of rows.
+    A row is taken ``times`` times, and once more if the leading bits of ``h`` are below ``prefix``.
     """
-    text = text_or_empty(F.col(text_col))
     rows = written(
         docs.select(
             F.col(id_col).cast("long").alias("doc_id"),
             F.col(source_col).cast("string").alias("source"),
-            F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-            F.xxhash64(F.col(id_col).cast("long"), text, F.lit(seed)).alias("h"),
+            F.regexp_count(text_or_empty(F.col(text_col)), F.lit(WORD)).cast("long").alias("size"),
+            _hash(id_col, text_col, seed).alias("h"),
         ),
         "sizes",
     )
@@ -110,9 +103,9 @@ def mix_sources(
         run = Window.partitionBy("source").orderBy("digit")
         counts = counts.withColumn("upto", F.sum("words").over(run)).alias("c")
         t = cuts.alias("t")
-        last = level == _LEVELS - 1
         # The last level rounds to the nearer end of the bucket, the others keep to whole ones.
-        fits = F.col("c.upto") - (F.col("c.words") / 2 if last else F.lit(0)) <= F.col("t.left")
+        half = F.col("c.words") / 2 if level == _LEVELS - 1 else F.lit(0)
+        fits = F.col("c.upto") - half <= F.col("t.left")
         below = (
             t.join(counts, F.col("t.source").eqNullSafe(F.col("c.source")), "left")
             .groupBy("t.source", "t.source_size", "t.target", "t.times", "t.left", "t.prefix")
@@ -132,9 +125,34 @@ def mix_sources(
             ),
             "thresholds",
         )
-    extra = F.shiftrightunsigned(F.col("h"), 64 - _BITS * _LEVELS) < F.col("prefix")
-    copies = F.col("times") + extra.cast("long")
+    return rows, cuts.drop("left")
+
+
+def _copies(h: Column) -> Column:
+    extra = F.shiftrightunsigned(h, 64 - _BITS * _LEVELS) < F.col("prefix")
+    return F.col("times") + extra.cast("long")
+
+
+def mix_sources(
+    docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, **options
+) -> DataFrame:
+    """Decide how often each document enters the mix.
+
+    A document's size is its number of words. Every document is taken ``floor(target / source
+    size)`` times, and once more if its hash is below the source's threshold.
+
+    Returns doc_id, source, size, source_size, target, copies, taken.
+
+    Null and empty texts have size 0 and follow their source's threshold. Null sources form one
+    source. The hash is that of id and text, so reruns agree and repeated rows share a decision.
+    An empty table gives no rows; further columns of ``docs`` are not read.
+
+    Sums are made before each shuffle, so a hot source is one row per task and bucket. The
+    histogram holds at most 4096 buckets per source and level, whatever the number of rows.
+    """
+    rows, cuts = source_cuts(docs, weights, share, most, **options)
     picked = rows.alias("r").join(cuts.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
+    copies = _copies(F.col("h"))
     return picked.select(
         "doc_id",
         "r.source",
@@ -144,3 +162,29 @@ def mix_sources(
         copies.alias("copies"),
         (copies * F.col("size")).alias("taken"),
     )
+
+
+def mixed_rows(
+    docs: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    seed: int = 0,
+) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix_sources`` takes them, with all their columns."""
+    names = {"id_col": id_col, "text_col": text_col, "source_col": source_col, "seed": seed}
+    _, cuts = source_cuts(docs, weights, share, most, **names)
+    every = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    keyed = docs.select(every, F.col(source_col).cast("string").alias("own"), _hash(id_col, text_col, seed).alias("h"))
+    picked = keyed.join(cuts.select("source", "times", "prefix"), F.col("own").eqNullSafe(F.col("source")))
+    copies = _copies(F.col("h"))
+    return (
+        picked.select("row", copies.alias("copies"))
+        .where("copies > 0")
+        .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        .select("row.*")
+    )

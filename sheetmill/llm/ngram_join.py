@@ -118,21 +118,21 @@ def _scan(words: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_hash"),
                     pa.array([set_id(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.nulls(len(sets), pa.int64()),
                 ],
-                names=["doc_id", "set_id", "n", "counter"],
+                names=["doc_id", "text_hash", "set_id", "n", "counter"],
             )
         often = np.flatnonzero(counts >= _NOTICED)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.nulls(len(often), pa.int64()),
-                pa.nulls(len(often), pa.int64()),
+                *[pa.nulls(len(often), pa.int64())] * 3,
                 pa.array(counts[often], pa.int64()),
                 pa.array(often, pa.int64()),
             ],
-            names=["doc_id", "set_id", "n", "counter"],
+            names=["doc_id", "text_hash", "set_id", "n", "counter"],
         )
 
     return scan
@@ -332,8 +332,8 @@ def ngram_join(
     stretches without white space, A-Z lower-cased. A text with fewer words has its whole sequence
     as its only n-gram; null, empty and blank texts have none and link with nothing.
 
-    Returns one row per input row: doc_id, n_shingles, set_id, component_id (smallest id reachable by
-    links, or its own). Documents with equal sets are linked. Rows that repeat an id are documents
+    Returns one row per input row: doc_id, text_hash, n_shingles, set_id, component_id (smallest id
+    reachable by links, or its own). Documents with equal sets are linked. Rows that repeat an id are documents
     of their own. Null ids never name a component; a set that only rows without id have is linked
     with nothing else, and its component is null. An empty table gives no rows; further columns are not read.
 
@@ -346,13 +346,15 @@ def ngram_join(
     spark = docs.sparkSession
     num, den = least
     small_batches(spark)
-    texts = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text")
-    )
+    body = text_or_empty(F.col(text_col))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("text"))
     scanned = written(
-        texts.mapInArrow(_scan(words), "doc_id long, set_id long, n long, counter long"), "sets"
+        texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+            _scan(words), "doc_id long, text_hash long, set_id long, n long, counter long"
+        ),
+        "sets",
     )
-    rows = scanned.where("counter is null").select("doc_id", "set_id", "n")
+    rows = scanned.where("counter is null").select("doc_id", "text_hash", "set_id", "n")
     frequent = scanned.where("counter is not null").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
     classes = np.zeros(_COUNTERS, np.uint8)
     classes[frequent["counter"].to_numpy(np.int64)] = np.log2(np.maximum(frequent["n"].to_numpy(float), 1))
@@ -460,6 +462,7 @@ def ngram_join(
     names = labelled.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("smallest"))
     return labelled.join(names, "component", "left").select(
         "doc_id",
+        "text_hash",
         F.col("n").alias("n_shingles"),
         "set_id",
         F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"),

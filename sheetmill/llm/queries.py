@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sheetmill.llm.bpe import bpe_digests
+from sheetmill.llm.bpe import bpe_tokens
 from sheetmill.llm.embeddings import near_embeddings
 from sheetmill.llm.exact_dedup import exact_dedup
 from sheetmill.llm.language import identify
@@ -42,7 +42,13 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe_digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    coded = bpe_tokens(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -11,9 +12,11 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from sheetmill.llm.bpe import bpe_columns, bpe_digests, encode, encoding, pieces
+from sheetmill.llm import queries
+from sheetmill.llm.bpe import bpe_tokens, encode, encoding, pieces
 from sheetmill.llm.token_codes import Words, from_levels, to_levels, token_at, token_codes
 
+SMALL = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TEXT = st.text(
@@ -93,21 +96,22 @@ def test_bpe(request, table):
     want = Counter()
     for r in docs.select("doc_id", "text").collect():
         ids = enc.encode_ordinary(r.text or "")
-        packed = np.array(ids, "<u4").tobytes()
-        want[
-            r.doc_id,
-            len(ids),
-            hashlib.sha256(packed).hexdigest(),
-            hashlib.sha256((r.text or "").encode()).hexdigest(),
-        ] += 1
-    got = bpe_digests(docs, RANKS, public_tokenizers.PATTERN, piece=100)
-    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    assert Counter(map(tuple, got.collect())) == want
-
-
-def test_bpe_columns_round_trip(odd):
-    coded = odd.select("text", bpe_columns(odd.text, RANKS, public_tokenizers.PATTERN).alias("r"))
+        want[r.doc_id, len(ids), np.array(ids, "<u4").tobytes(), (r.text or "").encode()] += 1
+    got = bpe_tokens(docs, RANKS, public_tokenizers.PATTERN, piece=100)
+    assert got.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+    assert Counter((r.doc_id, r.n_tokens, bytes(r.ids), bytes(r.decoded)) for r in got.collect()) == want
+
+
+def test_queries_give_digests(spark, small, whole):
+    texts = {r.doc_id: r.text for r in small.collect()}
     enc = encoding(RANKS, public_tokenizers.PATTERN)
-    for r in coded.collect():
-        assert bytes(r.r.decoded) == (r.text or "").encode()
-        assert r.r.ids == enc.encode_ordinary(r.text or "")
+    for r in queries.op5_byte_bpe(spark, SMALL).collect():
+        ids = np.array(enc.encode_ordinary(texts[r.doc_id]), "<u4")
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(ids.tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+    start = 0
+    for r in sorted(queries.op1_token_codes(spark, SMALL).collect(), key=lambda r: r.doc_id):
+        ids = np.array([*whole(texts[r.doc_id]), 2], "<u4")
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
