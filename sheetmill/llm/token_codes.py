@@ -7,12 +7,12 @@ bitmap gives an id's place on the next level, so any id is read without decoding
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
@@ -23,6 +23,9 @@ from sheetmill.session import scratch_path
 #: Bits of a bitmap that one entry of its rank directory covers.
 BLOCK = 512
 
+#: The parts a table is written in at most; their offsets are broadcast.
+MOST_PARTS = 100_000
+
 _LEVEL = pa.struct([("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())])
 _SEGMENT = pa.schema(
     [
@@ -89,51 +92,104 @@ def from_levels(levels: list[dict[str, bytes]]) -> np.ndarray:
     return ids
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str) -> Tokenizer:
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
-    return tokenizer
+#: White space as the pre-tokenizer sees it, for regular expressions.
+_SPACES = (
+    r"\t\n\x0b\x0c\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 
 
 class Words:
-    """Encodes texts through the library, each distinct stretch between spaces once.
+    """Encodes texts through the library, each distinct word of a batch once.
 
-    The pre-tokenizer never joins a visible character with white space after it, and leaves the
-    last of several spaces to the word that follows. So a text may be cut before every space
-    that a visible character follows, and the ids of the parts are those of the whole.
+    The pre-tokenizer never joins a visible character with white space after it, and gives a space
+    to the visible character that follows. So a text whose spaces all stand alone may be cut
+    before each of them, and the ids of the parts are those of the whole. Other texts are
+    encoded whole. Likewise, a line feed between visible characters is a token of its own; so
+    the distinct words are encoded as the lines of one text.
     """
 
-    _odd = re.compile(r" (?=\s|$)")
-
-    def __init__(self, path: str, most: int = 200_000):
-        self._tokenizer, self._most = _tokenizer(path), most
-        self._known: dict[str, bytes] = {}
-
-    def parts(self, text: str) -> list[str]:
-        found = text.split(" ")
-        if not self._odd.search(text):
-            return [found[0], *[" " + x for x in found[1:]]]
-        joined = [found[0]]
-        for x in found[1:]:
-            if not x or x[0].isspace():
-                joined[-1] += " " + x
-            else:
-                joined.append(" " + x)
-        return joined
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    _odd = f" ([{_SPACES}]|$)"
+    _line = f"^[^{_SPACES}]+(\\n[^{_SPACES}]+)*$"
+
+    def __init__(self, path: str):
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
+        self._feed = self._ids(["\n"])[0]
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.asarray(f.ids, "<u4") for f in found]
+
+    def _lines(self, words: pa.Array, before: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``before`` and each word, one after the other, and where each begins and ends."""
+        plain = pc.match_substring_regex(words, self._line).to_numpy(zero_copy_only=False)
+        feeds = pc.count_substring(words, "\n").to_numpy(zero_copy_only=False)
+        names = words.to_pylist()
+        lines = "\n".join([before + w for w, good in zip(names, plain) if good])
+        ids = self._ids([f"\n{lines}\n"])[0]
+        ends = np.flatnonzero(ids == self._feed[0])
+        count = feeds[plain] + 1
+        bounds = np.zeros((len(words), 2), np.int64)
+        if len(self._feed) == 1 and len(ends) == count.sum() + 1:
+            last = np.cumsum(count)
+            bounds[plain, 0], bounds[plain, 1] = ends[last - count] + 1, ends[last]
+        else:  # not a vocabulary of this kind
+            plain = np.zeros(len(words), bool)
+        odd = np.flatnonzero(~plain)
+        more = self._ids([before + names[k] for k in odd])
+        sizes = np.array([len(m) for m in more], np.int64)
+        bounds[odd, 1] = len(ids) + np.cumsum(sizes)
+        bounds[odd, 0] = bounds[odd, 1] - sizes
+        return np.concatenate([ids, *more]), bounds
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [self.parts(t) for t in texts]
-        if len(self._known) > self._most:
-            self._known = {}
-        known = self._known
-        unknown = list({p for parts in split for p in parts} - known.keys())
-        for part, coded in zip(
-            unknown, self._tokenizer.encode_batch_fast(unknown, add_special_tokens=False), strict=True
-        ):
-            known[part] = np.asarray(coded.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        found: list[bytes] = [b""] * len(texts)
+        odd = pc.match_substring_regex(texts, self._odd).to_numpy(zero_copy_only=False)
+        whole = np.flatnonzero(odd)
+        for k, ids in zip(whole, self._ids(texts.take(pa.array(whole)).to_pylist())):
+            found[k] = ids.tobytes()
+        cut = np.flatnonzero(~odd)
+        if not len(cut):
+            return found
+        parts = pc.split_pattern(texts.take(pa.array(cut)), " ")
+        offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        words = parts.flatten().dictionary_encode()
+        place = words.indices.to_numpy().astype(np.int64)
+        first = offsets[:-1]
+        openings, where = np.unique(place[first], return_inverse=True)
+        ids, bounds = self._lines(words.dictionary, " ")
+        more, more_bounds = self._lines(words.dictionary.take(pa.array(openings)), "")
+        place[first] = len(bounds) + where
+        bounds = np.concatenate([bounds, more_bounds + len(ids)])[place]
+        sizes = bounds[:, 1] - bounds[:, 0]
+        ends = np.cumsum(sizes)
+        every = np.concatenate([ids, more])[
+            np.arange(ends[-1]) + np.repeat(bounds[:, 0] - (ends - sizes), sizes)
+        ]
+        stops = np.concatenate([[0], ends])[offsets]
+        for k, a, b in zip(cut, stops[:-1], stops[1:]):
+            found[k] = every[a:b].tobytes()
+        return found
+
+
+@lru_cache(maxsize=2)
+def words_of(path: str) -> Words:
+    """One per process."""
+    return Words(path)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``size`` bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
 
 
 def write_codes(
@@ -146,6 +202,7 @@ def write_codes(
     text_col: str = "text",
     part_rows: int = 4096,
     segment_tokens: int = 1 << 20,
+    batch_bytes: int = 16 << 20,
 ) -> None:
     """Encode every text and write its ids, ``end_id`` last, in ascending id order to ``path``.
 
@@ -153,14 +210,14 @@ def write_codes(
     empty and give the end id only; null ids come first; rows that repeat an id are ordered by
     their text's hash; an empty table gives a table without rows. Further columns are not read.
 
-    Texts are shuffled once, by ranges of (id, hash). A task holds one batch of texts and one
-    segment of ids.
+    Texts are shuffled once, by ranges of (id, hash). A task holds one batch of texts, about
+    ``batch_bytes``, and one segment of ids.
     """
     small_batches(docs.sparkSession)
-    parts = max(1, -(-docs.count() // part_rows))
+    parts = min(MOST_PARTS, max(1, -(-docs.count() // part_rows)))
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(tokenizer_path)
+        words = words_of(tokenizer_path)
         end = np.asarray([end_id], "<u4").tobytes()
         part, number, before = TaskContext.get().partitionId(), 0, 0
         ids, coded, size = [], [], 0
@@ -181,8 +238,8 @@ def write_codes(
             ids, coded, size = [], [], 0
             return pa.RecordBatch.from_pylist([row], schema=_SEGMENT)
 
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
+        for batch in _gathered(batches, batch_bytes):
+            texts = batch.column("text")
             for doc_id, code in zip(batch.column("id").to_pylist(), words.encode(texts), strict=True):
                 ids.append(doc_id)
                 coded.append(code + end)
@@ -208,7 +265,7 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
     """Documents of the written files: doc_id, start (ids before it in all files), n_tokens, and
     ids (little-endian unsigned 32-bit integers)."""
     coded = spark.read.schema(SEGMENT).parquet(path)
-    # One row per part: as many as the writer had tasks.
+    # One row per part, MOST_PARTS at most.
     totals = coded.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("offset"))
@@ -233,7 +290,7 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
     return (
         coded.select("part", "before", "doc_ids", "lengths", "levels")
         .mapInArrow(documents, "part int, doc_id long, first long, n_tokens long, ids binary")
-        .join(offsets, "part")
+        .join(F.broadcast(offsets), "part")
         .select("doc_id", (F.col("first") + F.col("offset")).alias("start"), "n_tokens", "ids")
     )
 

@@ -8,19 +8,24 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from sheetmill.llm import queries
 from sheetmill.llm.bpe import bpe_tokens, encode, encoding, pieces
-from sheetmill.llm.token_codes import Words, from_levels, to_levels, token_at, token_codes
+from sheetmill.llm.token_codes import from_levels, to_levels, token_at, token_codes, words_of
 
 SMALL = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TEXT = st.text(
-    st.one_of(st.sampled_from(" \n\t\x0b\x1c\x85\xa0　'sabé1!東\U0001f600"), st.characters(codec="utf-8")),
+    st.one_of(
+        st.sampled_from(" \n\t\x0b\x1c\x85\xa0　'sabé1!東\U0001f600"),
+        st.sampled_from(" \nab'.,"),
+        st.characters(codec="utf-8"),
+    ),
     max_size=60,
 )
 
@@ -48,18 +53,17 @@ def test_any_token_is_read_alone():
 
 
 @settings(max_examples=600, deadline=None)
-@given(TEXT)
-def test_parts_give_the_ids_of_the_whole(whole, text):
-    words = Words(VOCABULARY)
-    assert "".join(words.parts(text)) == text
-    assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == whole(text)
-
-
-def test_known_words_stay_bounded(whole):
-    words = Words(VOCABULARY, most=3)
-    for text in ("one two three four", "five six", "one seven"):
-        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == whole(text)
-    assert len(words._known) <= 6
+@given(st.lists(TEXT, min_size=1, max_size=4))
+def test_words_give_the_ids_of_the_whole(whole, texts):
+    for text, ids in zip(texts, words_of(VOCABULARY).encode(pa.array(texts, pa.string()))):
+        assert np.frombuffer(ids, "<u4").tolist() == whole(text)
+
+
+@pytest.mark.parametrize("space", "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000\u200b\ufeff")
+def test_every_white_space(whole, space):
+    texts = [f"a {space}b", f"a{space}b c", f"a {space} b", f"{space}{space}a b{space}", f"a{space}\nb c"]
+    for text, ids in zip(texts, words_of(VOCABULARY).encode(pa.array(texts))):
+        assert np.frombuffer(ids, "<u4").tolist() == whole(text)
 
 
 @pytest.mark.parametrize("table", ["small", "odd", "clashing", "empty"])
