@@ -1,10 +1,11 @@
 """Jaccard join of documents over word n-grams.
 
 Method: set relations let the join skip work. Index lists are ordered by size and position, and
-blocks of entries whose sizes or positions rule a link out are skipped. A set that is highly
-similar to another derives its answers from that set's: every set is first compared with the
-leader of each list it is in, sets linked to a leader share its component, and only pairs whose
-answers cannot be derived that way (different components) are compared at all.
+blocks of entries whose sizes or positions rule a link out are skipped. In long lists a set that is
+highly similar to another derives its answers from that set's: every set is first compared with
+the leader of each list it is in, sets linked to a leader share its component, and only pairs whose
+answers cannot be derived that way (different components) are compared at all. In short lists the
+positions of all common entries of a pair bound its overlap before any set is read.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sheetmill.llm.common import components, small_batches, text_or_empty, written
 
@@ -25,7 +26,9 @@ _COUNTERS = 1 << 22
 _NOTICED = 8
 #: Bits of a set's sketch. Two sets differ in at least as many n-grams as their sketches in bits.
 _BITS = 1024
-#: Entries of a list that are compared in one go.
+#: Lists of up to so many entries are short: their pairs are counted.
+_SHORT = 16
+#: Entries of a long list that are compared in one go.
 _BLOCK = 4096
 _PAIRS = 1 << 19
 
@@ -122,8 +125,9 @@ def _scan(words: int):
                     pa.array([set_id(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.nulls(len(sets), pa.int64()),
+                    pa.array([sketch(s) for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "text_hash", "set_id", "n", "counter"],
+                names=["doc_id", "text_hash", "set_id", "n", "counter", "bits"],
             )
         often = np.flatnonzero(counts >= _NOTICED)
         yield pa.RecordBatch.from_arrays(
@@ -131,8 +135,9 @@ def _scan(words: int):
                 *[pa.nulls(len(often), pa.int64())] * 3,
                 pa.array(counts[often], pa.int64()),
                 pa.array(often, pa.int64()),
+                pa.nulls(len(often), pa.binary()),
             ],
-            names=["doc_id", "text_hash", "set_id", "n", "counter"],
+            names=["doc_id", "text_hash", "set_id", "n", "counter", "bits"],
         )
 
     return scan
@@ -172,11 +177,9 @@ def _set_rows(words: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([set_id(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.array([sketch(s) for s in sets], pa.binary()),
                 ],
-                names=["set_id", "n", "grams", "bits"],
+                names=["set_id", "grams"],
             )
 
     return rows
@@ -214,7 +217,7 @@ class _Lists:
         )
         bits = b"".join(table.column("bits").to_pylist())
         self.bits = np.frombuffer(bits, np.uint64).reshape(len(self.token), _BITS // 64)
-        self.mine = table.column("tokens")
+        self.mine = table.column("tokens") if "tokens" in table.column_names else None
 
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(i, j, differing bits) of pairs that may be linked and are in different components.
@@ -255,6 +258,11 @@ class _Lists:
         keep = differ <= allowed
         return i[keep], j[keep], differ[keep]
 
+    def possible(self) -> np.ndarray:
+        """The sets that some pair has."""
+        found = [np.concatenate(x[:2]) for x in self.pairs() if len(x[0])]
+        return np.unique(self.set_id[np.unique(np.concatenate(found))]) if found else self.set_id[:0]
+
     def best(self) -> tuple[np.ndarray, np.ndarray]:
         """For each component of each list the most similar pair that leaves it."""
         found = [x for x in self.pairs() if len(x[0])]
@@ -287,6 +295,8 @@ def _proposals(mode: str, num: int, den: int):
     def proposals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(table: pa.Table) -> pa.RecordBatch:
             lists = _Lists(table, num, den)
+            if mode == "possible":
+                return pa.RecordBatch.from_arrays([pa.array(lists.possible())], names=["set_id"])
             i, j = getattr(lists, mode)()
             a, b = lists.set_id[i], lists.set_id[j]
             return pa.RecordBatch.from_arrays(
@@ -317,6 +327,58 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return written(both.mapInArrow(_linked(num, den), "a long, b long"), "links")
 
 
+def _short_pairs(entries: DataFrame, long_entries: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of short lists that may be linked.
+
+    The prefix that ends first holds all common n-grams up to its end, and the pair's overlap is at
+    most those and what follows it. Common entries of long lists are counted as if all were shared.
+    """
+    member = F.struct("set_id", "n")
+    lists = entries.groupBy("token").agg(F.sort_array(F.collect_list(member)).alias("m"))
+
+    def after(x: Column, i: Column) -> Column:
+        return F.transform(
+            F.slice(F.col("m"), i + 2, F.size("m")),
+            lambda y: F.struct(
+                x["set_id"].alias("a"), y["set_id"].alias("b"), x["n"].alias("na"), y["n"].alias("nb")
+            ),
+        )
+
+    pairs = (
+        lists.where(F.size("m") > 1)
+        .select(F.explode(F.flatten(F.transform("m", after))).alias("p"))
+        .select("p.*")
+        .where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
+        .groupBy("a", "b", "na", "nb")
+        .agg(F.count("*").alias("common"))
+    )
+    extra = long_entries.groupBy("set_id").agg(F.count("*").alias("extra"))
+    side = lambda x: extra.select(F.col("set_id").alias(x), F.col("extra").alias(f"extra_{x}"))
+    shared = F.least(*(F.coalesce(f"extra_{x}", F.lit(0)) for x in "ab"))
+    rest = F.greatest(*(F.ceil(num * F.col(n) / den) - 1 for n in ("na", "nb")))
+    need = F.ceil(num * (F.col("na") + F.col("nb")) / (num + den))
+    return (
+        pairs.join(side("a"), "a", "left")
+        .join(side("b"), "b", "left")
+        .where(F.col("common") + shared + rest >= need)
+        .select("a", "b")
+    )
+
+
+def _ordered(entries: DataFrame, blocks: DataFrame, columns: list[str]) -> DataFrame:
+    """Entries of long lists in blocks: each block with itself and with every other."""
+    return (
+        entries.join(blocks, "token")
+        .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .select("token", "low", "high", "block", *columns)
+        .repartition("token", "low", "high")
+        .sortWithinPartitions("token", "low", "high", "n", "set_id")
+    )
+
+
 def ngram_join(
     docs: DataFrame,
     words: int = 4,
@@ -333,15 +395,16 @@ def ngram_join(
     as its only n-gram; null, empty and blank texts have none and link with nothing.
 
     Returns one row per input row: doc_id, text_hash, n_shingles, set_id, component_id (smallest id
-    reachable by links, or its own). Documents with equal sets are linked. Rows that repeat an id are documents
-    of their own. Null ids never name a component; a set that only rows without id have is linked
-    with nothing else, and its component is null. An empty table gives no rows; further columns are not read.
+    reachable by links, or its own). Documents with equal sets are linked. Rows that repeat an id are
+    documents of their own. Null ids never name a component; a set that only rows without id have is
+    linked with nothing else, and its component is null. An empty table gives no rows; further columns
+    are not read.
 
     N-grams and sets are 64-bit hashes. Equal sets are one node, found by an aggregation. Only
     prefixes are indexed, entries of n-grams that one set has are dropped, and no step emits a
-    number of rows that grows with the square of a group: lists are compared within tasks, in
-    blocks, and pairs whose sets are connected already are skipped. The driver gets at most
-    ``_COUNTERS`` counts. Every step is a written table.
+    number of rows that grows with the square of a group: pairs are listed for short lists only;
+    long ones are compared within tasks, in blocks, and pairs whose sets are connected already
+    are skipped. The driver gets at most ``_COUNTERS`` counts. Every step is a written table.
     """
     spark = docs.sparkSession
     num, den = least
@@ -350,7 +413,7 @@ def ngram_join(
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("text"))
     scanned = written(
         texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-            _scan(words), "doc_id long, text_hash long, set_id long, n long, counter long"
+            _scan(words), "doc_id long, text_hash long, set_id long, n long, counter long, bits binary"
         ),
         "sets",
     )
@@ -378,26 +441,45 @@ def ngram_join(
         .agg(F.min("pos").alias("pos"))
         .withColumn("entries", F.count("*").over(own) * F.col("salts"))
         .where((F.col("entries") > 1) | (F.col("salts") > 1))
-        .select("token", "class", "set_id", "n", "pos", "entries"),
+        .select("token", "set_id", "n", "pos", "entries", (F.col("salts") > 1).alias("salted")),
         "entries",
     )
+    is_long = F.col("salted") | (F.col("entries") > _SHORT)
+    long_entries = written(entries.where(is_long).drop("salted"), "long_entries")
+    candidates = written(_short_pairs(entries.where(~is_long), long_entries, num, den), "candidates")
 
-    # The n-grams of all sets that share a prefix entry with another one.
-    needed = entries.select("set_id").distinct()
+    # Long lists: the sets that may have a link there at all.
+    sketches = scanned.where("counter is null").join(
+        long_entries.select("set_id").distinct(), "set_id", "left_semi"
+    )
+    sketches = written(sketches.select("set_id", "bits").dropDuplicates(["set_id"]), "sketches")
+    blocks = long_entries.groupBy("token").agg(
+        F.ceil(F.max("entries") / _BLOCK).cast("int").alias("blocks")
+    )
+    columns = ["set_id", "n", "pos", "component", "bits"]
+    apart = long_entries.withColumn("component", F.col("set_id")).join(sketches, "set_id")
+    possible = written(
+        _ordered(apart, blocks, columns).mapInArrow(_proposals("possible", num, den), "set_id long").distinct(),
+        "possible",
+    )
+    long_entries = long_entries.join(possible, "set_id", "left_semi")
+
+    # The n-grams of all sets that may have a link.
+    needed = candidates.select(F.explode(F.array("a", "b")).alias("set_id")).unionByName(possible).distinct()
     owners = rows.join(needed, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("owner"))
     owners = written(owners, "owners")
     sets = written(
         texts.join(owners.select(F.col("owner").alias("doc_id")).distinct(), "doc_id", "left_semi")
         .select("text")
-        .mapInArrow(_set_rows(words), "set_id long, n long, grams binary, bits binary")
-        .join(needed, "set_id", "left_semi")
+        .mapInArrow(_set_rows(words), "set_id long, grams binary")
+        .join(owners, "set_id", "left_semi")
         .dropDuplicates(["set_id"]),
         "grams",
     )
 
-    # 1. Every set against the leader of each list: the set of the smallest id.
-    entries = entries.join(sets.select("set_id"), "set_id", "left_semi")
-    led = entries.join(owners, "set_id").select("token", "set_id", "n", "pos", "owner")
+    # 1. Short lists' pairs, and in long lists every set against the leader: that of the smallest id.
+    long_entries = written(long_entries.join(sets.select("set_id"), "set_id", "left_semi"), "compared")
+    led = long_entries.join(owners, "set_id").select("token", "set_id", "n", "pos", "owner")
     leaders = led.groupBy("token").agg(F.min(F.struct("owner", "set_id", "n", "pos")).alias("first"))
     total = F.col("n") + F.col("first.n")
     fits = (
@@ -408,50 +490,34 @@ def ngram_join(
             >= F.ceil(num * total / (num + den))
         )
     )
-    pairs = (
-        led.join(leaders, "token")
-        .where(fits)
-        .select(
-            F.least("set_id", "first.set_id").alias("a"), F.greatest("set_id", "first.set_id").alias("b")
-        )
-        .distinct()
+    star = led.join(leaders, "token").where(fits)
+    star = star.select(
+        F.least("set_id", "first.set_id").alias("a"), F.greatest("set_id", "first.set_id").alias("b")
     )
-    links = _verified(pairs, sets, num, den)
+    links = _verified(candidates.unionByName(star).distinct(), sets, num, den)
     found = written(components(links), "components")
 
-    # 2. and 3. What the leaders leave: lists that still hold several components.
-    prefix = entries.groupBy("set_id").agg(
+    # 2. and 3. What the leaders leave: long lists that still hold several components.
+    prefix = long_entries.groupBy("set_id").agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda e: e["token"]
         ).alias("tokens")
     )
     for mode in ("best", "all"):
         mapped = found.select(F.col("id").alias("set_id"), "component")
-        parts = entries.join(mapped, "set_id", "left").withColumn(
+        parts = long_entries.join(mapped, "set_id", "left").withColumn(
             "component", F.coalesce("component", "set_id")
         )
         parts = written(parts, "open")
         several = (
             parts.groupBy("token")
-            .agg(
-                F.min("component").alias("x"),
-                F.max("component").alias("y"),
-                F.ceil(F.max("entries") / _BLOCK).cast("int").alias("blocks"),
-            )
+            .agg(F.min("component").alias("x"), F.max("component").alias("y"))
             .where("x <> y")
+            .join(blocks, "token")
             .select("token", "blocks")
         )
-        opened = (
-            parts.join(several, "token")
-            .join(sets.select("set_id", "bits"), "set_id")
-            .join(prefix, "set_id")
-            .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("low", F.least("block", "other"))
-            .withColumn("high", F.greatest("block", "other"))
-            .select("token", "low", "high", "block", "set_id", "n", "pos", "component", "bits", "tokens")
-            .repartition("token", "low", "high")
-            .sortWithinPartitions("token", "low", "high", "n", "set_id")
+        opened = _ordered(
+            parts.join(sketches, "set_id").join(prefix, "set_id"), several, [*columns, "tokens"]
         )
         pairs = opened.mapInArrow(_proposals(mode, num, den), "a long, b long").distinct()
         links = links.unionByName(_verified(pairs, sets, num, den))

@@ -94,8 +94,9 @@ def near_copies(seed, n=400):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("block,salt", [(4096, 4096), (32, 8)])
-def test_hot_groups(spark, monkeypatch, seed, block, salt):
+@pytest.mark.parametrize("short,block,salt", [(16, 4096, 4096), (4, 32, 8), (1, 64, 64), (1000, 1000, 4096)])
+def test_hot_groups(spark, monkeypatch, seed, short, block, salt):
+    monkeypatch.setattr(module, "_SHORT", short)
     monkeypatch.setattr(module, "_BLOCK", block)
     rows = near_copies(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
