@@ -11,8 +11,9 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from sheetmill.model import RunContext, load_configs
+from sheetmill.model import load_configs
 from sheetmill.operators.control import approved_configs, read_control
+from sheetmill.operators.validate import run_context
 from sheetmill.plans.load import load_feeds
 from sheetmill.rules import RuleSet
 from sheetmill.session import SETTINGS
@@ -47,7 +48,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         spark,
         args.sheets,
         configs,
-        RunContext.of(args.job_id, args.date),
+        run_context(spark, args.job_id, args.date),
         Warehouse(spark, args.warehouse),
         getattr(RuleSet, args.rules)(),
         sample_limit=args.sample_limit,
@@ -59,7 +60,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(f"{job}: failed: {result.error}", file=sys.stderr)
         else:
             groups = f"date={list(result.schema.date)} numeric={list(result.schema.numeric)}"
-            print(f"{job}: loaded, {groups}, rows longer than the header: {result.long_rows}")
+            counts = " ".join(f"{layer}={n}" for layer, n in result.counts.items())
+            print(f"{job}: loaded, {groups} {counts}")
     return 1 if any(r.error for r in results.values()) else 0
 
 

@@ -49,10 +49,14 @@ def to_date(c: Column, rules: RuleSet) -> Column:
 
 
 def to_number(c: Column) -> Column:
-    """Double without commas; a trailing ``%`` divides by 100; blank or unreadable is NULL."""
+    """Double without commas; a trailing ``%`` divides by 100; blank or unreadable is NULL.
+
+    Only decimal digits are read: a cast alone would take ``1d``, ``0x1p3`` or ``NaN``, too.
+    """
     percent = c.endswith("%")
     digits = F.when(percent, F.replace(c, F.lit("%"), F.lit(""))).otherwise(c)
-    number = F.replace(digits, F.lit(","), F.lit("")).try_cast("double")
+    plain = c.rlike(r"^\s*[+-]?[0-9,]*(\.[0-9]*)?([eE][+-]?[0-9]+)?\s*%?\z")
+    number = F.when(plain, F.replace(digits, F.lit(","), F.lit("")).try_cast("double"))
     return number / F.when(percent, F.lit(100.0)).otherwise(F.lit(1.0))
 
 

@@ -125,13 +125,27 @@ class FeedConfig:
         )
 
 
-def load_configs(folder: str) -> list[FeedConfig]:
-    """Read every ``*.yaml`` configuration of a folder (needs PyYAML)."""
+@dataclass(frozen=True)
+class BadConfig:
+    """A job that cannot be configured; its load only reports why."""
+
+    job_name: str
+    error: Exception
+
+
+def load_configs(folder: str) -> list[FeedConfig | BadConfig]:
+    """Read every ``*.yaml`` configuration of a folder (needs PyYAML).
+
+    One that cannot be read becomes a ``BadConfig`` named like its file.
+    """
     from pathlib import Path
 
     import yaml
 
-    return [
-        FeedConfig.from_dict(yaml.safe_load(path.read_text()))
-        for path in sorted(Path(folder).glob("*.yaml"))
-    ]
+    found: list[FeedConfig | BadConfig] = []
+    for path in sorted(Path(folder).glob("*.yaml")):
+        try:
+            found.append(FeedConfig.from_dict(yaml.safe_load(path.read_text())))
+        except Exception as error:  # one file must not stop the others
+            found.append(BadConfig(path.stem, error))
+    return found

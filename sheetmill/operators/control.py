@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetmill.functions.text import parse_key_list
-from sheetmill.model import ROW_ID, FeedConfig, FeedError
-from sheetmill.operators.ingest import assemble, collect_headers, require_data
+from sheetmill.model import ROW_ID, BadConfig, FeedConfig, FeedError
+from sheetmill.operators.ingest import assemble, collect_headers, feed_shapes, require_data
 from sheetmill.sources.sheets import read_sheets
 
 #: Fixed value: the worksheet that lists the jobs.
@@ -20,7 +20,8 @@ def read_control(spark: SparkSession, sheets: str, multi_line: bool = True) -> D
     rows = read_sheets(spark, sheets, multi_line).filter(F.col("feed") == CONTROL_SHEET)
     headers = collect_headers(rows)
     require_data([CONTROL_SHEET], headers)
-    return assemble(rows, headers[CONTROL_SHEET]).withColumnRenamed(ROW_ID, "pos")
+    first = feed_shapes(rows)[CONTROL_SHEET].header
+    return assemble(rows, headers[CONTROL_SHEET], first).withColumnRenamed(ROW_ID, "pos")
 
 
 def first_entries(control: DataFrame, order: str = "pos") -> DataFrame:
@@ -55,8 +56,8 @@ def blocked_feeds(rows: DataFrame, control: DataFrame, order: str = "pos") -> Da
 
 def approved_configs(
     control: DataFrame, jobs: Sequence[str] | None = None, order: str = "pos"
-) -> list[FeedConfig]:
-    """Configurations of the jobs with status OK.
+) -> list[FeedConfig | BadConfig]:
+    """Configurations of the jobs with status OK; an unusable row becomes a ``BadConfig``.
 
     Naming a job that is unknown or not OK is an error; without names every OK job is taken.
     The result is driver metadata, one value per configured job.
@@ -77,8 +78,12 @@ def approved_configs(
         status = (found[job].status or "").upper()
         if status != "OK":
             raise FeedError(f"job {job!r} has status {status!r}; only OK jobs may run")
-    return [
-        FeedConfig.from_control_row({**r.asDict(), "primary_keys": r["keys"]})
-        for job, r in sorted(found.items())
-        if (r.status or "").upper() == "OK"
-    ]
+    configs: list[FeedConfig | BadConfig] = []
+    for job, r in sorted(found.items()):
+        if (r.status or "").upper() == "OK":
+            try:
+                row = {**r.asDict(), "primary_keys": r["keys"] or ()}
+                configs.append(FeedConfig.from_control_row(row))
+            except Exception as error:  # one row must not stop the others
+                configs.append(BadConfig(job, error))
+    return configs

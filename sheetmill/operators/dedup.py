@@ -1,7 +1,8 @@
 """One row per business key; the others become rejects.
 
-Within a run the first sheet row of a key survives. Survivors and duplicates are planned
-apart, each reading only the columns it needs, and agree because ``_src_row`` is unique.
+Within a run the first sheet row of a key survives; where positions repeat, which sheets do
+not, a hash of the row settles it. Survivors and duplicates are planned apart, but follow the same
+order, so every row is in exactly one of them.
 """
 
 from __future__ import annotations
@@ -13,16 +14,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sheetmill.functions.text import quoted, value_text
 from sheetmill.model import AUDIT_COLUMNS, REJECT_SCHEMA, ROW_ID, RunContext, SchemaInfo
 from sheetmill.operators.cast import run_slice
-from sheetmill.operators.ranking import HOT_ROWS, rank_rows
+from sheetmill.operators.ranking import BLOCK_POSITIONS, rank_rows
 from sheetmill.operators.validate import audit_columns
 from sheetmill.rules import DUPLICATE_RECORD
 
 
+def _content(df: DataFrame) -> Column:
+    return F.xxhash64(*map(quoted, df.columns))
+
+
 def dedup_rank(
-    stg: DataFrame, keys: Sequence[str], ctx: RunContext, hot_rows: int | None = HOT_ROWS
+    stg: DataFrame, keys: Sequence[str], ctx: RunContext, block: int | None = BLOCK_POSITIONS
 ) -> DataFrame:
     """Add ``rownum`` within the business key; NULL keys count as equal."""
-    return rank_rows(run_slice(stg, ctx), keys, ROW_ID, hot_rows=hot_rows)
+    return rank_rows(run_slice(stg, ctx), keys, ROW_ID, block=block, then=[_content(stg)])
 
 
 def repeated_keys(stg: DataFrame, keys: Sequence[str], ctx: RunContext) -> DataFrame:
@@ -57,13 +62,13 @@ def stg_to_dw(
 
     Ranking shuffles whole rows, but its ``rownum = 1`` filter lets Spark drop all but one
     row per key and task before the shuffle, so a hot key costs a row per task and not its
-    whole group. When ``repeated`` holds the few keys that occur more than once, rows are
-    looked up in it instead and, with that side broadcast, stay where they are.
+    whole group. Where positions do not repeat, rows may be looked up in the keys that occur more
+    than once (``repeated``) instead; with that side broadcast they stay where they are.
     """
     schema.require_keys(keys)
     rows = run_slice(stg, ctx)
     if repeated is None:
-        first = Window.partitionBy(*map(quoted, keys)).orderBy(ROW_ID)
+        first = Window.partitionBy(*map(quoted, keys)).orderBy(ROW_ID, _content(stg))
         kept = rows.withColumn("rownum", F.row_number().over(first)).filter("rownum = 1")
     else:
         kept = rows.join(repeated, _same_key(keys), "left").filter(
@@ -83,8 +88,11 @@ def duplicate_rows(
     if repeated is None:
         repeated = repeated_keys(stg, keys, ctx)
     rows = run_slice(stg, ctx)
-    later = _same_key(keys) & (F.col(ROW_ID) > F.col("_first"))
-    return rows.join(repeated, later).select(*rows.columns)
+    copies = rows.join(repeated, _same_key(keys) & (F.col(ROW_ID) >= F.col("_first")))
+    # Of rows at the first position one survives; elsewhere numbers do not matter.
+    tie = Window.partitionBy(*map(quoted, keys), ROW_ID).orderBy(_content(stg))
+    nth = copies.withColumn("_nth", F.row_number().over(tie))
+    return nth.where((F.col(ROW_ID) > F.col("_first")) | (F.col("_nth") > 1)).select(*rows.columns)
 
 
 def duplicate_detail(df: DataFrame, keys: Sequence[str], delimiter: str) -> Column:

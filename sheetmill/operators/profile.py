@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sheetmill.functions.formats import LABELS, label_cell
 from sheetmill.functions.text import clean_cell, quoted, strip
 from sheetmill.model import ROW_ID, SchemaInfo
+from sheetmill.operators.ingest import header_rows
 from sheetmill.rules import RuleSet
 
 #: Share of rows and row limit of the sampled profile.
@@ -21,9 +22,22 @@ def profile_sample(
     fraction: float = SAMPLE_FRACTION,
     limit: int = SAMPLE_LIMIT,
     seed: int | None = None,
+    order: str = ROW_ID,
 ) -> DataFrame:
-    """A Bernoulli sample of the table, cut at ``limit`` rows."""
-    return tmp.sample(fraction, seed).limit(limit)
+    """A sample of about ``fraction`` of the table, and at most ``limit`` rows.
+
+    Rows are taken in the order of a hash of seed and position, so they come from all over the
+    table, and the same ones every time.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed or 0}:"), quoted(order).cast("string")))
+    below = F.lit(f"{min(int(fraction * 16**8), 16**8 - 1):08x}") if fraction < 1 else F.lit("g")
+    return (
+        tmp.withColumn("_digest", digest)
+        .where(F.substring("_digest", 1, 8) < below)
+        .orderBy("_digest", quoted(order))
+        .limit(limit)
+        .drop("_digest")
+    )
 
 
 def cells_of(tmp: DataFrame, columns: Sequence[str], order: str = ROW_ID) -> DataFrame:
@@ -89,7 +103,8 @@ def infer_types(
 
 def infer_feed_types(rows: DataFrame, rules: RuleSet) -> DataFrame:
     """``(feed, pos, inferred, n_...)`` for every feed at once, header rows left out."""
-    cells = rows.filter(F.col(ROW_ID) > 0).select(
+    body = rows.join(header_rows(rows), "feed").filter(F.col(ROW_ID) > F.col("_header"))
+    cells = body.select(
         "feed", ROW_ID, F.posexplode("cells").alias("pos", "value")
     )
     # Cleaning strips the cell already.
@@ -119,7 +134,7 @@ def infer_schema(
 ) -> SchemaInfo:
     """Column groups of one table, by default from all rows.
 
-    With ``sample_limit`` only a capped sample is read, as many partitions as it takes.
+    With ``sample_limit`` only so many rows, chosen by a hash of their position, are looked at.
     """
     if sample_limit is not None:
         rows = profile_sample(tmp.select(order, *map(quoted, columns)), limit=sample_limit, seed=seed)

@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from sheetmill.functions.text import quoted
 from sheetmill.model import RunContext, SchemaInfo
 from sheetmill.operators.cast import run_slice, src_to_stg
-from sheetmill.operators.dedup import rej_duplicate
-from sheetmill.operators.validate import ext_to_src, failing_columns, rej_datatype, route
-from sheetmill.rules import RuleSet
+from sheetmill.operators.validate import audit_columns, ext_to_src, failures, rejected, route
+from sheetmill.rules import DATATYPE_MISMATCH, DUPLICATE_RECORD, RuleSet
 
 
 def reject_summary(
@@ -22,23 +21,34 @@ def reject_summary(
     ctx: RunContext,
     rules: RuleSet,
 ) -> DataFrame:
-    """Rejects by run and reason (``column_name`` NULL), and by failing column."""
-    failing = rej_datatype(
-        tmp, schema, ctx, rules, "|", failing_columns(schema, rules).alias("columns")
+    """Rejects by run and reason (``column_name`` NULL), and by failing column.
+
+    One scan of TMP counts all causes side by side, and one of STG the copies of each key.
+    """
+    names = dict(enumerate(schema.typed))
+    causes = {-1: rejected(schema, rules), **dict(enumerate(f for _, f in failures(schema, rules)))}
+    failing = tmp.agg(*[F.count_if(test).alias(str(i)) for i, test in causes.items()])
+    cells = [
+        F.struct(
+            F.lit(DATATYPE_MISMATCH).alias("rej_reason"),
+            F.lit(names.get(i)).cast("string").alias("column_name"),
+            F.col(str(i)).alias("n_rows"),
+        )
+        for i in causes
+    ]
+    mismatched = failing.select(F.inline(F.array(*cells)))
+    copies = run_slice(stg, ctx).groupBy(*map(quoted, keys)).agg(F.count("*").alias("n"))
+    repeated = copies.select(
+        F.lit(DUPLICATE_RECORD).alias("rej_reason"),
+        F.lit(None).cast("string").alias("column_name"),
+        (F.col("n") - 1).alias("n_rows"),
     )
-    none = F.array().cast("array<string>")
-    repeated = rej_duplicate(stg, keys, ctx).withColumn("columns", none)
-    total = F.array(F.lit(None).cast("string"))
+    repeated = repeated.groupBy("rej_reason", "column_name").agg(F.sum("n_rows").alias("n_rows"))
+    _, job_date, job_id = audit_columns(ctx)
     return (
-        failing.unionByName(repeated)
-        .select(
-            "job_id",
-            "job_date",
-            "rej_reason",
-            F.explode(F.concat(total, "columns")).alias("column_name"),
-        )
-        .groupBy("job_id", "job_date", "rej_reason", "column_name")
-        .agg(F.count("*").alias("n_rows"))
+        mismatched.unionByName(repeated)
+        .where("n_rows > 0")
+        .select(job_id, job_date, "rej_reason", "column_name", "n_rows")
     )
 
 

@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sheetmill.functions.text import quoted
 
-#: A key with more rows than this is ranked in blocks instead of in one task.
-HOT_ROWS = 4_000_000
-#: Share of rows looked at to find such keys. Only the plan depends on it, never the result.
-PROBE_FRACTION = 0.01
-#: Most keys ranked in blocks; bounds the broadcast list. Others take the plain window.
-MAX_HOT_KEYS = 4096
+#: Positions per block. As positions of a feed do not repeat, no block holds more rows.
+BLOCK_POSITIONS = 1 << 22
 
 
 def rank_rows(
@@ -22,79 +17,46 @@ def rank_rows(
     keys: Sequence[str],
     order: str,
     out: str = "rownum",
-    hot_rows: int | None = HOT_ROWS,
-    probe: float = PROBE_FRACTION,
+    block: int | None = BLOCK_POSITIONS,
+    then: Sequence[Column] = (),
 ) -> DataFrame:
     """Number the rows of each key by the integer column ``order``, starting at 1.
 
-    NULL keys form one group. A window alone would sort a whole key in one task, so keys
-    found to be hot are cut into ranges of ``order``: rows are numbered within their range,
-    and the counts of the ranges before it are added. ``hot_rows=None`` skips the search
-    where groups are known to be small.
+    NULL keys form one group; a NULL position is an error. A window alone would sort a whole key
+    in one task. Here every key is cut into ranges of ``block`` positions: rows are numbered
+    within their range, and the counts of the key's ranges before it are added. Outlying positions
+    only make ranges empty. ``then`` settles equal positions. ``block=None`` ranks by one window,
+    for groups known to be small.
     """
-    hot = [] if hot_rows is None else _hot_keys(df, keys, order, hot_rows, probe)
-    if not hot:
-        window = Window.partitionBy(*map(quoted, keys)).orderBy(quoted(order))
-        return df.withColumn(out, F.row_number().over(window).cast("long"))
-
-    spark = df.sparkSession
-    ranges = F.broadcast(spark.createDataFrame(hot, "_key long, _low long, _width long"))
-    blocked = (
-        df.withColumn("_key", _hash(df, keys))
-        .join(ranges, "_key", "left")
-        .withColumn("_block", F.floor((quoted(order) - F.col("_low")) / F.col("_width")))
-        .drop("_key", "_low", "_width")
-    )
-    grouping = [*map(quoted, keys), F.col("_block")]
-    ranked = blocked.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*grouping).orderBy(quoted(order)))
+    position = F.coalesce(
+        quoted(order).cast("long"), F.raise_error(F.lit(f"{order} is NULL")).cast("long")
     )
-    # At most one row per hot key and range, however many rows there are.
-    counts = blocked.filter("_block is not null").groupBy(*grouping).agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(*map(quoted, keys)).orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
+    own = [quoted(k) for k in keys]
+    if block is None:
+        window = Window.partitionBy(*own).orderBy(position, *then)
+        return df.withColumn(out, F.row_number().over(window).cast("long"))
+    blocked = df.withColumn("_position", position).withColumn(
+        "_block", F.floor(F.col("_position") / block)
     )
-    offsets = counts.select(
-        *[quoted(k).alias(f"_off_{i}") for i, k in enumerate(keys)],
-        F.col("_block").alias("_off_block"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+    grouping = [*own, F.col("_block")]
+    local = Window.partitionBy(*grouping).orderBy("_position", *then)
+    ranked = blocked.withColumn("_local", F.row_number().over(local))
+    # Rows are combined before the shuffle: one per key, range and task.
+    counts = blocked.groupBy(*grouping).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*own).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        counts.withColumn("_before", F.sum("_n").over(earlier))
+        .where("_before > 0")
+        .select(
+            *[k.alias(f"_off_{i}") for i, k in enumerate(own)],
+            F.col("_block").alias("_off_block"),
+            "_before",
+        )
     )
     same = F.col("_block") == F.col("_off_block")
-    for i, k in enumerate(keys):
-        same = same & quoted(k).eqNullSafe(F.col(f"_off_{i}"))
+    for i, k in enumerate(own):
+        same = same & k.eqNullSafe(F.col(f"_off_{i}"))
     return ranked.join(offsets, same, "left").select(
         *[quoted(c) for c in df.columns],
         (F.col("_local") + F.coalesce("_before", F.lit(0))).alias(out),
     )
-
-
-def _hash(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Equal keys have equal hashes; adding zero turns -0.0, which groups with 0.0, into it."""
-    fractional = (T.DoubleType, T.FloatType)
-    return F.xxhash64(
-        *[
-            quoted(k) + F.lit(0.0) if isinstance(df.schema[k].dataType, fractional) else quoted(k)
-            for k in keys
-        ]
-    )
-
-
-def _hot_keys(
-    df: DataFrame, keys: Sequence[str], order: str, hot_rows: int, probe: float
-) -> list[tuple[int, int, int]]:
-    """``(key hash, lowest order value, range width)`` of the largest keys in a sample."""
-    sample = df.select(_hash(df, keys).alias("key"), quoted(order).alias("pos"))
-    if probe < 1:
-        sample = sample.sample(probe, seed=7)
-    found = (
-        sample.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high"))
-        .filter(F.col("n") > hot_rows * probe)
-        .orderBy(F.desc("n"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    return [
-        (r.key, r.low, max(1, math.ceil((r.high - r.low + 1) * hot_rows * probe / r.n)))
-        for r in found
-    ]

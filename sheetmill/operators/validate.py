@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheetmill.functions.formats import matches
 from sheetmill.functions.text import quoted, row_text, strip
 from sheetmill.model import REJECT_SCHEMA, ROW_ID, RunContext, SchemaInfo
-from sheetmill.rules import DATATYPE_MISMATCH, RuleSet
+from sheetmill.rules import DATATYPE_MISMATCH, LOAD_ZONE, RuleSet
+
+
+def load_clock(utc: Column) -> Column:
+    """A time in UTC as the local time that loads are stamped with."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(LOAD_ZONE), utc.cast("timestamp_ntz"))
+
+
+def run_context(spark: SparkSession, job_id: str, ds_nodash: str) -> RunContext:
+    """A run stamped by the session's clock, which is read once."""
+    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    now = spark.range(1).select(load_clock(utc).alias("now")).first()["now"]
+    return RunContext.of(job_id, ds_nodash, now)
 
 
 def audit_columns(ctx: RunContext) -> list[Column]:
@@ -27,7 +39,7 @@ def accepted(schema: SchemaInfo, rules: RuleSet) -> Column:
     return reduce(Column.__and__, tests, F.lit(True))
 
 
-def _failures(schema: SchemaInfo, rules: RuleSet) -> list[tuple[str, Column]]:
+def failures(schema: SchemaInfo, rules: RuleSet) -> list[tuple[str, Column]]:
     failures = [(c, ~matches(quoted(c), rules.reject_date)) for c in schema.date]
     failures += [(c, ~matches(quoted(c), rules.reject_numeric)) for c in schema.numeric]
     return failures
@@ -35,24 +47,18 @@ def _failures(schema: SchemaInfo, rules: RuleSet) -> list[tuple[str, Column]]:
 
 def rejected(schema: SchemaInfo, rules: RuleSet) -> Column:
     """True where any typed column fails its reject test."""
-    return reduce(Column.__or__, [fails for _, fails in _failures(schema, rules)], F.lit(False))
+    return reduce(Column.__or__, [fails for _, fails in failures(schema, rules)], F.lit(False))
 
 
 def reject_detail(schema: SchemaInfo, rules: RuleSet, delimiter: str) -> Column:
     """``"col: value"`` of each failing column, dates first, joined by the delimiter."""
     details = [
         F.when(fails, F.concat(F.lit(f"{c}: "), quoted(c)))
-        for c, fails in _failures(schema, rules)
+        for c, fails in failures(schema, rules)
     ]
     return F.concat_ws(delimiter, *details) if details else F.lit("")
 
 
-def failing_columns(schema: SchemaInfo, rules: RuleSet) -> Column:
-    """Names of the failing columns, in the order of the detail."""
-    names = [F.when(fails, F.lit(c)) for c, fails in _failures(schema, rules)]
-    return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
-
-
 def route(schema: SchemaInfo, rules: RuleSet) -> Column:
     """``src``, ``rej`` or ``leaked``: a row neither side takes under the default rules."""
     return (

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetmill.model import ROW_ID, RunContext, SchemaInfo
 
@@ -100,6 +100,11 @@ FEEDS = {
         THEN '.5' ELSE '' END, {_s('user_id')}, props)""",
 }
 
+#: A feed without a control row.
+UNKNOWN_JOB = "signup"
+#: Columns that hold text only.
+TEXT_COLUMNS = ("name", "brand")
+TEXTS = {ROW_ID: "p_partkey", "name": "p_name", "brand": "p_brand"}
 CONTROL_STATUS = """CASE length(event_type) % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'DISABLED'
     ELSE 'OK' END"""
 KEY_LISTS = {
@@ -128,7 +133,7 @@ SHEETS = {
             f"{_s('p_size')} || '.5%'",
         ),
     ),
-    "visits": (
+    "site visits": (
         "events",
         "event_id",
         ("User", "Day", "Kind"),
@@ -148,10 +153,14 @@ SHEETS = {
 SHEET_KEYS = {
     "purchases": "po_number, branch_id, transaction_date",
     "catalogue": "name, brand",
-    "visits": "user, day",
+    "site visits": "user, day",
     "suppliers": "supplier",
 }
-SHEET_STATUS = {"purchases": "OK", "catalogue": "ok", "visits": "Ok", "suppliers": "DISABLED"}
+SHEET_STATUS = {"purchases": "OK", "catalogue": "ok", "site visits": "Ok", "suppliers": "DISABLED"}
+#: Rows of a sheet above its exported range.
+SHEET_START = {"purchases": 0, "catalogue": 2, "site visits": 0, "suppliers": 4}
+#: Sheet rows per exported document.
+DOCUMENT_ROWS = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -168,18 +177,32 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_sheets(spark: SparkSession, sf_dir: str, feeds: list[str], path: str) -> None:
-    """Write feeds as value documents, one sheet row each and one document per line."""
+    """Write feeds as value documents of many rows, one document per line.
+
+    The header is a document of its own, in the sheet's first exported row.
+    """
     documents = spark.createDataFrame(
-        [(feed, f"{feed}!A1:Z1", [list(SHEETS[feed][2])]) for feed in feeds],
+        [
+            (feed, f"'{feed}!'!A{SHEET_START[feed] + 1}:Z{SHEET_START[feed] + 1}", [list(SHEETS[feed][2])])
+            for feed in feeds
+        ],
         "feed string, range string, values array<array<string>>",
     )
     for feed in feeds:
         name, key, _, cells = SHEETS[feed]
+        rows = table(spark, sf_dir, name).selectExpr(
+            f"{key} AS place",
+            f"{key} DIV {DOCUMENT_ROWS} AS part",
+            f"struct({key}, array({', '.join(cells)}) AS cells) AS line",
+        )
+        first = f"(part * {DOCUMENT_ROWS} + {SHEET_START[feed]} + 2)"
         documents = documents.unionByName(
-            table(spark, sf_dir, name).selectExpr(
+            rows.groupBy("part")
+            .agg(F.sort_array(F.collect_list("line")).alias("lines"))
+            .selectExpr(
                 f"'{feed}' AS feed",
-                f"concat('{feed}!A', {key} + 2, ':Z', {key} + 2) AS range",
-                f"array(array({', '.join(cells)})) AS values",
+                f"concat('\\'{feed}!\\'!A', {first}, ':Z', {first} + {DOCUMENT_ROWS - 1}) AS range",
+                "transform(lines, l -> l.cells) AS values",
             )
         )
     documents.write.partitionBy("feed").json(path)
@@ -190,11 +213,14 @@ def control_sheet(spark: SparkSession) -> DataFrame:
     rows = [
         (
             i, feed, SHEET_STATUS[feed], "@daily", DELIMITER, f"sheet-{feed}", f"{feed}!A1:Z",
-            "landing", feed, f"tmp.{feed}", f"src.{feed}", f"stg.{feed}", f"dw.{feed}",
-            f"rej.{feed}", SHEET_KEYS[feed],
+            "landing", feed, *(f"{layer}.{feed.replace(' ', '_')}" for layer in ("tmp", "src", "stg")),
+            f"dw.{feed.replace(' ', '_')}", f"rej.{feed.replace(' ', '_')}", SHEET_KEYS[feed],
         )
         for i, feed in enumerate(SHEETS)
     ]
+    # A row without tables: its job cannot run, the others do.
+    broken = (len(rows), "broken", "OK", "@daily", DELIMITER, "x", "x", "x", "x", *[None] * 5, "a")
+    rows.append(broken)
     return spark.createDataFrame(
         rows,
         "pos int, job_name string, status string, schedule string, field_delimiter string, "

@@ -3,30 +3,35 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from sheetmill.model import ROW_ID, FeedConfig, FeedError, RunContext, SchemaInfo
+from sheetmill.model import ROW_ID, BadConfig, FeedConfig, FeedError, RunContext, SchemaInfo
 from sheetmill.operators.cast import src_to_stg
-from sheetmill.operators.dedup import rej_duplicate, repeated_keys, stg_to_dw
-from sheetmill.operators.ingest import assemble, collect_headers, feed_shapes, require_data
+from sheetmill.operators.dedup import rej_duplicate, stg_to_dw
+from sheetmill.operators.ingest import (
+    assemble,
+    collect_headers,
+    feed_shapes,
+    require_data,
+    surplus_rejects,
+)
 from sheetmill.operators.profile import infer_feed_schemas, infer_schema
 from sheetmill.operators.validate import ext_to_src, rej_datatype
-from sheetmill.rules import RuleSet
+from sheetmill.rules import DATATYPE_MISMATCH, DUPLICATE_RECORD, SURPLUS_CELLS, RuleSet
 from sheetmill.session import scratch
 from sheetmill.sources.sheets import read_sheets
 from sheetmill.sources.tables import Warehouse
 
-#: Up to this many repeated keys, survivors are looked up instead of ranked.
-FEW_REPEATED_KEYS = 100_000
-
 _STAGED = T.StructType(
     [
         T.StructField(ROW_ID, T.LongType()),
         T.StructField("cells", T.ArrayType(T.StringType())),
+        T.StructField("doc_first", T.LongType()),
+        T.StructField("doc_last", T.LongType()),
         T.StructField("feed", T.StringType()),
     ]
 )
@@ -34,17 +39,25 @@ _STAGED = T.StructType(
 
 @dataclass(frozen=True)
 class FeedResult:
-    """Outcome of one feed; ``error`` is set when it could not be loaded."""
+    """Outcome of one feed; ``error`` is set when it could not be loaded.
+
+    ``counts`` has the rows of each layer: ``surplus`` ones have more cells than the header and
+    are rejected before TMP; tmp = src + rej_datatype + leaked; src = dw + rej_duplicate.
+    """
 
     job_name: str
     schema: SchemaInfo | None = None
-    long_rows: int = 0
+    counts: Mapping[str, int] = field(default_factory=dict)
     error: Exception | None = None
 
 
 def stage_rows(rows: DataFrame, path: str) -> DataFrame:
-    """Write sheet rows by feed, so headers and single feeds are read without the rest."""
-    rows.select(*_STAGED.names).write.mode("overwrite").partitionBy("feed").parquet(path)
+    """Write sheet rows by feed, so headers and single feeds are read without the rest.
+
+    A document is parsed by one task, so its rows are dealt out again first.
+    """
+    dealt = rows.select(*_STAGED.names).hint("rebalance", "feed")
+    dealt.write.mode("overwrite").partitionBy("feed").parquet(path)
     return rows.sparkSession.read.schema(_STAGED).parquet(path)
 
 
@@ -58,6 +71,13 @@ def require_own_tables(configs: Sequence[FeedConfig], idempotent: bool) -> None:
         raise FeedError(f"tables are replaced by more than one load: {shared}")
 
 
+def _counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and what its write will have counted on the way."""
+    seen = Observation()
+    columns = counts or {"n": F.count(F.lit(1))}
+    return df.observe(seen, *[c.alias(name) for name, c in columns.items()]), seen
+
+
 def load_table(
     tmp: DataFrame,
     schema: SchemaInfo,
@@ -67,37 +87,41 @@ def load_table(
     rules: RuleSet,
     idempotent: bool = False,
     stripped: bool = False,
-) -> None:
-    """Carry a TMP table through to SRC, STG, DW and REJ.
+    surplus: DataFrame | None = None,
+) -> dict[str, int]:
+    """Carry a TMP table through to SRC, STG, DW and REJ; returns the rows of each.
 
-    Every layer is written before the next reads it. Validating and typing are filters and
-    projections over one scan each. The keys that occur more than once are the only thing
-    shuffled: they are written down, and both rejects and survivors are looked up in them.
+    Every layer is written before the next reads it, and counted by the job that writes it.
+    Validating and typing are filters and projections over one scan each. Survivors are ranked
+    and rejected copies looked up, both by the same order. ``surplus`` are rejects found earlier.
     """
     schema.require_keys(config.primary_key)
-    spark = warehouse.spark
     tables, keys, delimiter = config.tables, config.primary_key, config.delimiter
-    accepted = ext_to_src(tmp, schema, ctx, rules, delimiter, stripped=stripped)
+    accepted, n_src = _counted(ext_to_src(tmp, schema, ctx, rules, delimiter, stripped=stripped))
     src = warehouse.replace(accepted, tables["src"])
     stg = warehouse.replace(src_to_stg(src, schema, ctx, rules), tables["stg"])
-    with scratch(spark, "repeated") as path:
-        # Written, so that the plan ends here and the planner knows the size of the table.
-        found = repeated_keys(stg, keys, ctx)
-        found.write.parquet(path)
-        repeated = spark.read.schema(found.schema).parquet(path)
-        few = repeated.count() <= FEW_REPEATED_KEYS
-        mismatched = rej_datatype(tmp, schema, ctx, rules, delimiter)
-        duplicates = rej_duplicate(stg, keys, ctx, delimiter, repeated)
-        rejects = mismatched.unionByName(duplicates)
-        warehouse.append_rejects(rejects, tables["rej"], ctx if idempotent else None)
-        dw = stg_to_dw(stg, schema, keys, ctx, repeated if few else None)
-        warehouse.replace(dw, tables["dw"])
+    rejects = rej_datatype(tmp, schema, ctx, rules, delimiter).unionByName(
+        rej_duplicate(stg, keys, ctx, delimiter)
+    )
+    if surplus is not None:
+        rejects = rejects.unionByName(surplus)
+    reason = F.col("rej_reason")
+    rejects, n_rej = _counted(
+        rejects,
+        rej_datatype=F.count_if(reason == DATATYPE_MISMATCH),
+        rej_duplicate=F.count_if(reason == DUPLICATE_RECORD),
+        surplus=F.count_if(reason == SURPLUS_CELLS),
+    )
+    warehouse.append_rejects(rejects, tables["rej"], ctx if idempotent else None)
+    dw, n_dw = _counted(stg_to_dw(stg, schema, keys, ctx))
+    warehouse.replace(dw, tables["dw"])
+    return {"src": n_src.get["n"], **n_rej.get, "dw": n_dw.get["n"]}
 
 
 def load_feeds(
     spark: SparkSession,
     sheets: str,
-    configs: Sequence[FeedConfig],
+    configs: Sequence[FeedConfig | BadConfig],
     ctx: RunContext,
     warehouse: Warehouse,
     rules: RuleSet | None = None,
@@ -108,41 +132,50 @@ def load_feeds(
 ) -> dict[str, FeedResult]:
     """Load every configured feed found below ``sheets`` (one folder per job name).
 
-    Exports are parsed once. Headers, row shapes and column types of all feeds come from
-    three jobs, however many feeds there are; then feeds are loaded independently, a few at
+    Exports are parsed once. Headers, row shapes and column types of all feeds come from a few
+    jobs, however many feeds there are; then feeds are loaded independently, a few at
     a time, and one that fails does not stop the others.
     """
-    require_own_tables(configs, idempotent)
+    good = [c for c in configs if isinstance(c, FeedConfig)]
+    require_own_tables(good, idempotent)
     rules = rules or RuleSet.reference()
     by_job = {c.job_name: c for c in configs}
     rows = read_sheets(spark, sheets, multi_line, mark_damaged=True)
     with scratch(spark, "staged") as path:
-        staged = stage_rows(rows.filter(F.col("feed").isin(list(by_job))), path)
+        staged = stage_rows(rows.filter(F.col("feed").isin([c.job_name for c in good])), path)
         headers = collect_headers(staged)
         shapes = feed_shapes(staged)
         schemas = infer_feed_schemas(staged, headers, rules) if sample_limit is None else {}
 
         def load(job: str) -> FeedResult:
-            tables = by_job[job].tables
+            config = by_job[job]
+            if isinstance(config, BadConfig):
+                return FeedResult(job, error=config.error)
             schema = None
-            long_rows = 0
             try:
                 if job in shapes:
                     shapes[job].require_whole()
                 require_data([job], headers)
-                long_rows = shapes[job].long_rows(len(headers[job]))
                 inferred = schemas.get(job)
                 if isinstance(inferred, Exception):
                     raise inferred
-                wide = assemble(staged.filter(F.col("feed") == job), headers[job])
-                tmp = warehouse.replace(wide, tables["tmp"])
+                # Before any table is touched.
+                SchemaInfo(tuple(headers[job])).require_keys(config.primary_key)
+                own, first = staged.filter(F.col("feed") == job), shapes[job].header
+                wide, n_tmp = _counted(assemble(own, headers[job], first))
+                tmp = warehouse.replace(wide, config.tables["tmp"])
                 schema = inferred or infer_schema(
                     tmp, headers[job], rules, sample_limit=sample_limit
                 )
-                load_table(tmp, schema, by_job[job], ctx, warehouse, rules, idempotent, stripped=True)
-                return FeedResult(job, schema, long_rows)
+                surplus = surplus_rejects(own, headers[job], ctx, config.delimiter, first)
+                counts = load_table(
+                    tmp, schema, config, ctx, warehouse, rules, idempotent, stripped=True, surplus=surplus
+                )
+                counts = {"tmp": n_tmp.get["n"], **counts}
+                counts["leaked"] = counts["tmp"] - counts["src"] - counts["rej_datatype"]
+                return FeedResult(job, schema, counts)
             except Exception as error:  # one feed must not stop the others
-                return FeedResult(job, schema, long_rows, error)
+                return FeedResult(job, schema, error=error)
 
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             return dict(zip(by_job, pool.map(load, by_job), strict=True))

@@ -223,17 +223,17 @@ def _types(columns, labels=_LABELS) -> list[str]:
 
 
 def _sheet_body(feed: str) -> str:
-    """Sheet rows below the header, which is row 0."""
+    """Sheet rows below the header."""
     table, key, _, cells = fx.SHEETS[feed]
     columns = ", ".join(f"{c} AS c{i}" for i, c in enumerate(cells))
-    return f"SELECT {key} + 1 AS _src_row, {columns} FROM {table}"
+    return f"SELECT {key} + {fx.SHEET_START[feed] + 1} AS _src_row, {columns} FROM {table}"
 
 
 def _sheet_text(feed: str) -> str:
     _, _, header, cells = fx.SHEETS[feed]
     names = [f"c{i}" for i in range(len(cells))]
     return (
-        f"SELECT '{feed}' AS feed, CAST(0 AS BIGINT) AS _src_row, {len(cells)} AS n_cells, "
+        f"SELECT '{feed}' AS feed, CAST({fx.SHEET_START[feed]} AS BIGINT) AS _src_row, {len(cells)} AS n_cells, "
         f"'{'|'.join(header)}' AS cells "
         f"UNION ALL SELECT '{feed}', _src_row, {len(cells)}, {_row(names)} FROM ({_sheet_body(feed)})"
     )
@@ -282,7 +282,8 @@ def statements() -> dict[str, str]:
     padded = " || '|' || ".join(f"coalesce(cells[{i + 1}], '')" for i in range(fx.RAGGED_WIDTH))
     control = (
         "control AS (SELECT event_type AS job_name, upper("
-        f"{fx.CONTROL_STATUS}) AS status FROM (SELECT DISTINCT event_type FROM events))"
+        f"{fx.CONTROL_STATUS}) AS status FROM (SELECT DISTINCT event_type FROM events "
+        f"WHERE event_type <> '{fx.UNKNOWN_JOB}'))"
     )
     feed_votes = (
         "labelled AS (SELECT feed, _src_row, pos, "
@@ -394,6 +395,10 @@ def statements() -> dict[str, str]:
             [_PURCHASES, _FORCED.src(), _FORCED.stg(), _FORCED.ranked()],
             f"SELECT _src_row, {keys}, rownum FROM ranked",
         ),
+        "dedup_rank_blocked": _with(
+            [_PURCHASES, _FORCED.src(), _FORCED.stg(), _FORCED.ranked()],
+            f"SELECT _src_row, {keys}, rownum FROM ranked",
+        ),
         "dedup_null_keys": _with(
             [null_keys, _FORCED.src(), _FORCED.stg(), _FORCED.ranked()],
             f"SELECT _src_row, {keys}, rownum FROM ranked",
@@ -414,7 +419,8 @@ def statements() -> dict[str, str]:
             "SELECT event_id, event_type AS feed FROM events "
             "WHERE event_type IN (SELECT job_name FROM control WHERE status = 'OK')",
         ),
-        "blocked_feeds": _with([control], "SELECT job_name AS feed, status FROM control WHERE status <> 'OK'"),
+        "blocked_feeds": _with([control], "SELECT feed, status FROM (SELECT DISTINCT event_type AS feed FROM events) "
+            "LEFT JOIN control ON job_name = feed WHERE coalesce(status, '') <> 'OK'"),
         "parse_key_list": _with(
             [_fixture("control", fx.KEY_LISTS, "customer")],
             "SELECT job_name, CAST(CASE WHEN coalesce(primary_keys, '') = '' THEN 0 "
@@ -426,7 +432,7 @@ def statements() -> dict[str, str]:
             [
                 _sheet_dw("purchases", fx.COLUMNS, _NUMERIC, fx.KEYS, ("transaction_date",)),
                 _sheet_dw("catalogue", catalogue, ("size", "price", "price_1"), ("name", "brand")),
-                _sheet_dw("visits", ("user", "day", "kind"), ("user",), ("user", "day")),
+                _sheet_dw("site visits", ("user", "day", "kind"), ("user",), ("user", "day")),
             ]
         ),
         "purchases_dw": _with([_PURCHASES, *_INFERRED.layers()], "SELECT * FROM dw"),
@@ -441,6 +447,11 @@ def statements() -> dict[str, str]:
             "SELECT job_id, job_date, rej_reason, column_name, count(*) AS n_rows FROM causes GROUP BY ALL",
         ),
         "reconcile": _reconcile(_INFERRED),
+        "load_counts": _reconcile(_INFERRED),
+        "profile_sample": _with(
+            [_PURCHASES, "digests AS (SELECT *, md5('42:' || CAST(_src_row AS VARCHAR)) AS digest FROM tmp)"],
+            f"SELECT _src_row, {columns} FROM digests WHERE digest < '80000000' ORDER BY digest LIMIT 1000",
+        ),
         "reconcile_forced": _reconcile(_FORCED),
         "aligned_types": _with([_PURCHASES, *_types(fx.COLUMNS, _ALIGNED_LABELS)], "SELECT * FROM types"),
         "aligned_dw": _with([_PURCHASES, *_ALIGNED.layers()], "SELECT * FROM dw"),

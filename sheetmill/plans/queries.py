@@ -18,7 +18,7 @@ from sheetmill.functions.text import (
     strip,
     value_text,
 )
-from sheetmill.model import REJECT_SCHEMA, ROW_ID, SchemaInfo
+from sheetmill.model import REJECT_SCHEMA, ROW_ID, BadConfig, FeedConfig, FeedError, SchemaInfo
 from sheetmill.operators.cast import run_slice, src_to_stg
 from sheetmill.operators.control import approved_configs, blocked_feeds, gate_feeds
 from sheetmill.operators.dedup import (
@@ -28,7 +28,7 @@ from sheetmill.operators.dedup import (
     repeated_keys,
     stg_to_dw,
 )
-from sheetmill.operators.ingest import assemble, collect_headers, dedup_headers
+from sheetmill.operators.ingest import assemble, collect_headers, dedup_headers, feed_shapes
 from sheetmill.operators.profile import (
     SAMPLE_LIMIT,
     infer_schema,
@@ -43,14 +43,15 @@ from sheetmill.operators.validate import (
     accepted,
     audit_columns,
     ext_to_src,
+    load_clock,
     rej_datatype,
     reject_detail,
     rejected,
 )
 from sheetmill.plans import fixtures as fx
-from sheetmill.plans.load import load_feeds
-from sheetmill.rules import LOAD_ZONE, RuleSet
-from sheetmill.session import scratch_path
+from sheetmill.plans.load import FeedResult, load_feeds
+from sheetmill.rules import RuleSet
+from sheetmill.session import scratch, scratch_path
 from sheetmill.sources.landing import landing_path, read_landing, write_landing
 from sheetmill.sources.sheets import read_sheets
 from sheetmill.sources.tables import Warehouse
@@ -137,7 +138,8 @@ def load_tmp(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_sheets(spark, path, multi_line=False)
     names = collect_headers(rows)["catalogue"]
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
-    return warehouse.replace(assemble(rows, names), "tmp.catalogue")
+    first = feed_shapes(rows)["catalogue"].header
+    return warehouse.replace(assemble(rows, names, first), "tmp.catalogue")
 
 
 @_query("blank_to_null")
@@ -152,6 +154,7 @@ def blank_cells_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("profile_sample")
 def profile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample that a capped inference reads, up to its limit."""
     return profile_sample(fx.purchases(spark, sf_dir), limit=SAMPLE_LIMIT, seed=42)
 
 
@@ -190,9 +193,8 @@ def src_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("audit_columns")
 def audit_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit columns of a run, and the load clock applied to every event's time."""
-    local = F.convert_timezone(F.lit("UTC"), F.lit(LOAD_ZONE), F.col("ts").cast("timestamp_ntz"))
     return fx.table(spark, sf_dir, "events").select(
-        "event_id", local.alias("local_time"), *audit_columns(fx.CTX)
+        "event_id", load_clock(F.col("ts")).alias("local_time"), *audit_columns(fx.CTX)
     )
 
 
@@ -252,8 +254,10 @@ def rej_datatype_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("rej_datatype_empty")
 def rej_datatype_untyped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    untyped = SchemaInfo(fx.COLUMNS)
-    return rej_datatype(fx.purchases(spark, sf_dir), untyped, fx.CTX, RULES, fx.DELIMITER)
+    """A feed whose columns all turn out to be text: nothing can fail."""
+    names = fx.derive(fx.table(spark, sf_dir, "part"), fx.TEXTS)
+    schema = infer_schema(names, fx.TEXT_COLUMNS, RULES)
+    return rej_datatype(names, schema, fx.CTX, RULES, fx.DELIMITER)
 
 
 # Type
@@ -302,6 +306,13 @@ def dedup_rank_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_rank(_stg(spark, sf_dir), fx.KEYS, fx.CTX).select(ROW_ID, *fx.KEYS, "rownum")
 
 
+@_query("dedup_rank_blocked")
+def dedup_rank_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ranks from ranges of positions so short that keys are spread over many."""
+    ranked = dedup_rank(_stg(spark, sf_dir), fx.KEYS, fx.CTX, block=100)
+    return ranked.select(ROW_ID, *fx.KEYS, "rownum")
+
+
 @_query("dedup_null_keys")
 def dedup_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = fx.derive(fx.table(spark, sf_dir, "orders"), fx.NULL_KEYS)
@@ -384,7 +395,7 @@ def rej_all_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     events = fx.table(spark, sf_dir, "events")
     rows = events.select("event_id", F.col("event_type").alias("feed"))
-    jobs = events.select("event_type").distinct()
+    jobs = events.select("event_type").distinct().where(f"event_type <> '{fx.UNKNOWN_JOB}'")
     # Only the first entry of a job counts, so the second one must change nothing.
     control = jobs.selectExpr(
         "event_type AS job_name",
@@ -418,19 +429,42 @@ def _rendered(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.concat_ws("|", *values)
 
 
-@_query("multi_feed_dw")
-def multi_feed_dw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every approved feed loaded from its exported sheet; the DW rows as text."""
-    sheets = scratch_path(spark, "sheets")
-    fx.export_sheets(spark, sf_dir, list(fx.SHEETS), sheets)
+def _loaded(
+    spark: SparkSession, sf_dir: str, feeds: Sequence[str]
+) -> tuple[Warehouse, list[tuple[FeedConfig, FeedResult]]]:
+    """Approved feeds loaded from their exported sheets. One control row is unusable."""
     configs = approved_configs(fx.control_sheet(spark))
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
-    results = load_feeds(spark, sheets, configs, fx.CTX, warehouse, RULES, multi_line=False)
-    tables = []
+    with scratch(spark, "sheets") as sheets:
+        fx.export_sheets(spark, sf_dir, list(feeds), sheets)
+        results = load_feeds(spark, sheets, configs, fx.CTX, warehouse, RULES, multi_line=False)
+    done = []
     for config in configs:
         result = results[config.job_name]
-        if result.error:
-            raise result.error
+        if isinstance(config, BadConfig):
+            if result.error is None:
+                raise FeedError(f"{config.job_name}: an unusable job ran")
+        elif config.job_name in feeds:
+            if result.error:
+                raise result.error
+            done.append((config, result))
+    return warehouse, done
+
+
+@_query("load_counts")
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load of the purchases counted in each layer."""
+    _, [(_, result)] = _loaded(spark, sf_dir, ["purchases"])
+    counts = {k: n for k, n in result.counts.items() if k != "surplus"}
+    return spark.createDataFrame(list(counts.items()), "layer string, n_rows long")
+
+
+@_query("multi_feed_dw")
+def multi_feed_dw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every approved feed loaded from its exported sheet; the DW rows as text."""
+    warehouse, done = _loaded(spark, sf_dir, list(fx.SHEETS))
+    tables = []
+    for config, result in done:
         dw = warehouse.read(config.tables["dw"])
         tables.append(
             dw.select(

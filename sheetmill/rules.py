@@ -19,6 +19,7 @@ NUMERIC_FORMAT_REJECT = r"^[0-9,]+(\.[0-9]+)?%?\z"
 LOAD_ZONE = "Asia/Jakarta"
 # Reject reasons.
 DATATYPE_MISMATCH = "DATATYPE MISMATCH"
+SURPLUS_CELLS = "SURPLUS CELLS"
 DUPLICATE_RECORD = "DUPLICATE RECORD"
 
 ALIGNED_DATE = (

@@ -38,8 +38,13 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def _files(spark: SparkSession, path: str):
-    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+def files_of(spark: SparkSession, path: str, encoded: bool = False):
+    """The file system of ``path`` and the path in it; PySpark has no public API for these.
+
+    ``encoded`` tells that special characters are percent-encoded, as Spark reports them.
+    """
+    jvm = spark.sparkContext._jvm
+    location = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path) if encoded else path)
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
@@ -49,7 +54,7 @@ _folders: set[str] = set()
 def _session_folder(spark: SparkSession) -> str:
     path = f"{shared_folder(spark)}/sheetmill-{spark.sparkContext.applicationId}"
     if path not in _folders:
-        files, location = _files(spark, path)
+        files, location = files_of(spark, path)
         files.mkdirs(location)
         files.deleteOnExit(location)
         _folders.add(path)
@@ -68,5 +73,5 @@ def scratch(spark: SparkSession, name: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        files, location = _files(spark, path)
+        files, location = files_of(spark, path)
         files.delete(location, True)

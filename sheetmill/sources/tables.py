@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-import re
+import uuid
+from collections import defaultdict
 from dataclasses import dataclass, field
 from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetmill.model import REJECT_SCHEMA, FeedError, RunContext
+from sheetmill.session import files_of, scratch
 
 REJECT_PARTITIONS = ("job_date", "job_id")
 
-# The characters Hive-style partition folders write as %XX.
-_ESCAPED = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""")
-
-
-def _run_folder(ctx: RunContext) -> str:
-    job_id = _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", ctx.job_id)
-    return f"job_date={ctx.job_date}/job_id={job_id}"
-
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -28,7 +22,9 @@ class Warehouse:
     spark: SparkSession
     base: str | None = None
     # Feeds loaded side by side may share a reject table, and a commit tidies its folder.
-    _appending: Lock = field(default_factory=Lock, repr=False, compare=False)
+    _appending: defaultdict[str, Lock] = field(
+        default_factory=lambda: defaultdict(Lock), repr=False, compare=False
+    )
 
     def _split(self, table: str) -> tuple[str, str]:
         dataset, _, name = table.partition(".")
@@ -46,46 +42,81 @@ class Warehouse:
         return self.spark.read.table(table)
 
     def replace(self, df: DataFrame, table: str) -> DataFrame:
-        """Overwrite the table, columns included, and read it back."""
-        writer = df.write.mode("overwrite").format("parquet")
-        if not self.base:
-            self._create_dataset(table)
-            writer.saveAsTable(table)
-            return self.read(table)
-        writer.save(self.path(table))
-        return self.spark.read.schema(df.schema).parquet(self.path(table))
+        """Replace the table, columns included, and read it back.
+
+        The new table is written beside the old one and takes its place when it is complete; a
+        write that fails leaves the old one as it was.
+        """
+        if self.base:
+            path = self.path(table)
+            fresh, old = (f"{path}__{part}_{uuid.uuid4().hex}" for part in ("new", "old"))
+            files, target = files_of(self.spark, path)
+            new, aside = (files_of(self.spark, p)[1] for p in (fresh, old))
+            try:
+                df.write.format("parquet").save(fresh)
+                if files.exists(target):
+                    files.rename(target, aside)
+                if not files.rename(new, target):
+                    files.rename(aside, target)
+                    raise OSError(f"cannot put {fresh} in place")
+            finally:
+                files.delete(new, True)
+                files.delete(aside, True)
+            return self.spark.read.schema(df.schema).parquet(path)
+        self._create_dataset(table)
+        dataset, name = self._split(table)
+        fresh, old = (f"`{dataset}`.`{name}__{part}_{uuid.uuid4().hex}`" for part in ("new", "old"))
+        here = f"`{dataset}`.`{name}`"
+        try:
+            df.write.format("parquet").saveAsTable(fresh)
+            if self.spark.catalog.tableExists(here):
+                self.spark.sql(f"ALTER TABLE {here} RENAME TO {old}")
+            self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {here}")
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+        return self.read(table)
 
     def append_rejects(
         self, df: DataFrame, table: str, replace_run: RunContext | None = None
     ) -> DataFrame:
         """Add reject rows, laid out by run.
 
-        Rejects are few next to the rows they were filtered from, so they are rebalanced
-        into reasonably sized files first. With ``replace_run`` the partition of that run is
-        overwritten, even by nothing, so ``df`` must hold all its rejects and a retry does
-        not add them twice.
+        The rejects are written to the shared folder first, where feeds do not meet. Only moving
+        them into the table, which is short, happens one feed after the other. They are few next
+        to the rows they were filtered from, so they are rebalanced into reasonably sized files.
+        With ``replace_run`` the partition of that run is overwritten, even by nothing, so ``df``
+        must hold all its rejects and a retry does not add them twice.
         """
         rows = df.select(*REJECT_SCHEMA.names).hint("rebalance")
-        with self._appending:
-            self._append(rows, table, replace_run)
+        with scratch(self.spark, "rejects") as path:
+            rows.write.parquet(path)
+            ready = self.spark.read.schema(REJECT_SCHEMA).parquet(path)
+            with self._appending[table]:
+                self._append(ready, table, replace_run)
         return self.read_rejects(table)
 
     def _append(self, rows: DataFrame, table: str, replace_run: RunContext | None) -> None:
         if self.base:
-            if replace_run:
-                run = rows.drop(*REJECT_PARTITIONS)
-                run.write.mode("overwrite").parquet(f"{self.path(table)}/{_run_folder(replace_run)}")
+            path = self.path(table)
+            writer = rows.write.partitionBy(*REJECT_PARTITIONS)
+            if not replace_run:
+                writer.mode("append").parquet(path)
+            elif not rows.isEmpty():
+                writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+            elif files_of(self.spark, path)[0].exists(files_of(self.spark, path)[1]):
+                self._drop_run(path, replace_run)
             else:
-                writer = rows.write.mode("append").partitionBy(*REJECT_PARTITIONS)
-                writer.parquet(self.path(table))
+                writer.parquet(path)
             return
         self._create_dataset(table)
         if not self.spark.catalog.tableExists(table):
             rows.write.format("parquet").partitionBy(*REJECT_PARTITIONS).saveAsTable(table)
         elif replace_run:
+            dataset, name = self._split(table)
             job_id = replace_run.job_id.replace("\\", "\\\\").replace("'", "\\'")
             self.spark.sql(
-                f"INSERT OVERWRITE TABLE {table} PARTITION "
+                f"INSERT OVERWRITE TABLE `{dataset}`.`{name}` PARTITION "
                 f"(job_date = DATE '{replace_run.job_date}', job_id = '{job_id}') "
                 "SELECT * FROM {run}",
                 run=rows.drop(*REJECT_PARTITIONS),
@@ -93,6 +124,15 @@ class Warehouse:
         else:
             rows.write.insertInto(table)
 
+    def _drop_run(self, path: str, run: RunContext) -> None:
+        """Delete the folders that hold a run's rejects."""
+        stored = self.spark.read.schema(REJECT_SCHEMA).parquet(path)
+        own = stored.where((F.col("job_date") == F.lit(run.job_date)) & (F.col("job_id") == run.job_id))
+        folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+        for r in own.select(folder.alias("folder")).distinct().collect():  # one folder per run
+            files, location = files_of(self.spark, r.folder, encoded=True)
+            files.delete(location, True)
+
     def read_rejects(self, table: str) -> DataFrame:
         if self.base:
             return self.spark.read.schema(REJECT_SCHEMA).parquet(self.path(table))

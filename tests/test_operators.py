@@ -23,6 +23,7 @@ from sheetmill.operators.ingest import (
     dedup_headers,
     feed_shapes,
     require_data,
+    surplus_rejects,
 )
 from sheetmill.operators.profile import infer_schema, infer_types, profile_sample
 from sheetmill.operators.quality import reconcile, reject_summary, typed_rows
@@ -80,18 +81,30 @@ def test_reserved_header_is_an_error(name):
 def test_assemble(spark):
     rows = sheet(spark, [["A", "B"], [" x\ny ", ""], ["1"], ["1", "2", "3"], [], [None, "\xa0"], None])
     got = [tuple(r) for r in assemble(rows, ["a", "b"]).orderBy(ROW_ID).collect()]
-    assert got == [(1, "x y", None), (2, "1", None), (3, "1", "2")] + [
-        (i, None, None) for i in (4, 5, 6)
-    ]
+    assert got == [(1, "x y", None), (2, "1", None)] + [(i, None, None) for i in (4, 5, 6)]
     shape = feed_shapes(rows)["f"]
-    assert (shape.widths, shape.headers, shape.last) == ({0: 2, 1: 1, 2: 3, 3: 1}, 1, 6)
-    assert shape.long_rows(2) == 1
+    assert (shape.widths, shape.header) == ({0: 2, 1: 1, 2: 3, 3: 1}, 0)
     shape.require_whole()
 
 
+def test_rows_with_more_text_than_columns_are_rejects(spark, ctx):
+    rows = sheet(spark, [["A", "B"], ["1", "2", " 3\n", "4"], ["1", "2", " ", None], ["1"], ["x", None, "y"]])
+    found = surplus_rejects(rows, ["a", "b"], ctx).collect()
+    assert {(r.row, r.rej_reason, r.rej_detail) for r in found} == {
+        ("1|2|3|4", "SURPLUS CELLS", "columns: 2|cells: 4"),
+        ("x||y", "SURPLUS CELLS", "columns: 2|cells: 3"),
+    }
+    assert [r[ROW_ID] for r in assemble(rows, ["a", "b"]).orderBy(ROW_ID).collect()] == [2, 3]
+
+
 @pytest.mark.parametrize(
     ("positions", "message"),
-    [((0, 1, 2, 2), "same rows"), ((0, 0, 5), "same rows"), ((0, 1, -1), "cannot be parsed")],
+    [
+        ((0, 1, 2, 2), "same rows"),
+        ((0, 0, 5), "same rows"),
+        ((0, 1, 5), "missing"),
+        ((0, 1, -1), "cannot be parsed"),
+    ],
 )
 def test_unreliable_positions_are_an_error(spark, positions, message):
     data = [("f", p, None if p < 0 else ["x"]) for p in positions]
@@ -138,11 +151,20 @@ def test_empty_table_has_no_typed_columns(spark):
 
 def test_sampled_profile(spark):
     tmp = tmp_table(spark, [(str(i), f"x{i}") for i in range(3000)], ["n", "t"])
-    assert profile_sample(tmp, seed=1).count() == 1000
+    found = {int(r.n) for r in profile_sample(tmp, seed=1).collect()}
+    assert len(found) == 1000 and 400 < len([n for n in found if n < 1500]) < 600
+    assert found == {int(r.n) for r in profile_sample(tmp.repartition(7), seed=1).collect()}
     schema = infer_schema(tmp, ["n", "t"], RULES, sample_limit=200, seed=1)
     assert schema == SchemaInfo(("n", "t"), (), ("n",))
 
 
+def test_sample_is_spread_over_the_table(spark):
+    cells = [(str(i) if i < 4000 else f"x{i}",) for i in range(20_000)]
+    for seed in (1, 2, 3):
+        schema = infer_schema(tmp_table(spark, cells, ["c"]), ["c"], RULES, sample_limit=1000, seed=seed)
+        assert schema.typed == ()
+
+
 # Validate and route
 
 COLUMNS = ("k", "d", "n")
@@ -229,11 +251,11 @@ def expected_rank(keys):
     return ranks
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1000, 40, 7, 1])
-def test_rank_is_the_same_however_keys_are_cut(spark, ctx, hot_rows):
+@pytest.mark.parametrize("block", [None, 1000, 40, 7, 1])
+def test_rank_is_the_same_however_keys_are_cut(spark, ctx, block):
     keys = random_keys()
     stg = keyed(spark, ctx, keys)
-    ranked = rank_rows(stg, ["k", "n"], ROW_ID, hot_rows=hot_rows, probe=1.0)
+    ranked = rank_rows(stg, ["k", "n"], ROW_ID, block=block)
     assert ranked.columns == [*stg.columns, "rownum"]
     assert {r[ROW_ID]: r.rownum for r in ranked.collect()} == expected_rank(keys)
 
@@ -241,7 +263,7 @@ def test_rank_is_the_same_however_keys_are_cut(spark, ctx, hot_rows):
 def test_rank_of_sparse_positions(spark):
     positions = [0, 1, 5, 10**12, 10**12 + 1, 7, 3]
     rows = spark.createDataFrame([("k", p) for p in positions], "k string, p long")
-    ranked = rank_rows(rows, ["k"], "p", hot_rows=2, probe=1.0)
+    ranked = rank_rows(rows, ["k"], "p", block=2)
     assert {r.p: r.rownum for r in ranked.collect()} == {
         p: i + 1 for i, p in enumerate(sorted(positions))
     }
@@ -249,23 +271,46 @@ def test_rank_of_sparse_positions(spark):
 
 def test_negative_zero_ranks_with_zero(spark):
     rows = spark.createDataFrame([(0.0, 0), (-0.0, 1), (0.0, 2), (0.0, 3)], "k double, p long")
-    ranked = rank_rows(rows, ["k"], "p", hot_rows=2, probe=1.0)
+    ranked = rank_rows(rows, ["k"], "p", block=2)
     assert {r.p: r.rownum for r in ranked.collect()} == {0: 1, 1: 2, 2: 3, 3: 4}
 
 
 def test_hot_key_is_not_ranked_in_one_group(spark):
     rows = spark.range(4000).selectExpr("'k' AS k", "id AS p")
-    ranked = rank_rows(rows, ["k"], "p", hot_rows=100, probe=1.0)
+    ranked = rank_rows(rows, ["k"], "p", block=100)
     assert "_block" in plan_of(ranked)
     assert ranked.filter("rownum <> p + 1").count() == 0
     assert ranked.count() == 4000
-    plain = rank_rows(rows, ["k"], "p", hot_rows=10_000, probe=1.0)
-    assert "_block" not in plan_of(plain)
+
+
+def test_an_outlying_position_does_not_fill_a_block(spark):
+    rows = spark.range(20_000).selectExpr("'k' AS k", "IF(id = 0, 1000000000000, id) AS p")
+    sizes = rows.groupBy("k", F.floor(F.col("p") / 100)).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 100
+    ranked = rank_rows(rows, ["k"], "p", block=100)
+    assert ranked.filter("p < 20000 and rownum <> p or p > 20000 and rownum <> 20000").count() == 0
+
+
+def test_null_positions_are_an_error(spark):
+    rows = spark.createDataFrame([("k", 1), ("k", None)], "k string, p long")
+    for block in (2, None):
+        with pytest.raises(Exception, match="p is NULL"):
+            rank_rows(rows, ["k"], "p", block=block).collect()
+
+
+def test_equal_positions_are_settled_by_the_row(spark, ctx):
+    stg = keyed(spark, ctx, ["a", "a", "a", "b", "b"]).withColumn(ROW_ID, F.lit(3).cast("long"))
+    schema = SchemaInfo(COLUMNS, ("d",), ("n",))
+    assert sorted(r.k for r in stg_to_dw(stg, schema, ["k"], ctx).collect()) == ["a", "b"]
+    assert sorted(r.k for r in duplicate_rows(stg, ["k"], ctx).collect()) == ["a", "a", "b"]
+    same = stg.where("k = 'a'").limit(1)
+    twice = same.unionByName(same)
+    assert stg_to_dw(twice, schema, ["k"], ctx).count() == duplicate_rows(twice, ["k"], ctx).count() == 1
 
 
 def test_dedup_headers_in_blocks(spark):
     headers = spark.range(200).selectExpr("'f' AS feed", "id AS pos", "'a' AS clean")
-    names = dedup_headers(headers, hot_rows=20)
+    names = dedup_headers(headers, block=20)
     assert {r.pos: r.name for r in names.collect()} == {
         i: "a" if i == 0 else f"a_{i}" for i in range(200)
     }
@@ -323,13 +368,11 @@ def test_few_repeated_keys_leave_rows_in_place(spark, ctx, tmp_path):
     stg = keyed(spark, ctx, random_keys())
     repeated_keys(stg, ["k"], ctx).write.parquet(str(tmp_path / "repeated"))
     repeated = spark.read.parquet(str(tmp_path / "repeated"))
-    for df in (
-        stg_to_dw(stg, SCHEMA, ["k"], ctx, repeated),
-        rej_duplicate(stg, ["k"], ctx, "|", repeated),
-    ):
-        plan = executed_plan(df)
-        assert "BroadcastHashJoin" in plan
-        assert "Exchange hashpartitioning" not in plan
+    plan = executed_plan(stg_to_dw(stg, SCHEMA, ["k"], ctx, repeated))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    # Only copies of repeated keys are shuffled, by key and position, to settle equal positions.
+    plan = executed_plan(rej_duplicate(stg, ["k"], ctx, "|", repeated))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning(k" in plan
 
 
 def test_hot_key_join_is_split(spark, ctx, conf, tmp_path):
