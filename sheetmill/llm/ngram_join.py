@@ -24,8 +24,9 @@ from sheetmill.llm.common import components, small_batches, text_or_empty, writt
 _COUNTERS = 1 << 22
 #: N-grams seen less often by a task are noise of the counters.
 _NOTICED = 8
-#: Bits of a set's sketch. Two sets differ in at least as many n-grams as their sketches in bits.
-_BITS = 1024
+#: Least and most bits of a set's sketch; there are about half as many as n-grams. Two sets differ
+#: in at least as many n-grams as their sketches in bits.
+_BITS = (512, 1 << 14)
 #: Lists of up to so many entries are short: their pairs are counted.
 _SHORT = 16
 #: Entries of a long list that are compared in one go.
@@ -106,11 +107,27 @@ def set_id(grams: np.ndarray) -> int:
 
 
 def sketch(grams: np.ndarray) -> bytes:
-    """Parities of the counts of a set's n-grams in ``_BITS`` cells."""
-    cells = np.bincount((grams & np.uint64(_BITS - 1)).astype(np.int64), minlength=_BITS) & 1
+    """Parities of the counts of a set's n-grams by their last bits."""
+    width = min(max(1 << max(0, len(grams) // 2 - 1).bit_length(), _BITS[0]), _BITS[1])
+    cells = np.bincount((grams & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(cells.astype(np.uint8)).tobytes()
 
 
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (one per row, in 64-bit words) as they would be with ``words`` words."""
+    while sketches.shape[1] > words:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def difference(a: bytes, b: bytes) -> int:
+    """How many n-grams two sets differ in at least."""
+    x, y = (np.frombuffer(v, np.uint64)[None] for v in (a, b))
+    words = min(x.shape[1], y.shape[1])
+    return int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
+
+
 def _scan(words: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(_COUNTERS, np.uint32)
@@ -211,36 +228,45 @@ class _Lists:
         self.n, self.pos, self.block = get("n"), get("pos"), get("block")
         keys = np.stack([self.token, get("low"), get("high")])
         self.cross = keys[1] != keys[2]
-        change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-        self.ends = np.repeat(
-            np.append(change, len(self.token)), np.diff(np.concatenate([[0], change, [len(self.token)]]))
-        )
-        bits = b"".join(table.column("bits").to_pylist())
-        self.bits = np.frombuffer(bits, np.uint64).reshape(len(self.token), _BITS // 64)
-        self.mine = table.column("tokens") if "tokens" in table.column_names else None
-
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(i, j, differing bits) of pairs that may be linked and are in different components.
-
-        Of the entries after i only those of admissible size are visited; they end at the first
-        one that is too large, since a list is ordered by size.
+        #: The number of each entry's list.
+        self.list = np.cumsum(np.concatenate([[0], (keys[:, 1:] != keys[:, :-1]).any(0)]))
+        bits = table.column("bits").to_pylist()
+        self.width = np.array([len(b) // 8 for b in bits], np.int64)
+        #: By width: the sketches that are as wide or wider, folded, and where each entry's is.
+        self.sketches: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        widths = np.unique(self.width)
+        for width in widths.tolist():
+            parts, place, size = [], np.full(len(bits), -1, np.int64), 0
+            for own in widths[widths >= width].tolist():
+                rows = np.flatnonzero(self.width == own)
+                raw = np.frombuffer(b"".join(bits[r] for r in rows), np.uint64).reshape(len(rows), own)
+                parts.append(folded(raw, width))
+                place[rows] = size + np.arange(len(rows))
+                size += len(rows)
+            self.sketches[width] = np.concatenate(parts), place
+
+    def pairs(self, seeds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(i, j, differing bits) of pairs of a seed and any entry of its list that may be linked and
+        are in different components.
+
+        Lists are ordered by size, so a seed visits the block of admissible sizes only.
         """
-        rows = np.arange(len(self.token))
-        # The list's number makes sizes ascend over all lists.
-        lists = np.cumsum(np.concatenate([[0], self.ends[1:] != self.ends[:-1]]))
-        span = int(self.n.max()) * self.den + 1 if len(rows) else 1
-        stop = np.searchsorted(
-            lists * span + self.n * self.num, lists * span + self.n * self.den, "right"
-        )
-        count = np.maximum(stop - rows - 1, 0)
+        span = int(self.n.max()) * self.den + 1
+        small, large = self.list * span + self.n * self.num, self.list * span + self.n * self.den
+        rows = np.flatnonzero(seeds)
+        begin = np.searchsorted(large, small[rows], "left")
+        count = np.searchsorted(small, large[rows], "right") - begin
         upto = np.cumsum(count)
         first = 0
         while first < len(rows):
             base = upto[first - 1] if first else 0
             last = max(first + 1, int(np.searchsorted(upto, base + _PAIRS, "right")))
-            i = np.repeat(rows[first:last], count[first:last])
-            j = i + 1 + np.arange(len(i)) - np.repeat(upto[first:last] - count[first:last] - base, count[first:last])
-            yield self._admitted(i, j)
+            some = slice(first, last)
+            i = np.repeat(rows[some], count[some])
+            j = np.arange(len(i)) + np.repeat(begin[some] - (upto[some] - count[some] - base), count[some])
+            # Two seeds meet once.
+            fresh = (i != j) & (~seeds[j] | (i < j))
+            yield self._admitted(i[fresh], j[fresh])
             first = last
 
     def _admitted(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -253,42 +279,92 @@ class _Lists:
         keep &= ~self.cross[i] | (self.block[i] != self.block[j])
         i, j, allowed = i[keep], j[keep], (total - 2 * need)[keep]
         differ = np.zeros(len(i), np.int64)
-        for word in range(self.bits.shape[1]):
-            differ += np.bitwise_count(self.bits[i, word] ^ self.bits[j, word])
+        narrow = np.minimum(self.width[i], self.width[j])
+        for width, (sketches, place) in self.sketches.items():
+            some = np.flatnonzero(narrow == width)
+            for word in range(width if len(some) else 0):
+                column = sketches[:, word]
+                differ[some] += np.bitwise_count(column[place[i[some]]] ^ column[place[j[some]]])
         keep = differ <= allowed
         return i[keep], j[keep], differ[keep]
 
     def possible(self) -> np.ndarray:
-        """The sets that some pair has."""
-        found = [np.concatenate(x[:2]) for x in self.pairs() if len(x[0])]
-        return np.unique(self.set_id[np.unique(np.concatenate(found))]) if found else self.set_id[:0]
+        """The sets that some pair has.
+
+        Most sets of a dense group already fit the next ones in their list; only the others visit
+        all of it.
+        """
+        fits = np.zeros(len(self.token), bool)
+        rows = np.arange(len(self.token))
+        for step in (1, 2, 3, 5, 8, 13, 21, 34):
+            if step < len(rows):
+                i = rows[:-step][self.list[step:] == self.list[:-step]]
+                i = i[~(fits[i] & fits[i + step])]
+                low = self.n[i] * self.den >= self.n[i + step] * self.num
+                for side in self._admitted(i[low], i[low] + step)[:2]:
+                    fits[side] = True
+        fits = np.isin(self.set_id, self.set_id[fits])
+        for i, j, _ in self.pairs(~fits):
+            fits[i] = fits[j] = True
+        return np.unique(self.set_id[fits])
+
+    def _outsiders(self) -> np.ndarray:
+        """Entries that are not in the largest component of their list. All pairs of different
+        components have one."""
+        order = np.lexsort((self.component, self.list))
+        key = np.stack([self.list[order], self.component[order]])
+        new = np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)])
+        starts = np.flatnonzero(new)
+        size = np.diff(np.append(starts, len(order)))
+        group = np.cumsum(new) - 1
+        lists = key[0, starts]
+        by = np.lexsort((-size, lists))
+        top = np.concatenate([[True], lists[by][1:] != lists[by][:-1]])
+        largest = np.zeros(len(starts), bool)
+        largest[by[top]] = True
+        outside = np.empty(len(order), bool)
+        outside[order] = ~largest[group]
+        return outside
 
     def best(self) -> tuple[np.ndarray, np.ndarray]:
-        """For each component of each list the most similar pair that leaves it."""
-        found = [x for x in self.pairs() if len(x[0])]
+        """For each component of each list the most similar pair that leaves it; for the largest,
+        those of the others do."""
+        found = [x for x in self.pairs(self._outsiders()) if len(x[0])]
         if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         i, j, differ = (np.concatenate(c) for c in zip(*found))
         ratio = differ / (self.n[i] + self.n[j])
         chosen = []
         for side in (i, j):
-            order = np.lexsort((ratio, self.component[side], self.ends[side]))
-            key = np.stack([self.component[side][order], self.ends[side][order]])
+            order = np.lexsort((ratio, self.component[side], self.list[side]))
+            key = np.stack([self.component[side][order], self.list[side][order]])
             new = np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)])
             chosen.append(order[new])
         keep = np.unique(np.concatenate(chosen))
         return i[keep], j[keep]
 
     def all(self) -> tuple[np.ndarray, np.ndarray]:
-        """All pairs, each in the list of the first n-gram that both prefixes have."""
-        left, right = [], []
-        for i, j, _ in self.pairs():
-            for x, y in zip(i.tolist(), j.tolist()):
-                theirs = set(self.mine[y].as_py())
-                if next(t for t in self.mine[x].as_py() if t in theirs) == self.token[x]:
-                    left.append(x)
-                    right.append(y)
-        return np.array(left, np.int64), np.array(right, np.int64)
+        """All pairs of different components that may be linked."""
+        found = [x[:2] for x in self.pairs(self._outsiders()) if len(x[0])]
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _similar(num: int, den: int):
+    """Pairs whose sketches do not rule a link out."""
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            allowed = total - 2 * -(-num * total // (num + den))
+            bits = zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())
+            good = [difference(a, b) <= most for (a, b), most in zip(bits, allowed.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b")], names=["a", "b"]
+            ).filter(pa.array(good, pa.bool_()))
+
+    return similar
 
 
 def _proposals(mode: str, num: int, den: int):
@@ -361,7 +437,7 @@ def _short_pairs(entries: DataFrame, long_entries: DataFrame, num: int, den: int
         pairs.join(side("a"), "a", "left")
         .join(side("b"), "b", "left")
         .where(F.col("common") + shared + rest >= need)
-        .select("a", "b")
+        .select("a", "b", "na", "nb")
     )
 
 
@@ -447,12 +523,17 @@ def ngram_join(
     is_long = F.col("salted") | (F.col("entries") > _SHORT)
     long_entries = written(entries.where(is_long).drop("salted"), "long_entries")
     candidates = written(_short_pairs(entries.where(~is_long), long_entries, num, den), "candidates")
+    looked_at = candidates.select(F.explode(F.array("a", "b")).alias("set_id"))
+    looked_at = looked_at.unionByName(long_entries.select("set_id")).distinct()
+    sketches = scanned.where("counter is null").join(looked_at, "set_id", "left_semi")
+    sketches = written(sketches.select("set_id", "bits").dropDuplicates(["set_id"]), "sketches")
+    side = lambda x: sketches.select(F.col("set_id").alias(x), F.col("bits").alias(f"bits_{x}"))
+    candidates = written(
+        candidates.join(side("a"), "a").join(side("b"), "b").mapInArrow(_similar(num, den), "a long, b long"),
+        "similar",
+    )
 
     # Long lists: the sets that may have a link there at all.
-    sketches = scanned.where("counter is null").join(
-        long_entries.select("set_id").distinct(), "set_id", "left_semi"
-    )
-    sketches = written(sketches.select("set_id", "bits").dropDuplicates(["set_id"]), "sketches")
     blocks = long_entries.groupBy("token").agg(
         F.ceil(F.max("entries") / _BLOCK).cast("int").alias("blocks")
     )
@@ -498,11 +579,6 @@ def ngram_join(
     found = written(components(links), "components")
 
     # 2. and 3. What the leaders leave: long lists that still hold several components.
-    prefix = long_entries.groupBy("set_id").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda e: e["token"]
-        ).alias("tokens")
-    )
     for mode in ("best", "all"):
         mapped = found.select(F.col("id").alias("set_id"), "component")
         parts = long_entries.join(mapped, "set_id", "left").withColumn(
@@ -516,9 +592,7 @@ def ngram_join(
             .join(blocks, "token")
             .select("token", "blocks")
         )
-        opened = _ordered(
-            parts.join(sketches, "set_id").join(prefix, "set_id"), several, [*columns, "tokens"]
-        )
+        opened = _ordered(parts.join(sketches, "set_id"), several, columns)
         pairs = opened.mapInArrow(_proposals(mode, num, den), "a long, b long").distinct()
         links = links.unionByName(_verified(pairs, sets, num, den))
         found = written(components(links), "components")

@@ -125,23 +125,28 @@ class Words:
         """Ids of ``before`` and each word, one after the other, and where each begins and ends."""
         plain = pc.match_substring_regex(words, self._line).to_numpy(zero_copy_only=False)
         feeds = pc.count_substring(words, "\n").to_numpy(zero_copy_only=False)
-        names = words.to_pylist()
-        lines = "\n".join([before + w for w, good in zip(names, plain) if good])
-        ids = self._ids([f"\n{lines}\n"])[0]
-        ends = np.flatnonzero(ids == self._feed[0])
-        count = feeds[plain] + 1
         bounds = np.zeros((len(words), 2), np.int64)
-        if len(self._feed) == 1 and len(ends) == count.sum() + 1:
-            last = np.cumsum(count)
-            bounds[plain, 0], bounds[plain, 1] = ends[last - count] + 1, ends[last]
-        else:  # not a vocabulary of this kind
-            plain = np.zeros(len(words), bool)
-        odd = np.flatnonzero(~plain)
-        more = self._ids([before + names[k] for k in odd])
-        sizes = np.array([len(m) for m in more], np.int64)
-        bounds[odd, 1] = len(ids) + np.cumsum(sizes)
-        bounds[odd, 0] = bounds[odd, 1] - sizes
-        return np.concatenate([ids, *more]), bounds
+        found, size = [], 0
+        for at in range(0, len(words), 20_000):
+            some = slice(at, at + 20_000)
+            names, good, count = words[some].to_pylist(), plain[some].copy(), feeds[some] + 1
+            lines = "\n".join([before + w for w, fits in zip(names, good) if fits])
+            ids = self._ids([f"\n{lines}\n"])[0]
+            ends = np.flatnonzero(ids == self._feed[0])
+            own = bounds[some]
+            if len(self._feed) == 1 and len(ends) == count[good].sum() + 1:
+                last = np.cumsum(count[good])
+                own[good] = np.stack([ends[last - count[good]] + 1, ends[last]], 1) + size
+            else:  # not a vocabulary of this kind
+                good[:] = False
+            odd = np.flatnonzero(~good)
+            more = self._ids([before + names[k] for k in odd])
+            lengths = np.array([len(m) for m in more], np.int64)
+            own[odd, 1] = size + len(ids) + np.cumsum(lengths)
+            own[odd, 0] = own[odd, 1] - lengths
+            found += [ids, *more]
+            size += len(ids) + int(lengths.sum())
+        return np.concatenate([np.zeros(0, "<u4"), *found]), bounds
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -164,13 +169,12 @@ class Words:
         place[first] = len(bounds) + where
         bounds = np.concatenate([bounds, more_bounds + len(ids)])[place]
         sizes = bounds[:, 1] - bounds[:, 0]
-        ends = np.cumsum(sizes)
-        every = np.concatenate([ids, more])[
-            np.arange(ends[-1]) + np.repeat(bounds[:, 0] - (ends - sizes), sizes)
-        ]
-        stops = np.concatenate([[0], ends])[offsets]
-        for k, a, b in zip(cut, stops[:-1], stops[1:]):
-            found[k] = every[a:b].tobytes()
+        pool = np.concatenate([ids, more])
+        for k, a, b in zip(cut, offsets[:-1], offsets[1:]):
+            own = sizes[a:b]
+            stops = np.cumsum(own)
+            shift = np.repeat(bounds[a:b, 0] - (stops - own), own)
+            found[k] = pool[np.arange(len(shift)) + shift].tobytes()
         return found
 
 
@@ -202,7 +206,7 @@ def write_codes(
     text_col: str = "text",
     part_rows: int = 4096,
     segment_tokens: int = 1 << 20,
-    batch_bytes: int = 16 << 20,
+    batch_bytes: int = 12 << 20,
 ) -> None:
     """Encode every text and write its ids, ``end_id`` last, in ascending id order to ``path``.
 
