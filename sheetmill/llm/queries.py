@@ -121,6 +121,46 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+_OP6 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, string_split_regex(trim(regexp_replace(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), ' ') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d) WHERE w[1] <> ''
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), e AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * k >= 85 * (x.n + y.n - k)
+), e2 AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT a AS doc_id, b AS c FROM e2 UNION SELECT r.doc_id, e2.b FROM r JOIN e2 ON e2.a = r.c)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(d.doc_id, m.c), d.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m ON m.doc_id = d.doc_id
+"""
+
+_OP10 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+), g AS (
+  SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS n FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), e2 AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e) WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93
+), r AS (SELECT a AS vec_id, b AS c FROM e2 UNION SELECT r.vec_id, e2.b FROM r JOIN e2 ON e2.a = r.c)
+SELECT v.vec_id, coalesce(k.n, 0) AS n_links, least(v.vec_id, coalesce(m.c, v.vec_id)) AS component_id,
+  v.vec_id = least(v.vec_id, coalesce(m.c, v.vec_id)) AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM e2 GROUP BY a) k ON k.a = v.vec_id
+LEFT JOIN (SELECT vec_id, min(c) AS c FROM r GROUP BY vec_id) m ON m.vec_id = v.vec_id
+"""
+
+
 def statements() -> dict[str, str]:
     """SQL for the queries that it can express; the others are tested against plain Python."""
-    return {"op2_exact_dedup": _OP2}
+    return {"op2_exact_dedup": _OP2, "op6_ngram_join": _OP6, "op10_embeddings": _OP10}
