@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sheetmill.llm.common import text_or_empty, written
+from sheetmill.llm.common import text_or_empty, unit_hash, written
 
 
 def byte_shards(
@@ -29,8 +29,8 @@ def byte_shards(
 
     Returns doc_id, size, text_crc32, law, shard, slot (from 0 without gaps), grown_shard (null).
 
-    Null texts have size 1 like empty ones, with which they form a group. Repeated rows get slots of their own. An empty table gives no rows; further
-    columns of ``docs`` are not read.
+    Null texts have size 1 like empty ones, with which they form a group. Repeated rows get slots of
+    their own. An empty table gives no rows; further columns of ``docs`` are not read.
 
     Big groups are at most ``2 * n_shards / whole_share``, the only rows that are broadcast.
     They are dealt to buckets by a hash of the id, so no bucket depends on one text or source.
@@ -61,12 +61,9 @@ def byte_shards(
     first_small = big.agg(F.coalesce(F.sum("parts"), F.lit(0))).first()[0]
     small_buckets = -(-all_rows // bucket_rows) or 1
 
-    def spread(column, parts):
-        return F.floor(F.shiftrightunsigned(column, 11) / F.lit(float(1 << 53)) * parts)
-
     deal = F.when(
-        F.col("parts").isNotNull(), F.col("base") + spread(F.xxhash64("doc_id"), F.col("parts"))
-    ).otherwise(first_small + spread(F.xxhash64("h"), F.lit(small_buckets)))
+        F.col("parts").isNotNull(), F.col("base") + F.floor(unit_hash(F.col("doc_id")) * F.col("parts"))
+    ).otherwise(first_small + F.floor(unit_hash(F.col("h")) * small_buckets))
     dealt = rows.join(F.broadcast(big), key, "left").select(
         "doc_id",
         *key,

@@ -7,6 +7,7 @@ bitmap gives an id's place on the next level, so any id is read without decoding
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -100,53 +101,58 @@ _SPACES = (
 
 
 class Words:
-    """Encodes texts through the library, each distinct word of a batch once.
+    """Encodes texts through the library, each distinct word once.
 
     The pre-tokenizer never joins a visible character with white space after it, and gives a space
     to the visible character that follows. So a text whose spaces all stand alone may be cut
     before each of them, and the ids of the parts are those of the whole. Other texts are
-    encoded whole. Likewise, a line feed between visible characters is a token of its own; so
-    the distinct words are encoded as the lines of one text.
+    encoded whole. A run of letters ends where punctuation follows, so words are cut there, too.
+    Likewise, a line feed between visible characters is a token of its own; so new words are
+    encoded as the lines of one text. Beyond ``most``, words that a batch does not have are forgotten.
     """
 
     _odd = f" ([{_SPACES}]|$)"
-    _line = f"^[^{_SPACES}]+(\\n[^{_SPACES}]+)*$"
+    _line = re.compile(r" ?\S+(?:\n\S+)*")
+    _head = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-@\[-`{-~])")
 
-    def __init__(self, path: str):
-        self._tokenizer = Tokenizer.from_file(path)
+    def __init__(self, path: str, most: int = 1_000_000):
+        self._tokenizer, self._most = Tokenizer.from_file(path), most
         self._tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
-        self._feed = self._ids(["\n"])[0]
+        self._known: dict[str, bytes] = {}
+        self._feed = np.frombuffer(self._ids(["\n"])[0], "<u4")
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(f.ids, "<u4") for f in found]
-
-    def _lines(self, words: pa.Array, before: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of ``before`` and each word, one after the other, and where each begins and ends."""
-        plain = pc.match_substring_regex(words, self._line).to_numpy(zero_copy_only=False)
-        feeds = pc.count_substring(words, "\n").to_numpy(zero_copy_only=False)
-        bounds = np.zeros((len(words), 2), np.int64)
-        found, size = [], 0
-        for at in range(0, len(words), 20_000):
-            some = slice(at, at + 20_000)
-            names, good, count = words[some].to_pylist(), plain[some].copy(), feeds[some] + 1
-            lines = "\n".join([before + w for w, fits in zip(names, good) if fits])
-            ids = self._ids([f"\n{lines}\n"])[0]
-            ends = np.flatnonzero(ids == self._feed[0])
-            own = bounds[some]
-            if len(self._feed) == 1 and len(ends) == count[good].sum() + 1:
-                last = np.cumsum(count[good])
-                own[good] = np.stack([ends[last - count[good]] + 1, ends[last]], 1) + size
-            else:  # not a vocabulary of this kind
-                good[:] = False
-            odd = np.flatnonzero(~good)
-            more = self._ids([before + names[k] for k in odd])
-            lengths = np.array([len(m) for m in more], np.int64)
-            own[odd, 1] = size + len(ids) + np.cumsum(lengths)
-            own[odd, 0] = own[odd, 1] - lengths
-            found += [ids, *more]
-            size += len(ids) + int(lengths.sum())
-        return np.concatenate([np.zeros(0, "<u4"), *found]), bounds
+        return [np.asarray(f.ids, "<u4").tobytes() for f in found]
+
+    def _encode_new(self, parts: list[str]) -> None:
+        known = self._known
+        lines = [p for p in parts if self._line.fullmatch(p)]
+        for at in range(0, len(lines), 20_000):
+            some = lines[at : at + 20_000]
+            coded = self._ids(["\n".join(["", *some, ""])])[0]
+            ends = np.flatnonzero(np.frombuffer(coded, "<u4") == self._feed[0])
+            last = np.cumsum([p.count("\n") + 1 for p in some])
+            if len(self._feed) == 1 and len(ends) == last[-1] + 1:  # as in vocabularies of this kind
+                starts = 4 * (ends[np.concatenate([[0], last[:-1]])] + 1)
+                for part, a, b in zip(some, starts.tolist(), (4 * ends[last]).tolist()):
+                    known[part] = coded[a:b]
+        rest = [p for p in parts if p not in known]
+        known.update(zip(rest, self._ids(rest)))
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of each of ``words``."""
+        known = self._known
+        cut = {}
+        for word in words:
+            if word not in known:
+                head = self._head.match(word)
+                cut[word] = (head[0], word[head.end() :]) if head else (word,)
+        self._encode_new(list({p for parts in cut.values() for p in parts} - known.keys()))
+        for word, parts in cut.items():
+            if len(parts) > 1:
+                known[word] = known[parts[0]] + known[parts[1]]
+        return [known[word] for word in words]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -154,7 +160,7 @@ class Words:
         odd = pc.match_substring_regex(texts, self._odd).to_numpy(zero_copy_only=False)
         whole = np.flatnonzero(odd)
         for k, ids in zip(whole, self._ids(texts.take(pa.array(whole)).to_pylist())):
-            found[k] = ids.tobytes()
+            found[k] = ids
         cut = np.flatnonzero(~odd)
         if not len(cut):
             return found
@@ -164,16 +170,18 @@ class Words:
         place = words.indices.to_numpy().astype(np.int64)
         first = offsets[:-1]
         openings, where = np.unique(place[first], return_inverse=True)
-        ids, bounds = self._lines(words.dictionary, " ")
-        more, more_bounds = self._lines(words.dictionary.take(pa.array(openings)), "")
-        place[first] = len(bounds) + where
-        bounds = np.concatenate([bounds, more_bounds + len(ids)])[place]
-        sizes = bounds[:, 1] - bounds[:, 0]
-        pool = np.concatenate([ids, more])
+        names = [" " + w for w in words.dictionary.to_pylist()]
+        place[first] = len(names) + where
+        if len(self._known) > self._most:
+            self._known = {w: self._known[w] for w in names if w in self._known}
+        coded = self._learn(names + words.dictionary.take(pa.array(openings)).to_pylist())
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        starts = np.cumsum(lengths) - lengths
+        pool = np.frombuffer(b"".join(coded), "<u4")
         for k, a, b in zip(cut, offsets[:-1], offsets[1:]):
-            own = sizes[a:b]
-            stops = np.cumsum(own)
-            shift = np.repeat(bounds[a:b, 0] - (stops - own), own)
+            own = place[a:b]
+            sizes = lengths[own]
+            shift = np.repeat(starts[own] - (np.cumsum(sizes) - sizes), sizes)
             found[k] = pool[np.arange(len(shift)) + shift].tobytes()
         return found
 
@@ -204,7 +212,7 @@ def write_codes(
     end_id: int,
     id_col: str = "doc_id",
     text_col: str = "text",
-    part_rows: int = 4096,
+    part_rows: int = 8192,
     segment_tokens: int = 1 << 20,
     batch_bytes: int = 12 << 20,
 ) -> None:
