@@ -60,14 +60,11 @@ def bpe_column(text: Column, rank_file: str, pattern: str, *, piece: int = 1 <<
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = encoding(rank_file, pattern)
         for texts in batches:
-            ids = [encode(enc, t, piece) for t in texts]
-            yield pd.DataFrame(
-                {
-                    "n_tokens": [len(i) for i in ids],
-                    "ids": [np.asarray(i, "<u4").tobytes() for i in ids],
-                    "decoded": [enc.decode_bytes(i) for i in ids],
-                }
-            )
+            rows = []
+            for t in texts:
+                ids = encode(enc, t, piece)
+                rows.append((len(ids), np.asarray(ids, "<u4").tobytes(), enc.decode_bytes(ids)))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids", "decoded"])
 
     return coded(F.coalesce(text.cast("string"), F.lit("")))
 

@@ -24,7 +24,7 @@ def written(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Let Python tasks get at most so many texts at a time: texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

@@ -264,20 +264,39 @@ def label_texts(
     return found
 
 
+def _in_parts(texts: list[str | None], most: int = 1 << 21) -> Iterator[list[int]]:
+    """Numbers of the texts, in parts of about ``most`` characters; texts of like length together,
+    since a part takes as many steps as its longest text has words."""
+    part, size = [], 0
+    for k in sorted(range(len(texts)), key=lambda k: len(texts[k] or "")):
+        part.append(k)
+        size += len(texts[k] or "")
+        if size >= most:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def language_column(text: Column, model: LanguageModel, *, penalty: float = 8.0, spans: bool = True) -> Column:
     """Struct (lang, score, spans: array of (start, end, lang)) of a text column.
 
     ``lang`` is the language with most letters, the smaller name on ties; ``score`` its share of
     the letters. ``lang`` is ``und``, with a score of 0 and no spans, if the text is null or has
     no letter, or if nothing was learned. Spans are code points of the lower-cased text, cover
-    whole words, and do not overlap. A task holds one batch of texts.
+    whole words, and do not overlap. A task holds one batch of texts, and works on two million
+    characters or one text at a time.
     """
     schema = "lang string, score double, spans array<struct<start: int, end: int, lang: string>>"
 
     @F.pandas_udf(schema)
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            rows = label_texts(model, list(texts), penalty, spans)
+        for series in batches:
+            texts = list(series)
+            rows: list = [None] * len(texts)
+            for part in _in_parts(texts):
+                for k, row in zip(part, label_texts(model, [texts[k] for k in part], penalty, spans)):
+                    rows[k] = row
             yield pd.DataFrame(
                 {
                     "lang": [r[0] for r in rows],
