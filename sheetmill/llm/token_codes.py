@@ -50,17 +50,18 @@ def to_levels(ids: np.ndarray) -> list[dict[str, bytes]]:
     """The levels of ``ids`` (unsigned, up to 32 bits); no id, no level."""
     levels, rest = [], np.asarray(ids, np.uint32)
     while len(rest):
-        higher = rest >> 8
-        more = higher > 0
-        ranks = np.concatenate([[0], np.cumsum(more)[BLOCK - 1 :: BLOCK]]).astype("<u4")
+        more = rest > 0xFF
+        bitmap = np.packbits(more, bitorder="little")
+        whole = len(rest) // BLOCK
+        ones = np.bitwise_count(bitmap[: whole * BLOCK // 8]).reshape(whole, BLOCK // 8).sum(1, np.uint32)
         levels.append(
             {
-                "chunks": (rest & 0xFF).astype(np.uint8).tobytes(),
-                "more": np.packbits(more, bitorder="little").tobytes(),
-                "ranks": ranks.tobytes(),
+                "chunks": rest.astype(np.uint8).tobytes(),
+                "more": bitmap.tobytes(),
+                "ranks": np.concatenate([[0], np.cumsum(ones)]).astype("<u4").tobytes(),
             }
         )
-        rest = higher[more]
+        rest = rest[more] >> np.uint32(8)
     return levels
 
 
@@ -113,9 +114,9 @@ class Words:
 
     _odd = f" ([{_SPACES}]|$)"
     _line = re.compile(r" ?\S+(?:\n\S+)*")
-    _head = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-@\[-`{-~])")
+    _head = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-@\[-`{-~].*)", re.DOTALL)
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 700_000):
         self._tokenizer, self._most = Tokenizer.from_file(path), most
         self._tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         self._known: dict[str, bytes] = {}
@@ -127,7 +128,7 @@ class Words:
 
     def _encode_new(self, parts: list[str]) -> None:
         known = self._known
-        lines = [p for p in parts if self._line.fullmatch(p)]
+        lines = list(filter(self._line.fullmatch, parts))
         for at in range(0, len(lines), 20_000):
             some = lines[at : at + 20_000]
             coded = self._ids(["\n".join(["", *some, ""])])[0]
@@ -143,16 +144,17 @@ class Words:
     def _learn(self, words: list[str]) -> list[bytes]:
         """Ids of each of ``words``."""
         known = self._known
-        cut = {}
-        for word in words:
-            if word not in known:
-                head = self._head.match(word)
-                cut[word] = (head[0], word[head.end() :]) if head else (word,)
-        self._encode_new(list({p for parts in cut.values() for p in parts} - known.keys()))
-        for word, parts in cut.items():
-            if len(parts) > 1:
-                known[word] = known[parts[0]] + known[parts[1]]
-        return [known[word] for word in words]
+        coded = list(map(known.get, words))
+        missing = [k for k, ids in enumerate(coded) if ids is None]
+        new = [words[k] for k in missing]
+        cuts = [m and m.groups() for m in map(self._head.fullmatch, new)]
+        parts = {p for cut in cuts if cut for p in cut}
+        parts.update(w for w, cut in zip(new, cuts) if not cut)
+        self._encode_new(list(parts - known.keys()))
+        known.update((w, known[cut[0]] + known[cut[1]]) for w, cut in zip(new, cuts) if cut)
+        for k in missing:
+            coded[k] = known[words[k]]
+        return coded
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -170,7 +172,7 @@ class Words:
         place = words.indices.to_numpy().astype(np.int64)
         first = offsets[:-1]
         openings, where = np.unique(place[first], return_inverse=True)
-        names = [" " + w for w in words.dictionary.to_pylist()]
+        names = pc.binary_join_element_wise("", words.dictionary, " ").to_pylist()
         place[first] = len(names) + where
         if len(self._known) > self._most:
             self._known = {w: self._known[w] for w in names if w in self._known}
