@@ -3,8 +3,8 @@
 Method: stretches of key-like characters go through a battery of randomness tests in their
 inferred encoding: uniformity of the alphabet (chi-squared), runs about the middle, and serial
 correlation. The smallest p-value decides, corrected for three tests. Random strings have uniform
-p-values; how many there are is estimated per length class, and the threshold of each class keeps the
-expected share of others among what is reported at the target. Built-in functions only.
+p-values; how many there are is estimated per length class from the distinct strings, and the threshold of
+each class keeps the expected share of others among the strings reported at the target. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -119,9 +119,10 @@ def thresholds(scored: DataFrame, target: float) -> DataFrame:
     """The least bin of ``p`` to report, by length class: (class, least).
 
     Random strings are spread evenly over p, so those above one half tell how many there are; the
-    rest of a class above a threshold are false. At most ``BINS`` rows per class are handled.
+    rest of a class above a threshold are false. That needs independent strings, so the copies of one
+    string (``string``: its hash) count once. After that, at most ``BINS`` rows per class are handled.
     """
-    counts = scored.groupBy("class", "bin").agg(F.count("*").alias("n"))
+    counts = scored.select("class", "bin", "string").distinct().groupBy("class", "bin").agg(F.count("*").alias("n"))
     above = Window.partitionBy("class").orderBy(F.desc("bin"))
     everyone = Window.partitionBy("class")
     upper = F.sum(F.when(F.col("bin") >= BINS // 2, F.col("n")).otherwise(0)).over(everyone)
@@ -144,7 +145,8 @@ def find_secrets(
     repeated rows are kept; an empty table gives no rows; further columns are not read.
 
     Texts are scanned once and not shuffled; matches are, by row. The threshold of ``random``
-    comes from all candidates, through a histogram of fixed size.
+    comes from all distinct candidates, through a histogram of fixed size, and holds for every
+    occurrence. Copies are combined before the candidates' hashes are shuffled.
     """
     text = text_or_empty(F.col(text_col))
     cut = written(
@@ -189,6 +191,7 @@ def find_secrets(
             "start",
             "end",
             "length",
+            F.xxhash64("token").alias("string"),
             F.length("alphabet").cast("double").alias("width"),
             F.transform(F.split("token", ""), lambda c: F.position(c, F.col("alphabet")) - 1).alias("codes"),
         ),
@@ -201,6 +204,7 @@ def find_secrets(
             "kind",
             "start",
             "end",
+            "string",
             steps.alias("class"),
             F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"),
         ),

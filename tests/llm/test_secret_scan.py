@@ -130,3 +130,32 @@ def test_random_strings_are_found_and_words_are_not(spark):
             assert re.fullmatch(CANDIDATE, text[s.start : s.end])
     plan = find_secrets(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("side", ["low", "high"])
+def test_copies_of_one_string_do_not_move_the_threshold(spark, side):
+    rng = random.Random(21)
+    symbols = ALPHABETS[3][2]
+
+    def secret():
+        return "".join(rng.choice(symbols) for _ in range(40))
+
+    def p(token):
+        return plain_p([symbols.index(c) for c in token], len(symbols))
+
+    # Others that come near to random, so that the threshold has to lie above them.
+    near = [t for t in (secret() for _ in range(6000)) if 0.02 < p(t) < 0.1][:400]
+    tokens = [secret() for _ in range(400)] + near
+    low, high = (0.25, 0.35) if side == "low" else (0.6, 0.9)
+    copied = next(t for t in iter(secret, None) if low < p(t) < high)
+    rows = list(enumerate(tokens)) + [(len(tokens) + i, copied) for i in range(len(tokens) // 2)]
+    docs = spark.createDataFrame([(i, f"see {t} here") for i, t in rows], "doc_id long, text string")
+
+    def reported(table):
+        return {r.doc_id for r in find_secrets(table).collect() if any(s.kind == 3 for s in r.found)}
+
+    once = reported(docs.where(F.col("doc_id") <= len(tokens)))
+    got = reported(docs)
+    assert {i for i in got if i <= len(tokens)} == once
+    assert set(range(len(tokens), len(rows))) <= got  # the copies themselves
+    assert len([i for i in got if i < 400]) > 0.8 * 400 and len([i for i in got if 400 <= i < len(tokens)]) < 60
