@@ -103,14 +103,18 @@ def source_cuts(
         run = Window.partitionBy("source").orderBy("digit")
         counts = counts.withColumn("upto", F.sum("words").over(run)).alias("c")
         t = cuts.alias("t")
-        # The last level rounds to the nearer end of the bucket, the others keep to whole ones.
-        half = F.col("c.words") / 2 if level == _LEVELS - 1 else F.lit(0)
+        # The bucket in which the running sum crosses the budget is refined, whatever is empty before
+        # it. The last level rounds to the nearer end of that bucket.
+        last = level == _LEVELS - 1
+        half = F.col("c.words") / 2 if last else F.lit(0)
         fits = F.col("c.upto") - half <= F.col("t.left")
+        after = F.max(F.when(fits, F.col("c.digit"))) + 1
+        crossed = F.min(F.when(~fits, F.col("c.digit")))
         below = (
             t.join(counts, F.col("t.source").eqNullSafe(F.col("c.source")), "left")
             .groupBy("t.source", "t.source_size", "t.target", "t.times", "t.left", "t.prefix")
             .agg(
-                F.coalesce(F.max(F.when(fits, F.col("c.digit"))) + 1, F.lit(0)).alias("digit"),
+                (F.coalesce(after, F.lit(0)) if last else F.coalesce(crossed, after, F.lit(0))).alias("digit"),
                 F.coalesce(F.max(F.when(fits, F.col("c.upto"))), F.lit(0)).alias("words"),
             )
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -14,7 +15,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from sheetmill.llm.exact_dedup import build_filter, exact_dedup, maybe_contains
-from sheetmill.llm.mixing import mix_sources, source_targets
+from sheetmill.llm.mixing import mix_sources, source_cuts, source_targets
 from sheetmill.llm.sharding import byte_shards
 
 
@@ -156,3 +157,20 @@ def test_larger_budgets_keep_what_smaller_ones_keep(small):
     more = {r.doc_id: r.copies for r in mix_sources(small, share=0.7, most=1.0).collect()}
     assert all(more[d] >= less[d] for d in less)
     assert sum(more.values()) > sum(less.values())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_mix_misses_by_half_of_the_crossing_document_at_most(spark, seed):
+    sizes = {"a": [1000, 10, 10], "b": [300] * 7, "c": list(range(1, 40)), "d": [5000]}
+    rows = [(i, " ".join(["w"] * n), s) for s, all_ in sizes.items() for i, n in enumerate(all_, 100 * ord(s))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    options = {"share": 0.55, "most": 1.0, "seed": seed}
+    mixed, _ = source_cuts(docs, (3, 1, 2), 0.55, 1.0, seed=seed)
+    by_hash = defaultdict(list)
+    for r in sorted(mixed.collect(), key=lambda r: r.h % 2**64):
+        by_hash[r.source].append(r["size"])
+    got = mix_sources(docs, **options).collect()
+    for s, ordered in by_hash.items():
+        target, taken = next(r.target for r in got if r.source == s), sum(r.taken for r in got if r.source == s)
+        ends = [0, *itertools.accumulate(ordered)]
+        assert abs(taken - target) == pytest.approx(min(abs(e - target) for e in ends), abs=1e-6)
