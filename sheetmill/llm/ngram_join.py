@@ -477,10 +477,11 @@ def ngram_join(
     are not read.
 
     N-grams and sets are 64-bit hashes. Equal sets are one node, found by an aggregation. Only
-    prefixes are indexed, entries of n-grams that one set has are dropped, and no step emits a
-    number of rows that grows with the square of a group: pairs are listed for short lists only;
-    long ones are compared within tasks, in blocks, and pairs whose sets are connected already
-    are skipped. The driver gets at most ``_COUNTERS`` counts. Every step is a written table.
+    prefixes are indexed, and entries of n-grams that one set has are dropped. Pairs are listed for
+    short lists only; long ones are compared within tasks, in blocks, and pairs whose sets are
+    connected already are skipped. An entry of a long list is copied to each of its list's blocks, so
+    a list of N entries emits about N * N / ``_BLOCK`` rows (N up to ``_BLOCK``): that grows with the
+    square of very large lists of different sets. The driver gets at most ``_COUNTERS`` counts. Every step is a written table.
     """
     spark = docs.sparkSession
     num, den = least
