@@ -1,10 +1,10 @@
 """Jaccard join of documents over word n-grams.
 
-Method: set relations let the join skip work. Index lists are ordered by size and position, and
-blocks of entries whose sizes or positions rule a link out are skipped. In long lists a set that is
-highly similar to another derives its answers from that set's: every set is first compared with
-the leader of each list it is in, sets linked to a leader share its component, and only pairs whose
-answers cannot be derived that way (different components) are compared at all. In short lists the
+Method: set relations let the join skip work. Long index lists are ordered by size, and stretches
+of entries whose sizes rule a link out are skipped; positions are a test on each pair that is left.
+No set's answers are derived from another's. Transitivity takes their place, as only components are
+asked for: in long lists every set is first compared with the leader of each list it is in, sets linked
+to a leader share its component, and only pairs in different components are compared at all. In short lists the
 positions of all common entries of a pair bound its overlap before any set is read.
 """
 
