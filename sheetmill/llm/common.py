@@ -9,6 +9,7 @@ from sheetmill.session import scratch_path
 #: The white space that separates words, as bytes 0x20 and 0x09 to 0x0D.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
 def text_or_empty(text: Column) -> Column:

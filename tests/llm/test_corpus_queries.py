@@ -22,6 +22,9 @@ COLUMNS = {
     "op8_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op9_secret_scan": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10_embeddings": "vec_id n_links component_id kept",
+    "op11_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op12_trie_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op13_phrases": "lang rank phrase a l r n score",
 }
 
 
@@ -46,7 +49,7 @@ def test_query_equals_sql(spark, name):
     assert sorted(map(tuple, df.collect())) == want
 
 
-@pytest.mark.parametrize("name", [*NATIVE, "op3_language_id", "op8_suffix_dedup", "op9_secret_scan"])
+@pytest.mark.parametrize("name", [*NATIVE, "op3_language_id", "op8_suffix_dedup", "op11_periodic_runs", "op12_trie_bpe"])
 def test_columns_and_plans(spark, name):
     df = queries.registered()[name](spark, SMALL)
     assert df.columns == COLUMNS[name].split()
