@@ -4,9 +4,9 @@ Method, after ERA (Mansour et al., 2011), on words: the suffixes of all texts, c
 phrase length, are dealt by their first words into groups that fit a memory budget; prefixes above the
 budget are made longer. Every group builds the subtrees of its prefixes on its own, as sorted rows with a leaf total
 each, and reads the count of every phrase from the leaf totals below it. A prefix below the least count
-needs no subtree: such words, and then pairs of words, are counted first, and suffixes end before
-them. Tasks know the frequent ones by a filter of bounded size, which may take a rare one
-for frequent and never the reverse; the counts themselves are exact.
+needs no subtree: words, and then pairs of frequent words, are counted first; suffixes begin with two frequent pairs
+and end before a rare one, and subtrees begin at the third word. Tasks know the frequent words and pairs by a filter of
+bounded size, which may take a rare one for frequent and never the reverse; the counts themselves are exact.
 
 A word of a language is named by a 64-bit hash. A second hash shows whether two words that matter share a
 name; then all is done again with other hashes.
@@ -167,7 +167,7 @@ def _word_counts(rows: DataFrame, scan: _Scan) -> DataFrame:
 
 
 def _pair_counts(rows: DataFrame, scan: _Scan, frequent: Filter) -> DataFrame:
-    """Pairs of neighbouring frequent words by hash: h, n."""
+    """Pairs of neighbouring frequent words: w0, w1, n."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, _, _, own, (h,) in _word_batches(batches, scan, scan.seed):
@@ -176,12 +176,21 @@ def _pair_counts(rows: DataFrame, scan: _Scan, frequent: Filter) -> DataFrame:
                 continue
             known = frequent.of(h)[own]
             first = np.flatnonzero(_same_piece(words) & known[:-1] & known[1:])
-            pairs, n = np.unique(_paired(h[own[first]], h[own[first + 1]]), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs.view(np.int64)), pa.array(n)], names=["h", "n"]
-            )
+            pairs, n = np.unique(own[first] * len(h) + own[first + 1], return_counts=True)
+            sides = [pa.array(h[pairs // len(h)].view(np.int64)), pa.array(h[pairs % len(h)].view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*sides, pa.array(n)], names=["w0", "w1", "n"])
+
+    counted = rows.mapInArrow(count, "w0 long, w1 long, n long")
+    return counted.groupBy("w0", "w1").agg(F.sum("n").alias("n"))
+
+
+def _pair_hashes(pairs: DataFrame) -> DataFrame:
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (batch.column(w).to_numpy().view(np.uint64) for w in ("w0", "w1"))
+            yield pa.RecordBatch.from_arrays([pa.array(_paired(left, right).view(np.int64))], names=["h"])
 
-    return rows.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return pairs.select("w0", "w1").mapInArrow(paired, "h long")
 
 
 def _sorted_totals(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,8 +203,8 @@ def _sorted_totals(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _suffixes(rows: DataFrame, scan: _Scan, depth: int, words_in: Filter, pairs_in: Filter) -> DataFrame:
-    """Suffixes of ``depth`` words that begin with a frequent pair and end before a rare one (w0, w1...; 0: no word),
-    with the number of their occurrences in a batch."""
+    """Suffixes of ``depth`` words that begin with two frequent pairs and end before a rare one (w0, w1...; 0: no
+    word), with the number of their occurrences in a batch."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, _, _, own, (h,) in _word_batches(batches, scan, scan.seed):
@@ -207,6 +216,7 @@ def _suffixes(rows: DataFrame, scan: _Scan, depth: int, words_in: Filter, pairs_
             first = first[pairs_in.of(_paired(h[own[first]], h[own[first + 1]]))]
             goes_on = np.zeros(len(own) + depth, bool)
             goes_on[first] = True
+            first = first[goes_on[first + 1]]
             found = np.zeros((len(first), depth), np.uint64)
             alive = np.ones(len(first), bool)
             for k in range(depth):
@@ -264,7 +274,7 @@ def _subtrees(grouped: DataFrame, depth: int, least: int) -> DataFrame:
         rows, known, n = rows[order], known[order], table.column("n").to_numpy()[order]
         differs = rows[1:] != rows[:-1]
         phrases, counts = [], []
-        for size in range(2, depth + 1):
+        for size in range(3, depth + 1):
             # A node: leaves that agree in their first words. Shorter leaves are none of its.
             new = np.concatenate([[True], differs[:, :size].any(axis=1)])
             at = np.flatnonzero(new)
@@ -309,10 +319,13 @@ def phrase_counts(
             break
         scan = _Scan(batch_bytes, scan.seed + 10, min(64, scan.bits + 16))
     frequent = _filter_of(words.where("not total"), "h")
-    pairs = written(_pair_counts(rows, scan, frequent).where(F.col("n") >= least).select("h"), "pairs")
-    suffixes = _suffixes(rows, scan, longest, frequent, _filter_of(pairs, "h"))
+    pairs = written(_pair_counts(rows, scan, frequent).where(F.col("n") >= least), "pairs")
+    suffixes = _suffixes(rows, scan, longest, frequent, _filter_of(_pair_hashes(pairs), "h"))
     grouped = _grouped(written(suffixes, "suffixes"), longest, prefix_rows, group_rows)
-    return words, written(_subtrees(grouped, longest, least), "phrases")
+    phrases = pairs.select(F.array("w0", "w1").alias("words"), "n")
+    if longest > 2:
+        phrases = phrases.unionByName(_subtrees(grouped, longest, least))
+    return words, written(phrases, "phrases")
 
 
 def _cut_scores(words: DataFrame, phrases: DataFrame, longest: int) -> DataFrame:
