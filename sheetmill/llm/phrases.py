@@ -31,6 +31,9 @@ LEAST_BITS, MOST_BITS = 1 << 16, 1 << 26
 PREFIX_ROWS = 125_000
 GROUP_ROWS = 1_000_000
 
+#: Every task knows the prefixes to be made longer: of each length at most 2 to this power.
+MOST_HEAVY = 20
+
 _UNKNOWN = "und"
 
 
@@ -202,76 +205,117 @@ def _sorted_totals(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndar
     return rows[new], np.add.reduceat(n, np.flatnonzero(new)) if len(n) else n
 
 
-def _suffixes(rows: DataFrame, scan: _Scan, depth: int, words_in: Filter, pairs_in: Filter) -> DataFrame:
-    """Suffixes of ``depth`` words that begin with two frequent pairs and end before a rare one (w0, w1...; 0: no
-    word), with the number of their occurrences in a batch."""
+@dataclass(frozen=True)
+class _Prefixes:
+    """How suffixes are dealt to ``parts``: by the hash of their first two words, or of one more for each
+    size, from two on, at which ``heavy`` has the hash of their prefix (sorted)."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, _, _, own, (h,) in _word_batches(batches, scan, scan.seed):
-            h = scan.clipped(h)
+    parts: int
+    heavy: tuple[np.ndarray, ...] = ()
+
+    def hashes(self, suffixes: np.ndarray, size: int) -> np.ndarray:
+        hashes = suffixes[:, 0]
+        for k in range(1, size):
+            hashes = _paired(hashes, suffixes[:, k])
+        return hashes
+
+    def known(self, suffixes: np.ndarray) -> np.ndarray:
+        """Words of each suffix's prefix."""
+        known = np.full(len(suffixes), 2, np.int8)
+        for size, heavy in enumerate(self.heavy, 2):
+            known[(known == size) & np.isin(self.hashes(suffixes, size), heavy)] = size + 1
+        return known
+
+    def part(self, suffixes: np.ndarray, known: np.ndarray) -> np.ndarray:
+        key = np.zeros(len(suffixes), np.uint64)
+        for size in range(2, len(self.heavy) + 3):
+            key = np.where(known == size, self.hashes(suffixes, size), key)
+        return (key % np.uint64(self.parts)).astype(np.int32)
+
+
+@dataclass(frozen=True)
+class _Suffixes:
+    """Suffixes of ``depth`` words that begin with two frequent pairs and end before a rare one."""
+
+    scan: _Scan
+    depth: int
+    words_in: Filter
+    pairs_in: Filter
+
+    def of(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per batch the distinct suffixes in order (hashes; 0: no word), and how often each occurs."""
+        for words, _, _, own, (h,) in _word_batches(batches, self.scan, self.scan.seed):
+            h = self.scan.clipped(h)
             if len(own) < 2:
                 continue
-            known = words_in.of(h)[own]
+            known = self.words_in.of(h)[own]
             first = np.flatnonzero(_same_piece(words) & known[:-1] & known[1:])
-            first = first[pairs_in.of(_paired(h[own[first]], h[own[first + 1]]))]
-            goes_on = np.zeros(len(own) + depth, bool)
+            first = first[self.pairs_in.of(_paired(h[own[first]], h[own[first + 1]]))]
+            goes_on = np.zeros(len(own) + self.depth, bool)
             goes_on[first] = True
             first = first[goes_on[first + 1]]
-            found = np.zeros((len(first), depth), np.uint64)
+            found = np.zeros((len(first), self.depth), np.uint64)
             alive = np.ones(len(first), bool)
-            for k in range(depth):
+            for k in range(self.depth):
                 found[alive, k] = h[own[first[alive] + k]]
                 alive &= goes_on[first + k]
-            found, n = _sorted_totals(found, np.ones(len(found), np.int64))
-            columns = [pa.array(np.ascontiguousarray(found[:, k]).view(np.int64)) for k in range(depth)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n)], names=[*_names(depth), "n"])
+            yield _sorted_totals(found, np.ones(len(found), np.int64))
+
+
+def _heavy_prefixes(
+    rows: DataFrame, pairs: DataFrame, suffixes: _Suffixes, parts: int, prefix_rows: int
+) -> _Prefixes:
+    """Prefixes that occur more than ``prefix_rows`` times, by size: at most one for so many pairs of words."""
+    sizes: list[np.ndarray] = []
+    counts = _pair_hashes(pairs.where(F.col("n") > prefix_rows)).withColumn("n", F.lit(prefix_rows + 1))
+    while len(sizes) < suffixes.depth - 2:
+        found = counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > prefix_rows)
+        heavy = np.sort(found.select("h").toArrow().column("h").to_numpy().view(np.uint64))
+        if not len(heavy):
+            break
+        sizes.append(heavy)
+        upto, size = _Prefixes(parts, tuple(sizes)), len(sizes) + 2
 
-    return rows.mapInArrow(cut, ", ".join(f"{w} long" for w in _names(depth)) + ", n long")
+        def count(batches: Iterator[pa.RecordBatch], upto=upto, size=size) -> Iterator[pa.RecordBatch]:
+            for own, n in suffixes.of(batches):
+                longer = upto.known(own) == size
+                keys, place = np.unique(upto.hashes(own[longer], size), return_inverse=True)
+                n = np.bincount(place, n[longer], len(keys)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["h", "n"])
 
+        counts = rows.mapInArrow(count, "h long, n long")
+    return _Prefixes(parts, tuple(sizes))
 
-def _names(depth: int) -> list[str]:
-    return [f"w{k}" for k in range(depth)]
 
+def _blocks(rows: DataFrame, suffixes: _Suffixes, prefixes: _Prefixes) -> DataFrame:
+    """Per batch and part one sorted block: suffixes, words of their prefixes, occurrences, each as bytes."""
 
-def _grouped(suffixes: DataFrame, depth: int, prefix_rows: int, group_rows: int) -> DataFrame:
-    """Add ``known`` (words of the prefix) and ``part``: groups of whole prefixes, about ``group_rows`` each.
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, n in suffixes.of(batches):
+            known = prefixes.known(own)
+            part = prefixes.part(own, known)
+            order = np.argsort(part, kind="stable")
+            names, starts = np.unique(part[order], return_index=True)
+            ends = [*starts[1:], len(order)]
+            blocks = [order[a:b] for a, b in zip(starts, ends)]
+            columns = [pa.array([x[b].tobytes() for b in blocks], pa.binary()) for x in (own, known, n)]
+            yield pa.RecordBatch.from_arrays([pa.array(names), *columns], names=["part", "words", "known", "n"])
+
+    return rows.mapInArrow(pack, "part int, words binary, known binary, n binary")
 
-    Prefixes begin with two words and grow while they have more than ``prefix_rows`` suffixes. The table of
-    those has at most one entry per ``prefix_rows`` suffixes; Spark decides how it is joined.
-    """
-    names = _names(depth)
-    known = suffixes.withColumn("known", F.lit(2))
-    total = suffixes.count()
-    for size in range(2, depth):
-        keys = names[:size]
-        heavy = (
-            known.where(F.col("known") == size)
-            .groupBy(*keys)
-            .agg(F.count("*").alias("rows"))
-            .where(F.col("rows") > prefix_rows)
-            .select(*keys, F.lit(True).alias("heavy"))
-        )
-        heavy = written(heavy, "heavy_prefixes")
-        if heavy.isEmpty():
-            break
-        known = known.join(heavy, keys, "left").select(
-            *names, "n", F.when(F.col("heavy"), size + 1).otherwise(F.col("known")).alias("known")
-        )
-    prefix = [F.when(F.col("known") > k, F.col(name)).otherwise(0) for k, name in enumerate(names)]
-    groups = max(1, -(-total // group_rows))
-    return known.withColumn("part", F.pmod(F.xxhash64(*prefix), F.lit(groups)))
 
+def _subtrees(blocks: DataFrame, depth: int, least: int) -> DataFrame:
+    """Counts of phrases of three words or more, read from the subtrees of every part: words, n. Nodes above a
+    part's prefixes, which other parts may share, come as parts of their count."""
 
-def _subtrees(grouped: DataFrame, depth: int, least: int) -> DataFrame:
-    """Counts read from the subtrees of every group: words, n. Nodes above a group's prefix, which other groups may
-    share, come as parts of their count."""
-    names = _names(depth)
+    def column(table: pa.Table, name: str, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
     def read(table: pa.Table) -> pa.Table:
-        rows = np.stack([table.column(w).to_numpy().view(np.uint64) for w in names], axis=1)
-        known = table.column("known").to_numpy()
+        rows = column(table, "words", np.uint64).reshape(-1, depth)
         order = np.lexsort(rows.T[::-1])
-        rows, known, n = rows[order], known[order], table.column("n").to_numpy()[order]
+        rows = rows[order]
+        known, n = column(table, "known", np.int8)[order], column(table, "n", np.int64)[order]
         differs = rows[1:] != rows[:-1]
         phrases, counts = [], []
         for size in range(3, depth + 1):
@@ -280,14 +324,13 @@ def _subtrees(grouped: DataFrame, depth: int, least: int) -> DataFrame:
             at = np.flatnonzero(new)
             totals = np.add.reduceat(n, at)
             kept = (rows[at, size - 1] != 0) & ((totals >= least) | (known[at] > size))
-            phrases.append([r[:size] for r in rows[at[kept]].view(np.int64).tolist()])
+            phrases.extend(r[:size] for r in rows[at[kept]].view(np.int64).tolist())
             counts.append(totals[kept])
-        flat = [p for some in phrases for p in some]
         return pa.table(
-            [pa.array(flat, pa.list_(pa.int64())), pa.array(np.concatenate(counts))], names=["words", "n"]
+            [pa.array(phrases, pa.list_(pa.int64())), pa.array(np.concatenate(counts))], names=["words", "n"]
         )
 
-    found = grouped.groupBy("part").applyInArrow(read, "words array<bigint>, n long")
+    found = blocks.groupBy("part").applyInArrow(read, "words array<bigint>, n long")
     return found.groupBy("words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
@@ -320,11 +363,13 @@ def phrase_counts(
         scan = _Scan(batch_bytes, scan.seed + 10, min(64, scan.bits + 16))
     frequent = _filter_of(words.where("not total"), "h")
     pairs = written(_pair_counts(rows, scan, frequent).where(F.col("n") >= least), "pairs")
-    suffixes = _suffixes(rows, scan, longest, frequent, _filter_of(_pair_hashes(pairs), "h"))
-    grouped = _grouped(written(suffixes, "suffixes"), longest, prefix_rows, group_rows)
     phrases = pairs.select(F.array("w0", "w1").alias("words"), "n")
     if longest > 2:
-        phrases = phrases.unionByName(_subtrees(grouped, longest, least))
+        suffixes = _Suffixes(scan, longest, frequent, _filter_of(_pair_hashes(pairs), "h"))
+        total = pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        prefix_rows = max(prefix_rows, total >> MOST_HEAVY)
+        prefixes = _heavy_prefixes(rows, pairs, suffixes, max(1, -(-total // group_rows)), prefix_rows)
+        phrases = phrases.unionByName(_subtrees(_blocks(rows, suffixes, prefixes), longest, least))
     return words, written(phrases, "phrases")
 
 
