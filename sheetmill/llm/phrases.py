@@ -27,9 +27,9 @@ from sheetmill.llm.words import BLANKS, PIECE_ENDS, by_size, split_words
 #: The filter's bits: 16 an entry, as a power of two between these.
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 26
 
-#: Prefixes above this number of suffixes are made longer; a group has about eight times as many.
-PREFIX_ROWS = 125_000
-GROUP_ROWS = 1_000_000
+#: Prefixes above this number of suffixes are made longer; a group has about four times as many.
+PREFIX_ROWS = 100_000
+GROUP_ROWS = 400_000
 
 #: Every task knows the prefixes to be made longer: of each length at most 2 to this power.
 MOST_HEAVY = 20
@@ -341,7 +341,7 @@ def phrase_counts(
     group_col: str = "lang",
     longest: int = 5,
     least: int = 100,
-    batch_bytes: int = 8 << 20,
+    batch_bytes: int = 4 << 20,
     prefix_rows: int = PREFIX_ROWS,
     group_rows: int = GROUP_ROWS,
     hash_bits: int = 64,
