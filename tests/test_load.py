@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import json
+import os
+import subprocess
+import sys
 import threading
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import date, datetime
@@ -307,30 +311,159 @@ def test_failed_replace_keeps_the_table(spark, tmp_path, catalog):
     assert rows_of(warehouse.read("stg.kept"), "a") == [(1,)]
     if not catalog:
         assert [p.name for p in (tmp_path / "stg").iterdir()] == ["kept"]
+        assert len(list((tmp_path / "stg" / "kept" / "data").iterdir())) == 1
 
 
-def test_reject_jobs_of_feeds_run_side_by_side(spark, tmp_path, ctx, monkeypatch):
-    """Both feeds must have written their rejects before either moves them into the table."""
-    meet = threading.Barrier(2, timeout=60)
-    seen = []
+STEPS = ["next_name", "put_record", "publish", "_show", "_forget", "delete_record", "read_records"]
 
-    class Waiting(Warehouse):
-        def _append(self, rows, table, replace_run):
-            seen.append(rows.count())
-            super()._append(rows, table, replace_run)
 
-    def scratch(*args):
-        meet.wait()  # passes only if both feeds come here together
-        return real(*args)
+@pytest.mark.parametrize("catalog", [False, True])
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("late", [False, True])
+def test_a_swap_that_fails_anywhere_leaves_a_table(spark, tmp_path, monkeypatch, catalog, step, late):
+    """Each step raises, before or after it did its work; the table is the old or the new one, and stays usable."""
+    warehouse = Warehouse(spark, None if catalog else str(tmp_path), keep=0)
+    name = f"stg.swapped_{step}_{late}_{catalog}".lower()
+
+    def put(value):
+        warehouse.replace(spark.createDataFrame([(value,)], "a int"), name)
+
+    put(1)
+    where = Warehouse if hasattr(Warehouse, step) else tables
+    real = getattr(where, step)
+
+    def fails(*args, **kwargs):
+        if late:
+            real(*args, **kwargs)
+        raise OSError("stop")
+
+    with monkeypatch.context() as patch, warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        patch.setattr(where, step, fails)
+        try:
+            put(2)
+        except OSError:
+            pass
+    ((value,),) = rows_of(warehouse.read(name), "a")
+    assert value in (1, 2)
+    put(3)
+    assert rows_of(warehouse.read(name), "a") == [(3,)]
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_readers_meet_the_old_or_the_new_table(spark, tmp_path, catalog):
+    warehouse = Warehouse(spark, None if catalog else str(tmp_path))
+    name = "stg.read_meanwhile"
+    frames = [spark.createDataFrame([(i, i)], f"a int, c{i % 2} int") for i in range(6)]
+    warehouse.replace(frames[0], name)
+    early = warehouse.read(name)
+    done, seen = threading.Event(), []
+
+    def read():
+        while not done.is_set():
+            seen.append([r.a for r in warehouse.read(name).collect()])
+
+    with ThreadPoolExecutor(1) as pool:
+        reading = pool.submit(read)
+        for frame in frames[1:]:
+            warehouse.replace(frame, name)
+        done.set()
+        reading.result()
+    assert seen and all(len(rows) == 1 for rows in seen)
+    assert [rows[0] for rows in seen] == sorted(rows[0] for rows in seen)
+    if not catalog:
+        assert early.schema.names == ["a", "c0"]
+        assert len(list((tmp_path / "stg" / "read_meanwhile" / "data").iterdir())) == 2  # one kept for readers
+
+
+def test_catalog_tables_of_others_are_left_alone(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS stg")
+    spark.range(2).write.mode("overwrite").saveAsTable("stg.others")
+    with pytest.raises(FeedError, match="of its own"):
+        Warehouse(spark).replace(spark.range(1), "stg.others")
+    assert spark.table("stg.others").count() == 2
+
+
+def reject_rows(spark, context, values):
+    base = spark.createDataFrame([(v, "r", "d") for v in values], "row string, rej_reason string, rej_detail string")
+    return base.select("*", *audit_columns(context))
+
+
+def test_rejects_of_feeds_are_appended_side_by_side(spark, tmp_path, ctx, monkeypatch):
+    """Both attempts are written, and number their records, before either is in the log."""
+    meet, real = threading.Barrier(2, timeout=60), tables.put_record
+
+    def put_record(*args):
+        meet.wait()
+        real(*args)
 
-    real = tables.scratch
-    monkeypatch.setattr(tables, "scratch", scratch)
-    warehouse = Waiting(spark, str(tmp_path))
-    rows = spark.createDataFrame([("v", "r", "d")], "row string, rej_reason string, rej_detail string")
-    rejects = rows.select("*", *audit_columns(ctx))
+    monkeypatch.setattr(tables, "put_record", put_record)
+    warehouse = Warehouse(spark, str(tmp_path))
     with ThreadPoolExecutor(2) as pool:
-        list(pool.map(lambda _: warehouse.append_rejects(rejects, "rej.shared"), range(2)))
-    assert seen == [1, 1] and warehouse.read_rejects("rej.shared").count() == 2
+        rejects = [reject_rows(spark, ctx, [v]) for v in "ab"]
+        list(pool.map(lambda df: warehouse.append_rejects(df, "rej.shared"), rejects))
+    assert rows_of(warehouse.read_rejects("rej.shared"), "row") == [("a",), ("b",)]
+
+
+APPEND = """
+import sys
+from datetime import datetime
+from pyspark.sql import SparkSession
+from sheetmill.model import RunContext
+from sheetmill.operators.validate import audit_columns
+from sheetmill.sources.tables import Warehouse
+base, run = sys.argv[1:]
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "1").getOrCreate())
+ctx = RunContext.of(run, "20240105", datetime(2024, 1, 5, 7))
+for i in range(4):
+    rows = spark.createDataFrame([(f"{run}{i}", "r", "d")], "row string, rej_reason string, rej_detail string")
+    Warehouse(spark, base).append_rejects(rows.select("*", *audit_columns(ctx)), "rej.shared")
+"""
+
+
+def test_two_processes_append_to_one_table(spark, tmp_path):
+    root = str(Path(__file__).resolve().parents[1])
+    environment = {**os.environ, "PYTHONPATH": root}
+    runs = [
+        subprocess.Popen([sys.executable, "-c", APPEND, str(tmp_path), run], env=environment, stderr=subprocess.DEVNULL)
+        for run in ("x", "y")
+    ]
+    assert [p.wait(timeout=240) for p in runs] == [0, 0]
+    stored = Warehouse(spark, str(tmp_path)).read_rejects("rej.shared")
+    assert rows_of(stored, "row") == sorted((f"{run}{i}",) for run in "xy" for i in range(4))
+
+
+def test_uncommitted_attempts_are_not_read(spark, tmp_path, ctx, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.append_rejects(reject_rows(spark, ctx, ["a"]), "rej.t")
+
+    def fails(*args):
+        raise OSError("stop")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "put_record", fails)
+        with pytest.raises(OSError, match="stop"):
+            warehouse.append_rejects(reject_rows(spark, ctx, ["b"]), "rej.t")
+    assert rows_of(warehouse.read_rejects("rej.t"), "row") == [("a",)]
+    assert len(list((tmp_path / "rej" / "t" / "data").iterdir())) == 1
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_rejects_of_one_run(spark, tmp_path, ctx, catalog):
+    """Folders of other runs are not read; an attempt of two runs loses only the replaced one."""
+    warehouse = Warehouse(spark, None if catalog else str(tmp_path))
+    later = RunContext.of("it's \\\\ later", "20240106", ctx.load_datetime)
+    both = reject_rows(spark, ctx, ["a"]).unionByName(reject_rows(spark, later, ["b"]))
+    warehouse.append_rejects(both, "rej.runs")
+    warehouse.append_rejects(reject_rows(spark, ctx, ["c"]), "rej.runs")
+    assert rows_of(warehouse.read_rejects("rej.runs", later), "row") == [("b",)]
+    warehouse.append_rejects(reject_rows(spark, later, ["d"]), "rej.runs", later)
+    assert rows_of(warehouse.read_rejects("rej.runs"), "row") == [("a",), ("c",), ("d",)]
+    assert rows_of(warehouse.read_rejects("rej.runs", later), "row") == [("d",)]
+    assert rows_of(warehouse.read_rejects("rej.runs", ctx), "row") == [("a",), ("c",)]
+    if catalog:
+        assert rows_of(spark.table("rej.runs"), "row") == [("a",), ("c",), ("d",)]
 
 
 def test_unusable_configurations_do_not_stop_the_others(spark, tmp_path, ctx):
@@ -419,7 +552,7 @@ def test_command_line_with_control_sheet(spark, tmp_path, capsys):
     common += ["--warehouse", str(tmp_path / "wh"), "--control", str(tmp_path / "control")]
     assert main(common, spark) == 0
     assert "dw=2" in capsys.readouterr().out
-    assert spark.read.parquet(str(tmp_path / "wh" / "d" / "p")).count() == 2
+    assert Warehouse(spark, str(tmp_path / "wh")).read("d.p").count() == 2
     assert not (tmp_path / "wh" / "d" / "q").exists()
     with pytest.raises(FeedError, match="DISABLED"):
         main([*common, "--job", "q"], spark)
