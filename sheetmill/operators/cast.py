@@ -23,11 +23,17 @@ def typed(column: str, schema: SchemaInfo, rules: RuleSet) -> Column:
     return to_text(quoted(column))
 
 
-def src_to_stg(src: DataFrame, schema: SchemaInfo, ctx: RunContext, rules: RuleSet) -> DataFrame:
-    """The run's rows with dates and doubles in place of text; blanks are NULL."""
+def src_to_stg(
+    src: DataFrame, schema: SchemaInfo, ctx: RunContext, rules: RuleSet, *keep: Column
+) -> DataFrame:
+    """The run's rows with dates and doubles in place of text; blanks are NULL.
+
+    Columns in ``keep`` are carried along after the layout.
+    """
     return run_slice(src, ctx).select(
         *[typed(c, schema, rules).alias(c) for c in schema.definition],
         *AUDIT_COLUMNS,
         "row",
         ROW_ID,
+        *keep,
     )

@@ -57,8 +57,9 @@ def stg_to_dw(
     keys: Sequence[str],
     ctx: RunContext,
     repeated: DataFrame | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """First row of every business key.
+    """First row of every business key, in each part of the table that the columns ``within`` make; they are kept.
 
     Ranking shuffles whole rows, but its ``rownum = 1`` filter lets Spark drop all but one
     row per key and task before the shuffle, so a hot key costs a row per task and not its
@@ -66,6 +67,7 @@ def stg_to_dw(
     than once (``repeated``) instead; with that side broadcast they stay where they are.
     """
     schema.require_keys(keys)
+    keys = [*within, *keys]
     rows = run_slice(stg, ctx)
     if repeated is None:
         first = Window.partitionBy(*map(quoted, keys)).orderBy(ROW_ID, _content(stg))
@@ -74,20 +76,28 @@ def stg_to_dw(
         kept = rows.join(repeated, _same_key(keys), "left").filter(
             F.col("_first").isNull() | (F.col(ROW_ID) == F.col("_first"))
         )
-    return kept.select(*map(quoted, schema.definition), *AUDIT_COLUMNS)
+    return kept.select(*map(quoted, schema.definition), *AUDIT_COLUMNS, *map(quoted, within))
 
 
 def duplicate_rows(
-    stg: DataFrame, keys: Sequence[str], ctx: RunContext, repeated: DataFrame | None = None
+    stg: DataFrame,
+    keys: Sequence[str],
+    ctx: RunContext,
+    repeated: DataFrame | None = None,
+    distinct_positions: bool = False,
 ) -> DataFrame:
     """Every row of the run but the first of its key.
 
     The other side has one row per repeated key. It is broadcast when Spark finds it small
-    enough; otherwise both sides are sorted and merged, and hot keys are split at run time.
+    enough; otherwise both sides are sorted and merged, and hot keys are split at run time. Where positions
+    are known to be distinct, as those of a whole sheet are, that is all; otherwise rows at a key's
+    first position are told apart by their content, which shuffles the copies again.
     """
     if repeated is None:
         repeated = repeated_keys(stg, keys, ctx)
     rows = run_slice(stg, ctx)
+    if distinct_positions:
+        return rows.join(repeated, _same_key(keys) & (F.col(ROW_ID) > F.col("_first"))).select(*rows.columns)
     copies = rows.join(repeated, _same_key(keys) & (F.col(ROW_ID) >= F.col("_first")))
     # Of rows at the first position one survives; elsewhere numbers do not matter.
     tie = Window.partitionBy(*map(quoted, keys), ROW_ID).orderBy(_content(stg))
@@ -112,15 +122,14 @@ def rej_duplicate(
     ctx: RunContext,
     delimiter: str = "|",
     repeated: DataFrame | None = None,
+    distinct_positions: bool = False,
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Duplicate rows in the layout of the reject table."""
-    return (
-        duplicate_rows(stg, keys, ctx, repeated)
-        .select(
-            "row",
-            F.lit(DUPLICATE_RECORD).alias("rej_reason"),
-            duplicate_detail(stg, keys, delimiter).alias("rej_detail"),
-            *audit_columns(ctx),
-        )
-        .select(*REJECT_SCHEMA.names)
+    """Duplicate rows in the layout of the reject table, then the columns ``within``, which part the table."""
+    return duplicate_rows(stg, [*within, *keys], ctx, repeated, distinct_positions).select(
+        "row",
+        F.lit(DUPLICATE_RECORD).alias("rej_reason"),
+        duplicate_detail(stg, keys, delimiter).alias("rej_detail"),
+        *audit_columns(ctx),
+        *map(quoted, within),
     )

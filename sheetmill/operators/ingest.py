@@ -119,8 +119,9 @@ def _surplus(width: int) -> Column:
     return F.coalesce(F.exists(rest, lambda c: blank_to_null(clean_cell(c)).isNotNull()), F.lit(False))
 
 
-def assemble(rows: DataFrame, names: Sequence[str], header: int = 0) -> DataFrame:
-    """Wide all-text table of one feed: cells cleaned, missing or blank cells NULL.
+def assemble(rows: DataFrame, names: Sequence[str], header: int = 0, *keep: Column) -> DataFrame:
+    """Wide all-text table of one feed, or of feeds with the same columns: cells cleaned, missing or blank cells
+    NULL, then the columns in ``keep``.
 
     Rows with text beyond the header's cells do not fit; ``surplus_rejects`` has them.
     """
@@ -129,21 +130,26 @@ def assemble(rows: DataFrame, names: Sequence[str], header: int = 0) -> DataFram
         blank_to_null(clean_cell(F.get("cells", F.lit(i)))).alias(name)
         for i, name in enumerate(names)
     ]
-    return rows.filter((F.col(ROW_ID) > header) & ~_surplus(len(names))).select(ROW_ID, *cells)
+    return rows.filter((F.col(ROW_ID) > header) & ~_surplus(len(names))).select(ROW_ID, *cells, *keep)
 
 
 def surplus_rejects(
-    rows: DataFrame, names: Sequence[str], ctx: RunContext, delimiter: str = "|", header: int = 0
+    rows: DataFrame,
+    names: Sequence[str],
+    ctx: RunContext,
+    delimiter: str = "|",
+    header: int = 0,
+    *keep: Column,
 ) -> DataFrame:
-    """Rows with more text than columns, all their cells kept, in the layout of the reject table."""
+    """Rows with more text than columns, all their cells kept, in the layout of the reject table; then the columns in
+    ``keep``."""
     cells = F.transform("cells", lambda c: F.coalesce(clean_cell(c), F.lit("")))
-    return (
-        rows.filter((F.col(ROW_ID) > header) & _surplus(len(names)))
-        .select(
-            F.concat_ws(delimiter, cells).alias("row"),
-            F.lit(SURPLUS_CELLS).alias("rej_reason"),
-            F.concat(F.lit(f"columns: {len(names)}{delimiter}cells: "), F.size("cells")).alias("rej_detail"),
-            *audit_columns(ctx),
-        )
-        .select(*REJECT_SCHEMA.names)
+    detail = F.concat(F.lit(f"columns: {len(names)}{delimiter}cells: "), F.size("cells"))
+    found = rows.filter((F.col(ROW_ID) > header) & _surplus(len(names))).select(
+        F.concat_ws(delimiter, cells).alias("row"),
+        F.lit(SURPLUS_CELLS).alias("rej_reason"),
+        detail.alias("rej_detail"),
+        *audit_columns(ctx),
+        *keep,
     )
+    return found if keep else found.select(*REJECT_SCHEMA.names)

@@ -90,6 +90,35 @@ def ext_to_src(
     )
 
 
+def route_rows(
+    tmp: DataFrame,
+    schema: SchemaInfo,
+    ctx: RunContext,
+    rules: RuleSet,
+    delimiter: str = "|",
+    *keep: Column,
+    order: str = ROW_ID,
+    stripped: bool = False,
+) -> DataFrame:
+    """Every row once, with its route: the columns of ``ext_to_src``, then ``rej_reason`` and ``rej_detail``
+    of rejected rows, ``keep`` and ``_route``.
+
+    Written by ``_route``, its parts are SRC and the datatype rejects, so TMP is scanned once for both.
+    """
+    cells = {c: quoted(c) if stripped else strip(quoted(c).cast("string")) for c in schema.definition}
+    where = route(schema, rules)
+    return tmp.select(
+        *[cell.alias(c) for c, cell in cells.items()],
+        *audit_columns(ctx),
+        row_text(schema.definition, delimiter).alias("row"),
+        quoted(order).alias(ROW_ID),
+        F.when(where == "rej", DATATYPE_MISMATCH).alias("rej_reason"),
+        F.when(where == "rej", reject_detail(schema, rules, delimiter)).alias("rej_detail"),
+        *keep,
+        where.alias("_route"),
+    )
+
+
 def rej_datatype(
     tmp: DataFrame,
     schema: SchemaInfo,

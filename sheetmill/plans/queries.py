@@ -328,7 +328,8 @@ def duplicate_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("rej_duplicate")
 def rej_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rej_duplicate(_stg(spark, sf_dir), fx.KEYS, fx.CTX, fx.DELIMITER)
+    """Order keys are positions that do not repeat, like those of a sheet."""
+    return rej_duplicate(_stg(spark, sf_dir), fx.KEYS, fx.CTX, fx.DELIMITER, distinct_positions=True)
 
 
 @_query("rej_duplicate_null_keys")

@@ -190,8 +190,10 @@ class Warehouse:
     def commit_rejects(
         self, table: str, locations: Sequence[str], runs: Sequence[Run], replace_run: RunContext | None = None
     ) -> None:
-        """Let the rejects of ``runs`` in these folders count."""
+        """Let the rejects of ``runs`` in these folders count; folders that do so already are not added again."""
         attempt, log = uuid.uuid4().hex, self._log(table)
+        if self.holds_rejects(table, locations):
+            return
         record = {
             "locations": list(locations),
             "runs": [list(r) for r in runs],
@@ -207,6 +209,9 @@ class Warehouse:
                 names = record_names(self.spark, log)
                 self._show_rejects(table)
 
+    def holds_rejects(self, table: str, locations: Sequence[str]) -> bool:
+        return any(value["locations"] == list(locations) for _, value in read_records(self.spark, self._log(table)))
+
     def _attempts(self, table: str) -> list[tuple[str, list[str], set[Run], set[Run]]]:
         """Name, folders, runs and hidden runs of every attempt that has anything to be read."""
         found, replaced = [], set()
