@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,6 +17,9 @@ from sheetmill.rules import RuleSet
 SAMPLE_FRACTION = 0.5
 SAMPLE_LIMIT = 1000
 
+#: Files that a sample of a stored table reads at most.
+SAMPLE_FILES = 16
+
 
 def profile_sample(
     tmp: DataFrame,
@@ -40,6 +44,27 @@ def profile_sample(
     )
 
 
+def block_sample(
+    table: DataFrame,
+    files: int = SAMPLE_FILES,
+    fraction: float = SAMPLE_FRACTION,
+    limit: int = SAMPLE_LIMIT,
+    seed: int | None = None,
+    order: str = ROW_ID,
+) -> DataFrame:
+    """``profile_sample`` of ``files`` files of a stored table, chosen by a hash of their place.
+
+    The other files are not opened, so what is read does not grow with the table. ``table`` must be read
+    straight from files. Rows of one file may be alike: the fewer files, the less a sample says of the rest.
+    """
+    places = sorted(table.inputFiles(), key=lambda f: md5(f"{seed or 0}:{f}".encode()).digest())
+    if len(places) > files:
+        # Local places are written with one slash or three.
+        named = [p.replace("file:///", "file:/", 1) for p in places[:files]]
+        table = table.where(F.col("_metadata.file_path").isin(named))
+    return profile_sample(table, fraction, limit, seed, order)
+
+
 def cells_of(tmp: DataFrame, columns: Sequence[str], order: str = ROW_ID) -> DataFrame:
     """One row per cell: ``(order, pos, value)``."""
     return tmp.select(
@@ -55,19 +80,40 @@ def labelled(cells: DataFrame, rules: RuleSet) -> DataFrame:
     return stripped.withColumn("label", label_cell(F.col("value"), rules, F.col("stripped")))
 
 
-def vote(cells: DataFrame, keys: Sequence[str], order: str = ROW_ID) -> DataFrame:
-    """Label counts and the winning label per group of labelled cells.
+def partial_votes(cells: DataFrame, keys: Sequence[str], order: str = ROW_ID) -> DataFrame:
+    """Ballots of labelled cells per group: how many cells have each label, and the first that does.
 
-    The most frequent label wins, a tie goes to the label met first, and a group without
-    values is STRING. Every label is a fixed-width buffer of one aggregation, so cells are
-    combined before the only shuffle, which moves a row per group and task.
+    Every label is a fixed-width buffer of one aggregation, so cells are combined before the only shuffle, which moves a
+    row per group and task. Ballots of parts of a table, kept beside them, can be merged later.
     """
     aggregates = []
     for label in LABELS:
         is_label = F.col("label") == label
         aggregates.append(F.count_if(is_label).alias(f"n_{label.lower()}"))
         aggregates.append(F.min(F.when(is_label, quoted(order))).alias(f"first_{label.lower()}"))
-    votes = cells.groupBy(*keys).agg(*aggregates)
+    return cells.groupBy(*keys).agg(*aggregates)
+
+
+def merge_votes(ballots: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ballots of several parts as those of the whole, in any order and grouping."""
+    aggregates = []
+    for label in LABELS:
+        n, first = f"n_{label.lower()}", f"first_{label.lower()}"
+        aggregates += [F.sum(n).alias(n), F.min(first).alias(first)]
+    return ballots.groupBy(*keys).agg(*aggregates)
+
+
+def vote(cells: DataFrame, keys: Sequence[str], order: str = ROW_ID) -> DataFrame:
+    """Label counts and the winning label per group of labelled cells."""
+    return decide(partial_votes(cells, keys, order), keys)
+
+
+def decide(votes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The winning label of each group's ballots.
+
+    The most frequent label wins, a tie goes to the label met first, and a group without
+    values is STRING.
+    """
     best = F.array_max(
         F.array(
             *[

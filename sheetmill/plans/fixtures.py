@@ -64,6 +64,23 @@ RUN_ROWS = {
 }
 RUN_CTX = RunContext.of("run_f", "20240105", datetime(2024, 1, 5, 7))
 
+#: Purchases of a later run: the branch has another name, dates have become words, the discount is gone and the
+#: clerk is new.
+DRIFTED = {
+    ROW_ID: PURCHASES[ROW_ID],
+    "po_number": PURCHASES["po_number"],
+    "branch": PURCHASES["branch_id"],
+    "transaction_date": "CASE WHEN o_orderkey % 3 = 0 THEN PURCHASE_DATE ELSE 'day ' || o_orderstatus END".replace(
+        "PURCHASE_DATE", PURCHASES["transaction_date"]
+    ),
+    "amount": PURCHASES["amount"],
+    "clerk": "o_orderstatus",
+    "priority": "o_orderpriority",
+    "customer": _s("o_custkey"),
+}
+DRIFTED_COLUMNS = tuple(c for c in DRIFTED if c != ROW_ID)
+DRIFTED_CTX = RunContext.of("run_2", "20240106", datetime(2024, 1, 6, 7))
+
 HEADERS = {
     "feed": "p_brand",
     "pos": "p_partkey",

@@ -251,6 +251,35 @@ def _sheet_dw(feed: str, columns, numeric, keys, date=()) -> str:
     return "(" + _with(parts, f"SELECT '{feed}' AS feed, {values} AS dw_row, job_id FROM dw") + ")"
 
 
+def _schema(rules: dict[str, str], columns: Iterable[str]) -> str:
+    """Type groups of one run's columns."""
+    groups = (
+        "SELECT col, pos, CASE WHEN inferred = 'DATE' THEN 'date' WHEN inferred IN ('INT64', 'FLOAT') "
+        "THEN 'numeric' END AS grp FROM types"
+    )
+    return "(" + _with([_fixture("tmp", rules, "orders"), *_types(columns)], groups) + ")"
+
+
+_CHANGES = """
+SELECT 'purchases' AS feed, 'run_2' AS job_id, DATE '2024-01-06' AS job_date, change, col, old_col, pos, old_pos, grp,
+  old_grp FROM (
+  SELECT 'retyped' AS change, n.col, o.col AS old_col, n.pos, o.pos AS old_pos, n.grp, o.grp AS old_grp
+  FROM now n JOIN old o ON o.col = n.col WHERE n.grp IS DISTINCT FROM o.grp
+  UNION ALL
+  SELECT 'moved', n.col, o.col, n.pos, o.pos, n.grp, o.grp FROM now n JOIN old o ON o.col = n.col WHERE n.pos <> o.pos
+  UNION ALL
+  SELECT 'renamed', n.col, o.col, n.pos, o.pos, n.grp, o.grp FROM fresh n JOIN gone o
+  ON o.pos = n.pos AND o.grp IS NOT DISTINCT FROM n.grp
+  UNION ALL
+  SELECT 'new', n.col, NULL, n.pos, NULL, n.grp, NULL FROM fresh n
+  WHERE NOT EXISTS (SELECT 1 FROM gone o WHERE o.pos = n.pos AND o.grp IS NOT DISTINCT FROM n.grp)
+  UNION ALL
+  SELECT 'lost', NULL, o.col, NULL, o.pos, NULL, o.grp FROM gone o
+  WHERE NOT EXISTS (SELECT 1 FROM fresh n WHERE o.pos = n.pos AND o.grp IS NOT DISTINCT FROM n.grp)
+)
+"""
+
+
 def _reconcile(feed: _Feed) -> str:
     counts = {
         "tmp": "SELECT count(*) FROM tmp",
@@ -328,6 +357,24 @@ def statements() -> dict[str, str]:
         "blank_to_null": _with([_PURCHASES], f"SELECT _src_row, {columns} FROM tmp"),
         "classify_cells": _with([_PURCHASES, *_types(fx.COLUMNS)], "SELECT _src_row, col, value, label FROM labelled"),
         "infer_types": _with([_PURCHASES, *_types(fx.COLUMNS)], "SELECT * FROM types"),
+        "infer_types_merged": _with([_PURCHASES, *_types(fx.COLUMNS)], "SELECT * FROM types"),
+        "schema_changes": _with(
+            [
+                f"old AS {_schema(fx.PURCHASES, fx.COLUMNS)}",
+                f"now AS {_schema(fx.DRIFTED, fx.DRIFTED_COLUMNS)}",
+                "fresh AS (SELECT * FROM now WHERE col NOT IN (SELECT col FROM old))",
+                "gone AS (SELECT * FROM old WHERE col NOT IN (SELECT col FROM now))",
+            ],
+            _CHANGES,
+        ),
+        "routed_rows": _with(
+            [_PURCHASES],
+            f"SELECT CASE WHEN {_INFERRED.accepted} THEN 'src' WHEN {_INFERRED.rejected} THEN 'rej' ELSE 'leaked' END "
+            f"AS _route, _src_row, {', '.join(f'{_strip(c)} AS {c}' for c in fx.COLUMNS)}, {_row(fx.COLUMNS)} AS row, "
+            f"CASE WHEN NOT ({_INFERRED.accepted}) AND ({_INFERRED.rejected}) THEN 'DATATYPE MISMATCH' END AS rej_reason, "
+            f"CASE WHEN NOT ({_INFERRED.accepted}) AND ({_INFERRED.rejected}) THEN {_INFERRED.detail} END AS rej_detail "
+            "FROM tmp",
+        ),
         "schema_groups": _with(
             [_PURCHASES, *_types(fx.COLUMNS)],
             "SELECT col, pos, inferred, CASE inferred WHEN 'DATE' THEN 'date' WHEN 'INT64' THEN 'numeric' "

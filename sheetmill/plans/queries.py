@@ -28,12 +28,17 @@ from sheetmill.operators.dedup import (
     repeated_keys,
     stg_to_dw,
 )
+from sheetmill.operators.history import schema_changes
 from sheetmill.operators.ingest import assemble, collect_headers, dedup_headers, feed_shapes
 from sheetmill.operators.profile import (
     SAMPLE_LIMIT,
+    cells_of,
+    decide,
     infer_schema,
     infer_types,
     labelled,
+    merge_votes,
+    partial_votes,
     profile_sample,
     schema_groups,
     vote,
@@ -47,6 +52,7 @@ from sheetmill.operators.validate import (
     rej_datatype,
     reject_detail,
     rejected,
+    route_rows as label_routes,
 )
 from sheetmill.plans import fixtures as fx
 from sheetmill.plans.load import FeedResult, load_feeds
@@ -169,6 +175,38 @@ def infer_column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer_types(fx.purchases(spark, sf_dir), fx.COLUMNS, RULES)
 
 
+@_query("infer_types_merged")
+def infer_types_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same types from ballots that were stored for each of three ranges of rows."""
+    path = scratch_path(spark, "ballots")
+    cells = labelled(cells_of(fx.purchases(spark, sf_dir), fx.COLUMNS), RULES)
+    for part in range(3):
+        own = cells.where(F.pmod(F.floor(F.col(ROW_ID) / 1000), F.lit(3)) == part)
+        partial_votes(own, ["pos"]).write.mode("append").parquet(path)
+    votes = decide(merge_votes(spark.read.parquet(path), ["pos"]), ["pos"])
+    names = F.array(*[F.lit(c) for c in fx.COLUMNS])
+    return votes.select(F.get(names, F.col("pos")).alias("col"), *votes.columns)
+
+
+@_query("schema_changes")
+def schema_changes_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed in the purchases' columns from one run to the next."""
+    later = fx.derive(fx.table(spark, sf_dir, "orders"), fx.DRIFTED)
+    runs = [
+        (fx.CTX, fx.purchases(spark, sf_dir), fx.COLUMNS),
+        (fx.DRIFTED_CTX, later, fx.DRIFTED_COLUMNS),
+    ]
+    history = None
+    for ctx, tmp, columns in runs:
+        load_datetime, job_date, job_id = audit_columns(ctx)
+        groups = schema_groups(infer_types(tmp, columns, RULES))
+        found = groups.select(
+            F.lit("purchases").alias("feed"), job_date, job_id, load_datetime, "pos", "col", "grp"
+        )
+        history = found if history is None else history.unionByName(found)
+    return schema_changes(history)
+
+
 @_query("schema_groups")
 def infer_schema_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_groups(infer_column_types(spark, sf_dir))
@@ -240,6 +278,22 @@ def ext_to_src_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ext_to_src(fx.purchases(spark, sf_dir), fx.INFERRED, fx.CTX, RULES, fx.DELIMITER)
 
 
+@_query("routed_rows")
+def routed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TMP tested once and written by route; its parts read back."""
+    path = scratch_path(spark, "routed")
+    routed = label_routes(fx.purchases(spark, sf_dir), fx.INFERRED, fx.CTX, RULES, fx.DELIMITER)
+    routed.write.partitionBy("_route").parquet(path)
+    stored = spark.read.schema(routed.schema).parquet(path)
+    parts = [stored.where(F.col("_route") == r) for r in ("src", "rej", "leaked")]
+    return (
+        parts[0]
+        .unionByName(parts[1])
+        .unionByName(parts[2])
+        .select("_route", ROW_ID, *fx.COLUMNS, "row", "rej_reason", "rej_detail")
+    )
+
+
 @_query("reject_detail")
 def reject_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.purchases(spark, sf_dir).select(

@@ -275,3 +275,44 @@ def test_schema_changes(spark):
         ("h", "b", "new", "q", None, 0, None, "date", None),
         ("h", "b", "lost", None, "p", None, 0, None, None),
     ], key=repr)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_merged_ballots_equal_a_full_vote(spark, seed):
+    """Cells dealt to parts at random, and the parts merged in two steps."""
+    import random
+
+    from sheetmill.operators.profile import decide, labelled, merge_votes, partial_votes, vote
+
+    rng = random.Random(seed)
+    values = ["2024-01-05", "7%", "12", "1.5", "x", "", None]
+    rows = [
+        (rng.choice("fg"), rng.randrange(3), i, rng.choice(values[: rng.choice([2, 5, 7])])) for i in range(200)
+    ]
+    cells = labelled(spark.createDataFrame(rows, f"feed string, pos int, {ROW_ID} long, value string"), RULES)
+    keys = ["feed", "pos"]
+    whole = vote(cells, keys)
+    parts = [partial_votes(cells.where(f"pmod(xxhash64({ROW_ID}, {seed}), 4) = {k}"), keys) for k in range(4)]
+    left, right = parts[0].unionByName(parts[1]), parts[2].unionByName(parts[3])
+    merged = decide(merge_votes(merge_votes(left, keys).unionByName(merge_votes(right, keys)), keys), keys)
+    assert merged.columns == whole.columns
+    assert rows_of(merged, *whole.columns) == rows_of(whole, *whole.columns)
+
+
+def test_a_block_sample_reads_some_files_only(spark, tmp_path):
+    from sheetmill.operators.profile import block_sample, infer_schema
+
+    rows = spark.range(20_000).selectExpr(f"id AS {ROW_ID}", "CAST(id AS STRING) AS n", "IF(id % 9 = 0, '-', 'x') AS t")
+    rows.repartition(40).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    found = block_sample(table, files=4, limit=300, seed=1)
+    assert found.columns == table.columns
+    positions = {r[0] for r in found.collect()}
+    assert len(positions) == 300 and positions == {r[0] for r in block_sample(table, 4, limit=300, seed=1).collect()}
+    files = {r.f for r in table.selectExpr("_metadata.file_path AS f", ROW_ID).where(F.col(ROW_ID).isin(list(positions))).collect()}
+    assert len(files) == 4
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "DataFilters: [file_path" in scan  # which file listing uses: other files are not opened
+    sampled = spark.createDataFrame(found.collect(), found.schema)
+    assert infer_schema(sampled, ["n", "t"], RULES) == infer_schema(table, ["n", "t"], RULES)
+    assert block_sample(table, files=99, fraction=1.0, limit=50_000).count() == 20_000
