@@ -101,25 +101,33 @@ _SPACES = (
 )
 
 
+def _joined(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` of these starts and sizes, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    shift = np.repeat(starts - before, sizes)
+    return pool[np.arange(len(shift)) + shift]
+
+
 class Words:
     """Encodes texts through the library, each distinct word once.
 
     The pre-tokenizer never joins a visible character with white space after it, and gives a space
     to the visible character that follows. So a text whose spaces all stand alone may be cut
     before each of them, and the ids of the parts are those of the whole. Other texts are
-    encoded whole. A run of letters ends where punctuation follows, so words are cut there, too.
-    Likewise, a line feed between visible characters is a token of its own; so new words are
-    encoded as the lines of one text. Beyond ``most``, words that a batch does not have are forgotten.
+    encoded whole. A run of letters ends where punctuation follows, so words are cut there, too, and
+    only the two parts are remembered. A line feed between visible characters is a token of its own; so new parts are
+    encoded as the lines of one text. What two times ``most`` new parts did not meet again is forgotten.
     """
 
     _odd = f" ([{_SPACES}]|$)"
     _line = re.compile(r" ?\S+(?:\n\S+)*")
-    _head = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-@\[-`{-~].*)", re.DOTALL)
+    _cut = r"(?s)^(?P<head> ?[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-@\[-`{-~].*)?$"
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 400_000):
         self._tokenizer, self._most = Tokenizer.from_file(path), most
-        self._tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
-        self._known: dict[str, bytes] = {}
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._feed = np.frombuffer(self._ids(["\n"])[0], "<u4")
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -127,8 +135,8 @@ class Words:
         return [np.asarray(f.ids, "<u4").tobytes() for f in found]
 
     def _encode_new(self, parts: list[str]) -> None:
-        known = self._known
-        lines = list(filter(self._line.fullmatch, parts))
+        known = self._new
+        lines = [p for p in parts if self._line.fullmatch(p) and not any(a in p for a in self._added)]
         for at in range(0, len(lines), 20_000):
             some = lines[at : at + 20_000]
             coded = self._ids(["\n".join(["", *some, ""])])[0]
@@ -141,51 +149,73 @@ class Words:
         rest = [p for p in parts if p not in known]
         known.update(zip(rest, self._ids(rest)))
 
-    def _learn(self, words: list[str]) -> list[bytes]:
-        """Ids of each of ``words``."""
-        known = self._known
-        coded = list(map(known.get, words))
+    def _learn(self, parts: list[str]) -> list[bytes]:
+        """Ids of each of ``parts``, which are distinct."""
+        if len(self._new) > self._most:
+            self._new, self._old = {}, self._new
+        coded = list(map(self._new.get, parts))
         missing = [k for k, ids in enumerate(coded) if ids is None]
-        new = [words[k] for k in missing]
-        cuts = [m and m.groups() for m in map(self._head.fullmatch, new)]
-        parts = {p for cut in cuts if cut for p in cut}
-        parts.update(w for w, cut in zip(new, cuts) if not cut)
-        self._encode_new(list(parts - known.keys()))
-        known.update((w, known[cut[0]] + known[cut[1]]) for w, cut in zip(new, cuts) if cut)
+        unknown = []
         for k in missing:
-            coded[k] = known[words[k]]
+            part = parts[k]
+            ids = self._old.get(part)
+            if ids is None:
+                unknown.append(part)
+            else:
+                self._new[part] = ids
+        self._encode_new(unknown)
+        for k in missing:
+            coded[k] = self._new[parts[k]]
         return coded
 
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        found: list[bytes] = [b""] * len(texts)
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of distinct words, and where each word's begin and how many they are."""
+        cut = pc.extract_regex(words, self._cut)
+        head = pc.coalesce(pc.struct_field(cut, "head"), words)  # a word that begins otherwise stays whole
+        tail = pc.coalesce(pc.struct_field(cut, "tail"), pa.scalar("", words.type))
+        coded = pa.concat_arrays([head, tail]).dictionary_encode()
+        place = coded.indices.to_numpy(zero_copy_only=False).reshape(2, -1).T
+        found = self._learn(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.frombuffer(b"".join(found), "<u4")
+        starts = (np.cumsum(sizes) - sizes)[place]
+        own = sizes[place].sum(axis=1)
+        return _joined(pool, starts.ravel(), sizes[place].ravel()), np.cumsum(own) - own, own
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and for every text, and at last for all, the number of ids before it."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         odd = pc.match_substring_regex(texts, self._odd).to_numpy(zero_copy_only=False)
-        whole = np.flatnonzero(odd)
-        for k, ids in zip(whole, self._ids(texts.take(pa.array(whole)).to_pylist())):
-            found[k] = ids
-        cut = np.flatnonzero(~odd)
-        if not len(cut):
-            return found
-        parts = pc.split_pattern(texts.take(pa.array(cut)), " ")
-        offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-        words = parts.flatten().dictionary_encode()
-        place = words.indices.to_numpy().astype(np.int64)
-        first = offsets[:-1]
-        openings, where = np.unique(place[first], return_inverse=True)
-        names = pc.binary_join_element_wise("", words.dictionary, " ").to_pylist()
-        place[first] = len(names) + where
-        if len(self._known) > self._most:
-            self._known = {w: self._known[w] for w in names if w in self._known}
-        coded = self._learn(names + words.dictionary.take(pa.array(openings)).to_pylist())
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        starts = np.cumsum(lengths) - lengths
-        pool = np.frombuffer(b"".join(coded), "<u4")
-        for k, a, b in zip(cut, offsets[:-1], offsets[1:]):
-            own = place[a:b]
-            sizes = lengths[own]
-            shift = np.repeat(starts[own] - (np.cumsum(sizes) - sizes), sizes)
-            found[k] = pool[np.arange(len(shift)) + shift].tobytes()
-        return found
+        whole, plain = np.flatnonzero(odd), np.flatnonzero(~odd)
+        own = [np.frombuffer(ids, "<u4") for ids in self._ids(texts.take(pa.array(whole)).to_pylist())]
+        sizes = np.zeros(len(texts), np.int64)
+        sizes[whole] = list(map(len, own))
+        ids = np.zeros(0, np.uint32)
+        if len(plain):
+            parts = pc.split_pattern(texts.take(pa.array(plain)), " ")
+            offsets = parts.offsets.to_numpy().astype(np.int64)
+            offsets -= offsets[0]
+            words = parts.flatten().dictionary_encode()
+            place = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            first = offsets[:-1]
+            openings, where = np.unique(place[first], return_inverse=True)
+            spaced = pc.binary_join_element_wise("", words.dictionary, " ")
+            opening = words.dictionary.take(pa.array(openings))
+            place[first] = len(spaced) + where
+            pool, starts, lengths = self._distinct(pa.concat_arrays([spaced, opening]))
+            ids = _joined(pool, starts[place], lengths[place])
+            upto = np.concatenate([[0], np.cumsum(lengths[place])])[offsets]
+            sizes[plain] = np.diff(upto)
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        if len(whole):
+            # Texts encoded whole are put between the others.
+            source = np.concatenate([ids, *own])
+            starts = np.zeros(len(texts), np.int64)
+            starts[plain] = np.cumsum(sizes[plain]) - sizes[plain]
+            starts[whole] = len(ids) + np.cumsum(sizes[whole]) - sizes[whole]
+            ids = _joined(source, starts, sizes)
+        return ids, before
 
 
 @lru_cache(maxsize=2)
@@ -232,35 +262,42 @@ def write_codes(
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(tokenizer_path)
-        end = np.asarray([end_id], "<u4").tobytes()
         part, number, before = TaskContext.get().partitionId(), 0, 0
-        ids, coded, size = [], [], 0
+        held: list[tuple[list, np.ndarray, np.ndarray]] = []  # document ids, lengths, tokens
 
         def flush():
-            nonlocal number, before, ids, coded, size
-            tokens = np.frombuffer(b"".join(coded), "<u4")
+            nonlocal number, before, held
+            tokens = np.concatenate([t for _, _, t in held])
             row = {
                 "part": part,
                 "segment": number,
                 "before": before,
                 "n_tokens": len(tokens),
-                "doc_ids": ids,
-                "lengths": [len(c) // 4 for c in coded],
+                "doc_ids": [d for ids, _, _ in held for d in ids],
+                "lengths": np.concatenate([n for _, n, _ in held]).tolist(),
                 "levels": to_levels(tokens),
             }
-            number, before = number + 1, before + len(tokens)
-            ids, coded, size = [], [], 0
+            number, before, held = number + 1, before + len(tokens), []
             return pa.RecordBatch.from_pylist([row], schema=_SEGMENT)
 
+        size = 0
         for batch in _gathered(batches, batch_bytes):
-            texts = batch.column("text")
-            for doc_id, code in zip(batch.column("id").to_pylist(), words.encode(texts), strict=True):
-                ids.append(doc_id)
-                coded.append(code + end)
-                size += len(code) // 4 + 1
+            ids, upto = words.encode(batch.column("text"))
+            lengths = np.diff(upto) + 1
+            tokens = np.insert(ids, upto[1:], np.uint32(end_id))
+            upto = np.concatenate([[0], np.cumsum(lengths)])
+            names, at = batch.column("id").to_pylist(), 0
+            while at < len(names):
+                # As many documents as make the segment full.
+                last = int(np.searchsorted(upto, upto[at] + segment_tokens - size))
+                last = min(max(last, at + 1), len(names))
+                held.append((names[at:last], lengths[at:last], tokens[upto[at] : upto[last]]))
+                size += int(upto[last] - upto[at])
+                at = last
                 if size >= segment_tokens:
                     yield flush()
-        if ids:
+                    size = 0
+        if held:
             yield flush()
 
     text = text_or_empty(F.col(text_col))
@@ -309,6 +346,40 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
+    """Single ids of the written files: (position, id) for each distinct ``position`` among all ids.
+
+    Positions beyond the last id, negative and null ones give no row. A position meets its segment by an equi-join on
+    stretches of 2**20 positions; of a segment only the chunks, bitmap and rank bytes on the way to
+    its id are looked at, and segments without a position are not decoded.
+    """
+    stretch = 20
+    coded = spark.read.schema(SEGMENT).parquet(path)
+    sizes = coded.select("part", "segment", "before", "n_tokens")
+    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # one row per part, MOST_PARTS at most
+    offsets = totals.select("part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("offset"))
+    placed = sizes.join(F.broadcast(offsets), "part").withColumn("first", F.col("offset") + F.col("before"))
+    last = F.col("first") + F.col("n_tokens") - 1
+    covered = F.sequence(F.shiftright("first", stretch), F.shiftright(last, stretch))
+    placed = placed.where("n_tokens > 0").select("part", "segment", "first", "n_tokens", F.explode(covered).alias("at"))
+    wanted = positions.select(F.col("position").cast("long").alias("position")).distinct()
+    inside = (F.col("position") >= F.col("first")) & (F.col("position") < F.col("first") + F.col("n_tokens"))
+    found = wanted.withColumn("at", F.shiftright("position", stretch)).join(placed, "at").where(inside)
+    # A segment has so many positions at most.
+    asked = found.groupBy("part", "segment", "first").agg(F.collect_list("position").alias("positions"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = [token_at(row["levels"], p - row["first"]) for p in row["positions"]]
+                columns = [pa.array(row["positions"], pa.int64()), pa.array(ids, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["position", "id"])
+
+    segments = coded.select("part", "segment", "levels").join(asked, ["part", "segment"])
+    return segments.select("first", "positions", "levels").mapInArrow(read, "position long, id long")
+
+
 def token_codes(docs: DataFrame, tokenizer_path: str, *, end_id: int, **options) -> DataFrame:
     """Write ``docs`` as codes below the shared folder and read the files back."""
     path = scratch_path(docs.sparkSession, "codes")

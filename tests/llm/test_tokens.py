@@ -15,7 +15,16 @@ from tokenizers import Tokenizer
 
 from sheetmill.llm import queries
 from sheetmill.llm.bpe import bpe_tokens, encode, encoding, pieces
-from sheetmill.llm.token_codes import from_levels, to_levels, token_at, token_codes, words_of
+from sheetmill.llm.token_codes import (
+    Words,
+    from_levels,
+    to_levels,
+    token_at,
+    token_codes,
+    tokens_at,
+    words_of,
+    write_codes,
+)
 
 SMALL = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,16 +36,20 @@ TEXT = st.text(
         st.characters(codec="utf-8"),
     ),
     max_size=60,
-)
+) | st.lists(st.sampled_from(["<|endoftext|>", " ", "a", " b", "\n", "<|end", "é,"]), max_size=8).map("".join)
 
 
 @pytest.fixture(scope="module")
 def whole():
-    tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(VOCABULARY)  # as it comes: added tokens in a text give their id
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def encoded(words, texts):
+    ids, before = words.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(before, before[1:])]
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 70_000), max_size=1500))
 def test_levels_round_trip(ids):
@@ -55,15 +68,20 @@ def test_any_token_is_read_alone():
 @settings(max_examples=600, deadline=None)
 @given(st.lists(TEXT, min_size=1, max_size=4))
 def test_words_give_the_ids_of_the_whole(whole, texts):
-    for text, ids in zip(texts, words_of(VOCABULARY).encode(pa.array(texts, pa.string()))):
-        assert np.frombuffer(ids, "<u4").tolist() == whole(text)
+    for text, ids in zip(texts, encoded(words_of(VOCABULARY), texts)):
+        assert ids == whole(text)
+
+
+def test_forgotten_words_are_found_again(whole):
+    words = Words(VOCABULARY, most=2)
+    for texts in (["one two, three"], ["four five's", "six  odd"], ["one two,", ""], ["<|endoftext|> one", "seven"]):
+        assert encoded(words, texts) == list(map(whole, texts))
 
 
 @pytest.mark.parametrize("space", "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000\u200b\ufeff")
 def test_every_white_space(whole, space):
     texts = [f"a {space}b", f"a{space}b c", f"a {space} b", f"{space}{space}a b{space}", f"a{space}\nb c"]
-    for text, ids in zip(texts, words_of(VOCABULARY).encode(pa.array(texts))):
-        assert np.frombuffer(ids, "<u4").tolist() == whole(text)
+    assert encoded(words_of(VOCABULARY), texts) == list(map(whole, texts))
 
 
 @pytest.mark.parametrize("table", ["small", "odd", "clashing", "empty"])
@@ -83,6 +101,18 @@ def test_token_codes(request, whole, table, options):
     assert ids == sorted(ids, key=lambda x: (x is not None, x))
 
 
+@pytest.mark.parametrize("options", [{}, {"part_rows": 4, "segment_tokens": 50}])
+def test_single_tokens_are_read(spark, odd, whole, tmp_path, options):
+    write_codes(odd, VOCABULARY, str(tmp_path / "codes"), end_id=2, **options)
+    rows = sorted(token_codes(odd, VOCABULARY, end_id=2, **options).collect(), key=lambda r: r.start)
+    ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in rows]).tolist()
+    wanted = [0, 1, 2, 49, 50, 51, len(ids) - 1, 7, 7, -1, len(ids), len(ids) + 9, None, *range(100, 400, 7)]
+    positions = spark.createDataFrame([(p, "clash") for p in wanted], "position long, part string")
+    found = {r.position: r.id for r in tokens_at(spark, str(tmp_path / "codes"), positions).collect()}
+    assert found == {p: ids[p] for p in wanted if p is not None and 0 <= p < len(ids)}
+    assert tokens_at(spark, str(tmp_path / "codes"), positions.limit(0)).collect() == []
+
+
 @settings(max_examples=300, deadline=None)
 @given(TEXT, st.integers(1, 8))
 def test_pieces_give_the_ids_of_the_whole(text, size):
