@@ -8,6 +8,7 @@ bitmap gives an id's place on the next level, so any id is read without decoding
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -115,38 +116,43 @@ class Words:
     to the visible character that follows. So a text whose spaces all stand alone may be cut
     before each of them, and the ids of the parts are those of the whole. Other texts are
     encoded whole. A run of letters ends where punctuation follows, so words are cut there, too, and
-    only the two parts are remembered. A line feed between visible characters is a token of its own; so new parts are
-    encoded as the lines of one text. What two times ``most`` new parts did not meet again is forgotten.
+    only the two parts are remembered. A run of letters is one word to the pre-tokenizer and goes to the library's model
+    as it is. What two times ``most`` new parts did not meet again is forgotten.
     """
 
     _odd = f" ([{_SPACES}]|$)"
-    _line = re.compile(r" ?\S+(?:\n\S+)*")
+    _letters = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
     _cut = r"(?s)^(?P<head> ?[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-@\[-`{-~].*)?$"
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 250_000):
         self._tokenizer, self._most = Tokenizer.from_file(path), most
-        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._model = self._tokenizer.model
+        # How the pre-tokenizer writes the bytes of letters and the space before them.
+        shown = {c: self._shown(c) for c in {" ", *map(chr, range(0xC0, 0x100))}}
+        self._bytes = str.maketrans({c: w for c, w in shown.items() if c != w})
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
-        self._feed = np.frombuffer(self._ids(["\n"])[0], "<u4")
+
+    def _shown(self, char: str) -> str:
+        return "".join(word for word, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(char))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(f.ids, "<u4").tobytes() for f in found]
+        found = []
+        for at in range(0, len(texts), 10_000):
+            some = self._tokenizer.encode_batch_fast(texts[at : at + 10_000], add_special_tokens=False)
+            found += [np.asarray(f.ids, "<u4").tobytes() for f in some]
+        return found
 
     def _encode_new(self, parts: list[str]) -> None:
-        known = self._new
-        lines = [p for p in parts if self._line.fullmatch(p) and not any(a in p for a in self._added)]
-        for at in range(0, len(lines), 20_000):
-            some = lines[at : at + 20_000]
-            coded = self._ids(["\n".join(["", *some, ""])])[0]
-            ends = np.flatnonzero(np.frombuffer(coded, "<u4") == self._feed[0])
-            last = np.cumsum([p.count("\n") + 1 for p in some])
-            if len(self._feed) == 1 and len(ends) == last[-1] + 1:  # as in vocabularies of this kind
-                starts = 4 * (ends[np.concatenate([[0], last[:-1]])] + 1)
-                for part, a, b in zip(some, starts.tolist(), (4 * ends[last]).tolist()):
-                    known[part] = coded[a:b]
-        rest = [p for p in parts if p not in known]
+        known, rest = self._new, []
+        letters, tokenize, names = self._letters.fullmatch, self._model.tokenize, self._bytes
+        space = " ".translate(names)
+        for part in parts:
+            if letters(part):
+                shown = part.replace(" ", space) if part.isascii() else part.translate(names)
+                known[part] = array("I", [t.id for t in tokenize(shown)]).tobytes()
+            else:
+                rest.append(part)
         known.update(zip(rest, self._ids(rest)))
 
     def _learn(self, parts: list[str]) -> list[bytes]:
