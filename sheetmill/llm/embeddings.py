@@ -17,6 +17,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetmill.llm.common import components, written
 
+#: Words of a codebook: at least so many at every size, and at most. The most make cells of ``cell_rows`` vectors up to
+#: four thousand million vectors a label; beyond, cells grow and are split into blocks.
+LEAST_WORDS, MOST_WORDS = 8, 2048
+
 _KEY = ["label", "dim", "cell", "member_block", "visit_block"]
 
 
@@ -83,25 +87,51 @@ def _codebook(points: np.ndarray, k: int, rng: np.random.Generator, rounds: int
     return book
 
 
-def fit_index(units: np.ndarray, k: int, least: float, recall: float, seed: int = 7) -> MultiIndex:
+def _needed(index: MultiIndex, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The reach at which each pair of vectors is found: when either visits the other's cell."""
+    width = len(index.halves[1])
+    sides = [index.bounds(left), index.bounds(right)]
+    rows, found = np.arange(len(left)), []
+    for (_, first, second), (home, _, _) in (sides, sides[::-1]):
+        found.append(first[rows, home // width] + second[rows, home % width])
+    return np.minimum(*found)
+
+
+def fit_index(
+    units: np.ndarray,
+    k: int,
+    least: float,
+    recall: float,
+    seed: int = 7,
+    labels: np.ndarray | None = None,
+) -> MultiIndex:
     """Codebooks of ``k`` words per half, and the reach for a target recall.
 
     Two unit vectors of cosine ``least`` are at a squared distance of 2 - 2 * least, so a recall
-    of 1 needs no cell beyond it. For a lower target, the reach is that share of the sample's own
-    links at the given quantile.
+    of 1 needs no cell beyond it. For a lower target, codebooks are fitted on one half of the sample and the reach is
+    measured on the other: at the greater of two quantiles, that of its own links (other vectors of equal label) and that of
+    links planted at just this cosine in random directions, which are there even if the sample has none of its own.
     """
     rng, cut = np.random.default_rng(seed), max(1, units.shape[1] // 2)
-    books = (_codebook(units[:, :cut], k, rng), _codebook(units[:, cut:], k, rng))
     limit = 2 - 2 * least + 1e-9
+    exact = recall >= 1 or units.shape[1] < 2 or len(units) < 2
+    seen, held = (units, units) if exact else (units[::2], units[1::2])
+    books = (_codebook(seen[:, :cut], k, rng), _codebook(seen[:, cut:], k, rng))
     index = MultiIndex(books, limit)
-    if recall >= 1:
+    if exact:
         return index
-    home, first, second = index.bounds(units)
-    needed = []
-    for i in range(0, len(units), 512):
-        x, y = np.nonzero(units[i : i + 512] @ units.T >= least)
-        needed.append(first[i + x, home[y] // len(books[1])] + second[i + x, home[y] % len(books[1])])
-    reach = float(np.quantile(np.concatenate(needed), recall)) if needed else limit
+    some = held[np.arange(max(len(held), 10_000)) % len(held)][:20_000]
+    noise = rng.normal(size=some.shape)
+    noise -= (noise * some).sum(1, keepdims=True) * some
+    noise /= np.sqrt((noise**2).sum(1, keepdims=True))
+    needed = [_needed(index, some, least * some + math.sqrt(max(0.0, 1 - least**2)) * noise)]
+    own = np.zeros(len(held), np.int64) if labels is None else np.unique(labels, return_inverse=True)[1][1::2]
+    for i in range(0, len(held), 512):
+        x, y = np.nonzero((held[i : i + 512] @ held.T >= least) & (own[i : i + 512, None] == own))
+        x, y = x[i + x < y], y[i + x < y]
+        needed.append(_needed(index, held[i + x], held[y]))
+    links = np.concatenate(needed[1:])
+    reach = max(float(np.quantile(n, recall, method="higher")) for n in (needed[0], links) if len(n))
     return MultiIndex(books, min(limit, reach))
 
 
@@ -183,6 +213,8 @@ def near_embeddings(
     rows of their own and link like any other. Null ids never name a component unless it has
     no other; then it is null. An empty table gives no rows; further columns are not read.
 
+    With ``recall`` below 1 cells are visited up to the reach that finds this share of links in the sample, so links
+    may be missed; with 1 none is, but nearly every cell of unclustered vectors is visited.
     Codebooks are fitted on about ``sample_rows`` vectors of each length; every vector is indexed.
     Equal vectors of a label are one node, found by an aggregation. Cells above ``block_rows`` are
     split into blocks of members and of visitors. A cell's task returns a row per vector, not per
@@ -220,11 +252,12 @@ def near_embeddings(
         own = nodes.where(F.col("dim") == size["dim"])
         share = min(1.0, sample_rows / size["n"])
         chosen = F.shiftrightunsigned(F.xxhash64("node"), 11) < F.lit(int(share * (1 << 53)))
-        sample = own.where(chosen).select("node", "vector").toPandas().sort_values("node")["vector"]
+        sample = own.where(chosen).select("node", "label", "vector").toPandas().sort_values("node")
         if not len(sample):
-            sample = own.limit(1).toPandas()["vector"]
-        k = min(256, max(1, math.ceil(math.sqrt(size["most"] / cell_rows))))
-        indexes[size["dim"]] = fit_index(units_of(np.stack(sample.tolist())), k, least, recall)
+            sample = own.limit(1).toPandas()
+        k = min(MOST_WORDS, max(LEAST_WORDS, math.ceil(math.sqrt(size["most"] / cell_rows))))
+        units = units_of(np.stack(sample["vector"].tolist()))
+        indexes[size["dim"]] = fit_index(units, k, least, recall, labels=sample["label"].to_numpy())
     placed = nodes.select("node", "dim", "vector").mapInArrow(
         _placed(indexes), "node long, home int, visits array<int>"
     )

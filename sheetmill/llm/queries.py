@@ -91,7 +91,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.93)
+    return near_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.93, recall=0.999)
 
 
 def planted_text(text: Column, doc_id: Column) -> Column:

@@ -110,6 +110,59 @@ def test_reach_holds_every_link():
     assert sum(map(len, visits)) < 600 * index.cells
 
 
+def planted(n=2400, links=400, dim=64, seed=3):
+    """Unclustered vectors of four labels, some of them with a near copy."""
+    rng = np.random.default_rng(seed)
+    units = units_of(rng.normal(size=(n, dim)))
+    noise = units_of(rng.normal(size=(links, dim)))
+    noise = units_of(noise - (noise * units[:links]).sum(1, keepdims=True) * units[:links])
+    cosine = rng.uniform(0.931, 0.999, size=(links, 1))
+    units[n - links :] = cosine * units[:links] + np.sqrt(1 - cosine**2) * noise
+    labels = np.arange(n) % 4
+    labels[n - links :] = labels[:links]
+    return units, labels
+
+
+@pytest.mark.parametrize("k", [8, 16])
+def test_target_recall_is_reached_in_few_cells(k):
+    units, labels = planted()
+    index = fit_index(units[::2], k, 0.93, 0.999, labels=labels[::2])
+    home, first, second = index.bounds(units)
+    visits = [set(v) for v in index.visited(first, second)]
+    close = (units @ units.T >= 0.93) & (labels[:, None] == labels)
+    pairs = [(i, j) for i, j in zip(*np.nonzero(close)) if i < j]
+    assert len(pairs) >= 400
+    hit = sum(home[j] in visits[i] or home[i] in visits[j] for i, j in pairs)
+    assert hit / len(pairs) >= 0.99
+    assert sum(map(len, visits)) < 0.2 * len(units) * index.cells
+
+
+def test_sample_without_links_still_finds_them():
+    """The reach is measured on planted links where the sample has none."""
+    units, labels = planted(seed=4)
+    index = fit_index(units[400:2000], 8, 0.93, 0.999, labels=labels[400:2000])
+    home, first, second = index.bounds(units)
+    visits = [set(v) for v in index.visited(first, second)]
+    hit = sum(home[2000 + i] in visits[i] or home[i] in visits[2000 + i] for i in range(400))
+    assert index.reach < 0.1 and hit >= 396
+
+
+def test_query_equals_sql_where_there_are_links(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from sheetmill.llm import queries
+
+    units, labels = planted()
+    rows = [(i, v.tolist(), int(x)) for i, (v, x) in enumerate(zip(units, labels))]
+    rows += [(3000 + i, rows[i][1], rows[i][2]) for i in range(0, 300, 3)] + [(4000, None, 1), (4001, rows[0][1], None)]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = sorted(con.sql(queries.statements()["op10_embeddings"]).fetchall())
+    got = sorted(map(tuple, queries.op10_embeddings(spark, str(tmp_path)).collect()))
+    assert sum(r[1] for r in want) > 900
+    assert got == want
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
