@@ -216,3 +216,101 @@ def exact_dedup(
         (F.col("doc_id").eqNullSafe(keep_id) & (F.col("copy") == 1)).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
+
+
+def write_snapshot(
+    docs: DataFrame,
+    path: str,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    bucket_rows: int = 500_000,
+    least_buckets: int = 64,
+) -> None:
+    """Store ``docs`` as an immutable snapshot below ``path``: its filters, and one text of each group.
+
+    ``path/filters`` has one binary-fuse filter per bucket of digests; ``path/texts`` one row per group of texts that are
+    identical without their white space: digest, bucket, sha, octets, keep_id (the smallest of the longest), n, norm.
+    Null texts count as empty; a null id stands for its group only where there is no other; an empty table gives a snapshot
+    that knows nothing. Groups are aggregated before they are shuffled.
+    """
+    buckets = max(least_buckets, -(-docs.count() // bucket_rows))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text")
+    ).withColumn("norm", normalised(F.col("text")))
+    digest = F.xxhash64("norm")
+    best = F.struct(F.length("text").alias("n_chars"), (-F.col("doc_id")).alias("minus_id"))
+    groups = (
+        rows.select(
+            best.alias("best"),
+            F.unhex(F.sha2("norm", 256)).alias("sha"),
+            F.octet_length("norm").alias("octets"),
+            digest.alias("digest"),
+            F.pmod(digest, F.lit(buckets)).cast("long").alias("bucket"),
+            "norm",
+        )
+        .groupBy(*_KEY)
+        .agg(F.count("*").alias("n"), F.max("best").alias("best"), F.first("norm").alias("norm"))
+        .select(*_KEY, (-F.col("best.minus_id")).alias("keep_id"), "n", "norm")
+    )
+    groups.write.option("compression", "zstd").parquet(f"{path}/texts")
+    stored = docs.sparkSession.read.schema(groups.schema).parquet(f"{path}/texts")
+    filters_of(stored).withColumn("buckets", F.lit(buckets)).write.parquet(f"{path}/filters")
+
+
+def dedup_batch(
+    batch: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Decide a later batch against a stored snapshot.
+
+    The snapshot's filters screen the batch's digests; what they let through is compared with the snapshot's texts
+    byte by byte, and the others are grouped among themselves. Returns one row per input row: doc_id, in_snapshot,
+    keep_id (of the snapshot's row, or of the batch's longest with the smallest id), kept. Of rows that the snapshot
+    knows none is kept; of rows that repeat id and text, one is. Null texts count as empty; an empty batch gives no rows;
+    further columns are not read. The snapshot's texts are read for digests that passed only.
+    """
+    spark = batch.sparkSession
+    filters = spark.read.schema(f"{_FILTER}, buckets long").parquet(f"{path}/filters")
+    first = filters.select("buckets").first()
+    buckets = first[0] if first else 1
+    rows = batch.select(
+        F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text")
+    ).withColumn("norm", normalised(F.col("text")))
+    digest = F.xxhash64("norm")
+    rows = written(
+        rows.select(
+            "doc_id",
+            F.length("text").alias("n_chars"),
+            F.unhex(F.sha2("norm", 256)).alias("sha"),
+            F.octet_length("norm").alias("octets"),
+            digest.alias("digest"),
+            F.pmod(digest, F.lit(buckets)).cast("long").alias("bucket"),
+            "norm",
+        ),
+        "batch",
+    )
+    best = F.struct("n_chars", (-F.col("doc_id")).alias("minus_id"))
+    groups = written(
+        rows.groupBy(*_KEY).agg(F.max(best).alias("best"), F.first("norm").alias("norm")), "batch_groups"
+    )
+    passed = screened(groups, filters.drop("buckets"))
+    texts = spark.read.parquet(f"{path}/texts").select(
+        *_KEY, F.col("keep_id").alias("known_id"), F.col("norm").alias("known")
+    )
+    same = (
+        groups.join(passed, _KEY)
+        .join(texts, _KEY)
+        .where("norm = known")
+        .select("sha", "octets", "known_id", F.lit(True).alias("in_snapshot"))
+    )
+    own = groups.select("sha", "octets", (-F.col("best.minus_id")).alias("own_id"))
+    found = own.join(same, ["sha", "octets"], "left")
+    joined = rows.select("doc_id", "n_chars", "sha", "octets").join(found, ["sha", "octets"])
+    copy = F.row_number().over(Window.partitionBy("sha", "octets", "doc_id").orderBy(F.desc("n_chars")))
+    known = F.coalesce("in_snapshot", F.lit(False))
+    return joined.withColumn("copy", copy).select(
+        "doc_id",
+        known.alias("in_snapshot"),
+        F.when(known, F.col("known_id")).otherwise(F.col("own_id")).alias("keep_id"),
+        (~known & F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("copy") == 1)).alias("kept"),
+    )
