@@ -1,10 +1,11 @@
 """Jaccard join of documents over word n-grams.
 
-Method: set relations let the join skip work. Long index lists are ordered by size, and stretches
-of entries whose sizes rule a link out are skipped; positions are a test on each pair that is left.
-No set's answers are derived from another's. Transitivity takes their place, as only components are
-asked for: in long lists every set is first compared with the leader of each list it is in, sets linked
-to a leader share its component, and only pairs in different components are compared at all. In short lists the
+Method: set relations let the join skip work. Long index lists are kept in blocks of like positions, each ordered by
+size; the further down its sets a block's n-gram stands, the larger they must be, so a set skips the head of each block, and
+whole blocks. Answers are derived from those of highly similar sets: in long lists every set is first compared with
+the leader of each list it is in. What a pair of later ones has in common follows, up to the few n-grams in which they
+differ from their leaders, from what the leaders have in common; that decides most pairs, and only the others are
+read. As only components are asked for, pairs in one component are not compared at all. In short lists the
 positions of all common entries of a pair bound its overlap before any set is read.
 """
 
@@ -202,27 +203,35 @@ def _set_rows(words: int):
     return rows
 
 
-def _linked(num: int, den: int):
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = batch.column("grams_a").to_pylist(), batch.column("grams_b").to_pylist()
-            good = []
-            for x, y in zip(a, b):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(den * common >= num * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b")], names=["a", "b"]
-            ).filter(pa.array(good, pa.bool_()))
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes of two sets, and how many n-grams they share."""
+    for batch in batches:
+        a, b = batch.column("grams_a").to_pylist(), batch.column("grams_b").to_pylist()
+        sizes = []
+        for x, y in zip(a, b):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            sizes.append((len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
+        counts = [pa.array(c, pa.int64()) for c in zip(*sizes)] if sizes else [pa.nulls(0, pa.int64())] * 3
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), *counts], names=["a", "b", "na", "nb", "common"]
+        )
+
 
-    return linked
+def position_block(pos: np.ndarray) -> np.ndarray:
+    """Blocks of like positions: 0, 1 to 2, 3 to 6..."""
+    return np.log2(pos + 1).astype(np.int64)
 
 
 class _Lists:
-    """Entries of whole lists, ordered by list and size, and the pairs among them."""
+    """Entries of whole lists, ordered by list, block of positions and size, and the pairs among them."""
 
     def __init__(self, table: pa.Table, num: int, den: int):
         self.num, self.den = num, den
+        token, low, high = (table.column(c).to_numpy() for c in ("token", "low", "high"))
+        new = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        lists = np.cumsum(np.concatenate([[False], new]))
+        blocks = position_block(table.column("pos").to_numpy())
+        table = table.take(pa.array(np.lexsort((table.column("n").to_numpy(), blocks, lists))))
         get = lambda name: table.column(name).to_numpy()
         self.token, self.set_id, self.component = get("token"), get("set_id"), get("component")
         self.n, self.pos, self.block = get("n"), get("pos"), get("block")
@@ -249,13 +258,30 @@ class _Lists:
         """(i, j, differing bits) of pairs of a seed and any entry of its list that may be linked and
         are in different components.
 
-        Lists are ordered by size, so a seed visits the block of admissible sizes only.
+        In each block of positions of its list a seed visits a stretch of sizes only, which may be empty. If the block's
+        first position is p, at most n - p n-grams of a set of n there are at or after the common one, and the
+        pair needs num (n + own n) / (num + den) of them.
         """
-        span = int(self.n.max()) * self.den + 1
-        small, large = self.list * span + self.n * self.num, self.list * span + self.n * self.den
-        rows = np.flatnonzero(seeds)
-        begin = np.searchsorted(large, small[rows], "left")
-        count = np.searchsorted(small, large[rows], "right") - begin
+        num, den, n = self.num, self.den, self.n
+        blocks = position_block(self.pos)
+        span = int(n.max()) + 2
+        key = (self.list * (int(blocks.max()) + 1) + blocks) * span + n
+        begins, counts, owners = [], [], []
+        for block in np.unique(blocks).tolist():
+            rows = np.flatnonzero(seeds)
+            first = (1 << block) - 1
+            least = -(-(num * n[rows] + (num + den) * first) // den)
+            own = ((num + den) * (n[rows] - self.pos[rows]) - num * n[rows]) // num  # its own position
+            most = np.minimum(np.minimum(n[rows] * den // num, own), span - 1)
+            rows, least, most = (x[least <= most] for x in (rows, least, most))
+            base = (self.list[rows] * (int(blocks.max()) + 1) + block) * span
+            begin = np.searchsorted(key, base + least, "left")
+            begins.append(begin)
+            counts.append(np.searchsorted(key, base + most, "right") - begin)
+            owners.append(rows)
+        begin, count, rows = np.concatenate(begins), np.concatenate(counts), np.concatenate(owners)
+        some = count > 0
+        begin, count, rows = begin[some], count[some], rows[some]
         upto = np.cumsum(count)
         first = 0
         while first < len(rows):
@@ -300,7 +326,8 @@ class _Lists:
             if step < len(rows):
                 i = rows[:-step][self.list[step:] == self.list[:-step]]
                 i = i[~(fits[i] & fits[i + step])]
-                low = self.n[i] * self.den >= self.n[i + step] * self.num
+                small, large = np.minimum(self.n[i], self.n[i + step]), np.maximum(self.n[i], self.n[i + step])
+                low = small * self.den >= large * self.num
                 for side in self._admitted(i[low], i[low] + step)[:2]:
                     fits[side] = True
         fits = np.isin(self.set_id, self.set_id[fits])
@@ -396,11 +423,88 @@ def _proposals(mode: str, num: int, den: int):
     return proposals
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets are linked."""
+def _is_link(common: Column, num: int, den: int) -> Column:
+    return common * den >= (F.col("na") + F.col("nb") - common) * num
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes of both sets and of what they share (na, nb, common)."""
     side = lambda x: sets.select(F.col("set_id").alias(x), F.col("grams").alias(f"grams_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return written(both.mapInArrow(_linked(num, den), "a long, b long"), "links")
+    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    return both.mapInArrow(_overlaps, "a long, b long, na long, nb long, common long")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sets are linked, with their sizes."""
+    return written(_compared(pairs, sets).where(_is_link(F.col("common"), num, den)), "links")
+
+
+def _models(links: DataFrame) -> DataFrame:
+    """For sets that are linked to a leader, the most similar one (model), the size of the set (n) and of the model, and
+    what they share."""
+    sides = [
+        links.select(
+            F.col(a).alias("set_id"),
+            F.col(b).alias("model"),
+            F.col(f"n{a}").alias("n"),
+            F.col(f"n{b}").alias("model_n"),
+            "common",
+        )
+        for a, b in ("ab", "ba")
+    ]
+    nearest = F.struct((2 * F.col("common") - F.col("model_n")).alias("near"), "model", "n", "model_n", "common")
+    found = sides[0].unionByName(sides[1]).groupBy("set_id").agg(F.max(nearest).alias("best"))
+    return found.select("set_id", "best.model", "best.n", "best.model_n", "best.common")
+
+
+def _derived(pairs: DataFrame, models: DataFrame, leaders: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sets are linked, most of them by what their models share.
+
+    A leader, and a set without one, is its own model. With x and y the models of a and b, a and b share at least
+    what x and y share less x's n-grams that a lacks and y's that b lacks, and at most that and a's n-grams that x lacks
+    and b's that y lacks. Where both bounds give one answer, it holds; otherwise the sets are compared.
+    """
+    followers = models.join(leaders, "set_id", "left_anti")
+
+    def side(x: str) -> DataFrame:
+        return followers.select(
+            F.col("set_id").alias(x),
+            F.col("model").alias(f"m{x}"),
+            (F.col("n") - F.col("common")).alias(f"own_{x}"),
+            (F.col("model_n") - F.col("common")).alias(f"lacks_{x}"),
+        )
+
+    known = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    zero = F.lit(0).cast("long")
+    known = known.select(
+        "a",
+        "b",
+        *[F.coalesce(f"m{x}", F.col(x)).alias(f"m{x}") for x in "ab"],
+        *[F.coalesce(f"{c}_{x}", zero).alias(f"{c}_{x}") for c in ("own", "lacks") for x in "ab"],
+    )
+    known = written(
+        known.withColumns({"x": F.least("ma", "mb"), "y": F.greatest("ma", "mb")}), "pairs_of_models"
+    )
+    shared = written(
+        _compared(known.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), sets), "models_shared"
+    ).select(
+        F.col("a").alias("x"), F.col("b").alias("y"), F.col("na").alias("nx"), F.col("nb").alias("ny"), "common"
+    )
+    first = F.col("ma") == F.col("x")
+    sized = known.join(shared, ["x", "y"]).withColumns(
+        {
+            "na": F.when(first, F.col("nx")).otherwise(F.col("ny")) + F.col("own_a") - F.col("lacks_a"),
+            "nb": F.when(first, F.col("ny")).otherwise(F.col("nx")) + F.col("own_b") - F.col("lacks_b"),
+        }
+    )
+    fewest = F.greatest(F.col("common") - F.col("lacks_a") - F.col("lacks_b"), zero)
+    most = F.least(F.col("common") + F.col("own_a") + F.col("own_b"), "na", "nb")
+    sized = sized.withColumns(
+        {"sure": _is_link(fewest, num, den), "open": _is_link(most, num, den) & ~_is_link(fewest, num, den)}
+    )
+    sized = written(sized.select("a", "b", "sure", "open"), "derived")
+    links = sized.where("sure").select("a", "b")
+    return links.unionByName(_verified(sized.where("open"), sets, num, den).select("a", "b"))
 
 
 def _short_pairs(entries: DataFrame, long_entries: DataFrame, num: int, den: int) -> DataFrame:
@@ -576,7 +680,11 @@ def ngram_join(
     star = star.select(
         F.least("set_id", "first.set_id").alias("a"), F.greatest("set_id", "first.set_id").alias("b")
     )
-    links = _verified(candidates.unionByName(star).distinct(), sets, num, den)
+    led_by = _verified(star.distinct(), sets, num, den)
+    models = written(_models(led_by), "models")
+    named = written(leaders.select(F.col("first.set_id").alias("set_id")).distinct(), "leaders")
+    links = _verified(candidates.join(star.distinct(), ["a", "b"], "left_anti"), sets, num, den)
+    links = links.select("a", "b").unionByName(led_by.select("a", "b"))
     found = written(components(links), "components")
 
     # 2. and 3. What the leaders leave: long lists that still hold several components.
@@ -595,7 +703,7 @@ def ngram_join(
         )
         opened = _ordered(parts.join(sketches, "set_id"), several, columns)
         pairs = opened.mapInArrow(_proposals(mode, num, den), "a long, b long").distinct()
-        links = links.unionByName(_verified(pairs, sets, num, den))
+        links = links.unionByName(_derived(pairs, models, named, sets, num, den))
         found = written(components(links), "components")
 
     labelled = rows.join(found.select(F.col("id").alias("set_id"), "component"), "set_id", "left")

@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -134,3 +136,86 @@ def test_a_long_chain_is_one_component(spark):
     edges = spark.range(3000).selectExpr("id * 7919 % 3001 AS x").selectExpr("x AS a", "(x + 1) % 3001 AS b")
     got = components(edges).collect()
     assert {r.component for r in got} == {0} and len(got) == 3000
+
+
+def groups_of_near_copies(n=30, size=60):
+    """Two dense groups whose members differ in a word or two, around texts that share about four fifths."""
+    rng = random.Random(11)
+    first = [f"a{i}" for i in range(size)]
+    second = first[: size - 5] + [f"b{i}" for i in range(5)]
+    rows = []
+    for base in (first, second):
+        for _ in range(n):
+            words = list(base)
+            for _ in range(rng.randint(0, 2)):
+                words[rng.randrange(3, size - 8)] = f"x{rng.randrange(40)}"
+            rows.append(" ".join(words))
+    return [(i, text) for i, text in enumerate(rows)]
+
+
+@pytest.mark.parametrize("least", [(85, 100), (3, 4), (9, 10), (19, 20)])
+def test_answers_are_derived_from_similar_sets(spark, monkeypatch, least):
+    """Long lists everywhere: most pairs of later sets are decided without reading them."""
+    rows = groups_of_near_copies()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = {"pairs": 0, "read": 0}
+    derived, verified = module._derived, module._verified
+
+    def counted_derived(pairs, *args):
+        seen["pairs"] += pairs.count()
+        seen["on"] = True
+        try:
+            return derived(pairs, *args)
+        finally:
+            seen["on"] = False
+
+    def counted_verified(pairs, *args):
+        if seen.get("on"):
+            seen["read"] += pairs.count()
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(module, "_derived", counted_derived)
+    monkeypatch.setattr(module, "_verified", counted_verified)
+    got = {r.doc_id: r.component_id for r in ngram_join(df, 2, least).collect()}
+    sets = {i: {tuple(w[k : k + 2]) for k in range(len(w) - 1)} for i, t in rows for w in [t.split()]}
+    component = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for i, x in sets.items():
+            for j, y in sets.items():
+                if i < j and least[1] * len(x & y) >= least[0] * len(x | y):
+                    low = min(component[i], component[j])
+                    changed |= component[i] != low or component[j] != low
+                    component[i] = component[j] = low
+    assert got == component
+    assert seen["read"] <= seen["pairs"]
+
+
+def test_blocks_of_positions_are_skipped():
+    """A pair is listed by size and position as by both tests on every pair, from fewer pairs."""
+    rng = np.random.default_rng(3)
+    count = 400
+    n = rng.integers(20, 60, count)
+    pos = (rng.random(count) * n * 0.16).astype(np.int64)
+    sketches = [np.zeros(64, np.uint8).tobytes()] * count
+    table = pa.table({
+        "token": np.sort(rng.integers(0, 3, count)), "low": np.zeros(count, np.int32), "high": np.zeros(count, np.int32),
+        "block": np.zeros(count, np.int32), "set_id": np.arange(count), "n": n, "pos": pos,
+        "component": np.arange(count), "bits": pa.array(sketches, pa.binary()),
+    })
+    lists = module._Lists(table, 85, 100)
+    offered = []
+    admitted = lists._admitted
+    lists._admitted = lambda i, j: offered.append(len(i)) or admitted(i, j)
+    found = {frozenset((int(lists.set_id[a]), int(lists.set_id[b]))) for x in lists.pairs(np.ones(count, bool)) for a, b in zip(*x[:2])}
+    token = table.column("token").to_numpy()
+    want, by_size = set(), 0
+    for a in range(count):
+        for b in range(a):
+            if token[a] == token[b] and 100 * min(n[a], n[b]) >= 85 * max(n[a], n[b]):
+                by_size += 1
+                if min(n[a] - pos[a], n[b] - pos[b]) * 185 >= 85 * (n[a] + n[b]):
+                    want.add(frozenset((a, b)))
+    assert found == want
+    assert sum(offered) < by_size
