@@ -33,7 +33,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--rules", choices=("reference", "aligned"), default="reference")
     parser.add_argument("--sample-limit", type=int, help="infer types from at most this many rows")
     parser.add_argument("--idempotent", action="store_true", help="replace rejects of the same run")
-    parser.add_argument("--parallel", type=int, default=4, help="feeds loaded at the same time")
+    parser.add_argument("--parallel", type=int, default=4, help="kinds of feeds loaded at the same time")
+    parser.add_argument("--resume", action="store_true", help="go on after the layers that this run has finished")
     return parser.parse_args(argv)
 
 
@@ -54,6 +55,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         sample_limit=args.sample_limit,
         idempotent=args.idempotent,
         parallel=args.parallel,
+        resume=args.resume,
     )
     for job, result in results.items():
         if result.error:

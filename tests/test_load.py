@@ -553,6 +553,8 @@ def test_command_line_with_control_sheet(spark, tmp_path, capsys):
     assert main(common, spark) == 0
     assert "dw=2" in capsys.readouterr().out
     assert Warehouse(spark, str(tmp_path / "wh")).read("d.p").count() == 2
+    assert main([*common, "--resume"], spark) == 0
+    assert "dw=2" in capsys.readouterr().out
     assert not (tmp_path / "wh" / "d" / "q").exists()
     with pytest.raises(FeedError, match="DISABLED"):
         main([*common, "--job", "q"], spark)
