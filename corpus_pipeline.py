@@ -46,7 +46,11 @@ def _joined(docs: DataFrame, key: Column, decisions: DataFrame) -> DataFrame:
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a known language; those without text or without a letter go."""
+    """Documents with a known language; those without text or without a letter go.
+
+    Null and empty texts have no letter. Rows without an id and repeated rows are judged each by itself and stay or go as
+    their text does; nulls in other columns do not matter. An empty table stays empty.
+    """
     model = train(docs)
     small_batches(spark, 2000)
     every = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
@@ -55,7 +59,11 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that are equal without white space."""
+    """One document of each group of texts that are equal without white space: the longest, then of the smallest id.
+
+    Null texts count as empty, and empty ones are one group. A row without an id stays only where its group has no other; of
+    repeated rows one stays. An empty table stays empty.
+    """
     decisions = exact_dedup(docs).where("kept").select("doc_id", F.col("text_sha256").alias("key"))
     found = _joined(docs, F.sha2(normalised(F.col("text")), 256), decisions)
     return found.where("nth = 1").select("row.*")
@@ -78,12 +86,20 @@ def distant_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: up to twice, or not at all."""
+    """Documents as often as the mix takes them: up to twice, or not at all.
+
+    Null and empty texts have no words and add nothing. Rows without a source are a source of their own; rows
+    without an id are mixed like others, and rows that repeat id and text share one decision. An empty table stays empty.
+    """
     return mixed_rows(docs, weights=(3, 1, 2), share=1.5, most=2.0)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text: doc_id, n_tokens, ids, and the digest of what they decode to."""
+    """Ids of every text: doc_id, n_tokens, ids, and the digest of what they decode to.
+
+    Null texts count as empty: no ids, the digest of no bytes. Rows without an id and repeated rows give a row each, an
+    empty table gives none.
+    """
     coded = bpe_tokens(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     return coded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
