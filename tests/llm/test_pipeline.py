@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -84,6 +85,25 @@ def test_mixing(spark, request, table):
         assert abs(taken[source] - target) <= 2 * largest[source] + 1
 
 
+@pytest.mark.parametrize("table", ["small", "odd", "clashing", "empty"])
+def test_tokens(spark, request, table):
+    docs = request.getfixturevalue(table)
+    enc = encoding(public_tokenizers.path(corpus_pipeline.RANKS), public_tokenizers.PATTERN)
+    want = Counter()
+    for r in docs.select("doc_id", "text").collect():
+        ids = enc.encode_ordinary(r.text or "")
+        digest = hashlib.sha256((r.text or "").encode()).hexdigest()
+        want[r.doc_id, len(ids), np.array(ids, "<u4").tobytes(), digest] += 1
+    got = STAGE["byte-level BPE"](spark, docs, SMALL)
+    assert Counter((r.doc_id, r.n_tokens, bytes(r.ids), r.decoded_sha256) for r in got.collect()) == want
+
+
+def test_rows_without_id_in_near_dedup(spark, odd):
+    """Every text keeps a representative: only copies of a text that stays may go."""
+    got = STAGE["n-gram Jaccard join"](spark, odd, SMALL).collect()
+    assert {norm(r.text) for r in got} == {norm(r.text) for r in odd.collect()}
+
+
 def test_run(spark):
     got = corpus_pipeline.run(spark, SMALL).collect()
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
