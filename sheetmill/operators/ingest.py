@@ -30,9 +30,17 @@ def header_rows(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col(ROW_ID) >= 0).groupBy("feed").agg(F.min(ROW_ID).alias("_header"))
 
 
+def with_header(rows: DataFrame) -> DataFrame:
+    """Add ``_header`` to the rows of every feed that has one.
+
+    The side of one row per feed is broadcast at every size: a shuffle by feed would put the whole of a feed in one task.
+    """
+    return rows.join(F.broadcast(header_rows(rows)), "feed")
+
+
 def feed_headers(rows: DataFrame) -> DataFrame:
     """``(feed, pos, header, clean, name)`` for the header row of every feed."""
-    first = rows.join(header_rows(rows), "feed").filter(F.col(ROW_ID) == F.col("_header"))
+    first = with_header(rows).filter(F.col(ROW_ID) == F.col("_header"))
     cells = first.select("feed", F.posexplode("cells").alias("pos", "header"))
     # A feed's header has as many cells as the sheet has columns, so its groups are small.
     return dedup_headers(cells.withColumn("clean", sanitize_header(F.col("header"))), block=None)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sheetmill.functions.formats import LABELS, label_cell
 from sheetmill.functions.text import clean_cell, quoted, strip
 from sheetmill.model import ROW_ID, SchemaInfo
-from sheetmill.operators.ingest import header_rows
+from sheetmill.operators.ingest import with_header
 from sheetmill.rules import RuleSet
 
 #: Share of rows and row limit of the sampled profile.
@@ -149,7 +149,7 @@ def infer_types(
 
 def infer_feed_types(rows: DataFrame, rules: RuleSet) -> DataFrame:
     """``(feed, pos, inferred, n_...)`` for every feed at once, header rows left out."""
-    body = rows.join(header_rows(rows), "feed").filter(F.col(ROW_ID) > F.col("_header"))
+    body = with_header(rows).filter(F.col(ROW_ID) > F.col("_header"))
     cells = body.select(
         "feed", ROW_ID, F.posexplode("cells").alias("pos", "value")
     )

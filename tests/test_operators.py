@@ -21,11 +21,12 @@ from sheetmill.operators.ingest import (
     assemble,
     collect_headers,
     dedup_headers,
+    feed_headers,
     feed_shapes,
     require_data,
     surplus_rejects,
 )
-from sheetmill.operators.profile import infer_schema, infer_types, profile_sample
+from sheetmill.operators.profile import infer_feed_types, infer_schema, infer_types, profile_sample
 from sheetmill.operators.quality import reconcile, reject_summary, typed_rows
 from sheetmill.operators.ranking import rank_rows
 from sheetmill.operators.validate import ext_to_src, rej_datatype
@@ -64,6 +65,23 @@ def test_headers(spark):
     }
 
 
+@pytest.mark.parametrize("feeds", [1])
+@pytest.mark.parametrize("of", [feed_headers, lambda rows: infer_feed_types(rows, RULES)], ids=["headers", "types"])
+def test_rows_stay_where_they_are_beside_their_headers(spark, conf, tmp_path, of, feeds):
+    """Feeds too large to be broadcast: a shuffle by feed would put a whole one in one task."""
+    header = F.array(F.lit("a"), F.lit("b"))
+    cells = F.when(F.col("id") < feeds, header).otherwise(F.array(F.lit("1"), F.col("id").cast("string")))
+    feed = F.concat(F.lit("f"), (F.col("id") % feeds).cast("string"))
+    made = spark.range(3000).select(feed.alias("feed"), F.col("id").alias(ROW_ID), cells.alias("cells"))
+    made.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    found = of(rows)
+    assert sorted((r.feed, r.pos) for r in found.collect()) == [(f"f{i}", pos) for i in range(feeds) for pos in (0, 1)]
+    plan = plan_of(found)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_header_collision_is_an_error(spark):
     rows = sheet(spark, [["a", "a", "a_1"], ["1", "2", "3"]])
     names = collect_headers(rows)["f"]
