@@ -65,7 +65,7 @@ def test_headers(spark):
     }
 
 
-@pytest.mark.parametrize("feeds", [1])
+@pytest.mark.parametrize("feeds", [1, 3])
 @pytest.mark.parametrize("of", [feed_headers, lambda rows: infer_feed_types(rows, RULES)], ids=["headers", "types"])
 def test_rows_stay_where_they_are_beside_their_headers(spark, conf, tmp_path, of, feeds):
     """Feeds too large to be broadcast: a shuffle by feed would put a whole one in one task."""
