@@ -31,6 +31,9 @@ LEAST_BITS, MOST_BITS = 1 << 16, 1 << 26
 PREFIX_ROWS = 100_000
 GROUP_ROWS = 400_000
 
+#: A task's arrays take up to about 100 times its batch of texts: rows of five words of 8 bytes, their order, their copies.
+BATCH_BYTES = 1 << 20
+
 #: Every task knows the prefixes to be made longer: of each length at most 2 to this power.
 MOST_HEAVY = 20
 
@@ -341,7 +344,7 @@ def phrase_counts(
     group_col: str = "lang",
     longest: int = 5,
     least: int = 100,
-    batch_bytes: int = 4 << 20,
+    batch_bytes: int = BATCH_BYTES,
     prefix_rows: int = PREFIX_ROWS,
     group_rows: int = GROUP_ROWS,
     hash_bits: int = 64,
@@ -351,7 +354,7 @@ def phrase_counts(
     Rows of the first with ``total`` hold the number of all words of a language. Both are written tables. Words are
     named by ``hash_bits`` bits at first; where two that matter share a name, other hashes with more bits are taken.
     """
-    small_batches(docs.sparkSession, 2000)
+    small_batches(docs.sparkSession)
     lang = F.coalesce(F.col(group_col).cast("string"), F.lit(_UNKNOWN)).alias("lang")
     rows = docs.select(lang, text_or_empty(F.col(text_col)).alias("text"))
     scan = _Scan(batch_bytes, 1, hash_bits)

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import inspect
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from sheetmill.llm.phrases import LEAST_BITS, Filter, _filter_of, _sorted_totals, _word_hash, collocations, phrase_counts
+from sheetmill.llm.phrases import (
+    LEAST_BITS,
+    Filter,
+    _filter_of,
+    _Scan,
+    _sorted_totals,
+    _Suffixes,
+    _word_hash,
+    collocations,
+    phrase_counts,
+)
 
 
 def pieces_of(text):
@@ -130,3 +142,20 @@ def test_rare_words_and_totals(spark):
     words, phrases = phrase_counts(df, least=2)
     assert {(r.word and bytes(r.word), r.n) for r in words.collect()} == {(b"a", 3), (b"b", 3), (None, 7)}
     assert sorted(r.n for r in phrases.collect()) == [3]
+
+
+def test_memory_of_a_task_is_a_small_part_of_an_executors():
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(9000)}" for _ in range(400)) for _ in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"])
+    size = inspect.signature(phrase_counts).parameters["batch_bytes"].default
+    known = Filter(np.full(LEAST_BITS // 8, 255, np.uint8))
+    suffixes = _Suffixes(_Scan(size, 1, 64), 5, known, known)
+    tracemalloc.start()
+    try:
+        n = sum(int(n.sum()) for _, n in suffixes.of(iter([batch] * 5)))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 5 * 500 * 398
+    assert most < 80 << 20
