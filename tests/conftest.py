@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
         .appName("sheetmill-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # The status tracker forgets older jobs, of which a whole run has more than the 1,000 by default.
+        .config("spark.ui.retainedJobs", "1000000")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
