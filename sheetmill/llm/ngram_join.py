@@ -23,6 +23,8 @@ from sheetmill.llm.common import components, small_batches, text_or_empty, writt
 
 #: Counters of frequent n-grams: a fixed number, so what is broadcast is 4 MB at most.
 _COUNTERS = 1 << 22
+#: Counters whose classes go to the driver as one row, a byte each.
+_PAGE = 1 << 12
 #: N-grams seen less often by a task are noise of the counters.
 _NOTICED = 8
 #: Least and most bits of a set's sketch; there are about half as many as n-grams. Two sets differ
@@ -161,6 +163,34 @@ def _scan(words: int):
     return scan
 
 
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Frequency classes of whole pages of counters, without the pages in which all are 0."""
+    classes = np.zeros(_COUNTERS, np.uint8)
+    for batch in batches:
+        n = batch.column("n").to_numpy().astype(float)
+        classes[batch.column("counter").to_numpy()] = np.log2(np.maximum(n, 1))
+    pages = classes.reshape(-1, _PAGE)
+    some = np.flatnonzero(pages.any(1))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(some, pa.int64()), pa.array([pages[p].tobytes() for p in some], pa.binary())],
+        names=["page", "classes"],
+    )
+
+
+def frequency_classes(counted: DataFrame) -> np.ndarray:
+    """For each counter the whole part of the binary logarithm of its sum in ``counted`` (counter, n), a byte each.
+
+    The driver gets these bytes in pages, not a row per counter: those are hundreds of thousands on some GB of texts.
+    """
+    sums = counted.groupBy("counter").agg(F.sum("n").alias("n"))
+    dealt = sums.withColumn("page", F.floor(F.col("counter") / _PAGE)).repartition("page")
+    pages = dealt.select("counter", "n").mapInArrow(_pages, "page long, classes binary").toPandas()
+    classes = np.zeros(_COUNTERS, np.uint8)
+    for page, found in zip(pages["page"].tolist(), pages["classes"]):
+        classes[page * _PAGE : (page + 1) * _PAGE] = np.frombuffer(found, np.uint8)
+    return classes
+
+
 def _prefixes(words: int, num: int, den: int, classes: np.ndarray):
     """Index entries of each set's prefix: rare n-grams first, by (frequency class, hash)."""
 
@@ -585,7 +615,8 @@ def ngram_join(
     short lists only; long ones are compared within tasks, in blocks, and pairs whose sets are
     connected already are skipped. An entry of a long list is copied to each of its list's blocks, so
     a list of N entries emits about N * N / ``_BLOCK`` rows (N up to ``_BLOCK``): that grows with the
-    square of very large lists of different sets. The driver gets at most ``_COUNTERS`` counts. Every step is a written table.
+    square of very large lists of different sets. The driver gets at most ``_COUNTERS`` bytes of frequency classes.
+    Every step is a written table.
     """
     spark = docs.sparkSession
     num, den = least
@@ -599,9 +630,7 @@ def ngram_join(
         "sets",
     )
     rows = scanned.where("counter is null").select("doc_id", "text_hash", "set_id", "n")
-    frequent = scanned.where("counter is not null").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
-    classes = np.zeros(_COUNTERS, np.uint8)
-    classes[frequent["counter"].to_numpy(np.int64)] = np.log2(np.maximum(frequent["n"].to_numpy(float), 1))
+    classes = frequency_classes(scanned.where("counter is not null").select("counter", "n"))
     shared = spark.sparkContext.broadcast(classes)
 
     def prefixes(batches):

@@ -219,3 +219,36 @@ def test_blocks_of_positions_are_skipped():
                     want.add(frozenset((a, b)))
     assert found == want
     assert sum(offered) < by_size
+
+
+def test_frequency_classes(spark):
+    """Sums of counters over all pages; those that are not there and those of 1 are of class 0."""
+    rng = random.Random(5)
+    places = [0, 4095, 4096, (1 << 22) - 1, *(rng.randrange(1 << 22) for _ in range(3000))]
+    rows = [(rng.choice(places), rng.choice([1, 8, 9, 1000, 1 << 33])) for _ in range(8000)]
+    sums = Counter()
+    for counter, n in rows:
+        sums[counter] += n
+    want = np.zeros(1 << 22, np.uint8)
+    for counter, n in sums.items():
+        want[counter] = n.bit_length() - 1
+    counted = spark.createDataFrame(rows, "counter long, n long")
+    for parts in (1, 7):
+        assert (module.frequency_classes(counted.repartition(parts)) == want).all()
+    assert not module.frequency_classes(counted.limit(0)).any()
+
+
+def test_driver_gets_no_row_per_counter(spark, monkeypatch):
+    """However many n-grams are frequent, their classes reach the driver in pages, at most 1,024 rows."""
+    words, rng, rows = [f"w{i}" for i in range(6000)], random.Random(7), []
+    for i in range(10):
+        rows.append((i, " ".join(rng.sample(words, len(words)))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got, kind = [], type(docs)
+    for name in ("collect", "toPandas"):
+        monkeypatch.setattr(
+            kind, name, lambda self, *a, f=getattr(kind, name): (got.append(len(x := f(self, *a))), x)[1]
+        )
+    found = ngram_join(docs, words=1).collect()
+    assert {(r.n_shingles, r.component_id) for r in found} == {(6000, 0)} and len(found) == 10
+    assert 0 < max(got) <= 1024
